@@ -1,51 +1,24 @@
-"""Left/inner join against a unique side that survives hot and null keys."""
+"""Join against a unique side that survives hot and missing keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key is hot above one part in HOT_SHARE of all rows, so there are at most
-# HOT_SHARE hot keys and at most 2 * HOT_SHARE salted copies of right rows.
-HOT_SHARE = 1000
-# Below this many rows a key is one ordinary task, whatever its share.
-HOT_ROWS = 1_000_000
-# Rows without a key match nothing; they are only spread out.
-NULL_SALTS = 1024
+_SPREAD = "__spread"
 
-_N, _SALTS, _SALT = "__n", "__salts", "__salt"
 
-
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE, rows: int = HOT_ROWS) -> DataFrame:
-    """Keys holding more than 1/share of the rows, with the number of salts each needs.
-
-    Counting is one column-pruned pass with a map-side partial count.
-    """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(_N))
-    total = counts.agg(F.sum(_N)).scalar()
-    return counts.where((F.col(_N) > rows) & (F.col(_N) * share > total)).select(
-        key, F.ceil(F.col(_N) * share / total).cast("int").alias(_SALTS)
-    )
-
-
-def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left",
-                share: int = HOT_SHARE, rows: int = HOT_ROWS) -> DataFrame:
+def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join on ``key``; ``right`` holds at most one row per key.
 
-    Rows of a hot key are split by the partition they come from, which a retried task
-    computes again to the same value, and the one right row is repeated per split.
+    Rows without a key match nothing, so they are spread by the partition they come from
+    instead of meeting in one task. The second join key also makes both sides shuffle for
+    this join alone, even when ``right`` is already grouped by ``key``: only then can
+    adaptive execution see a hot key and split its rows over several tasks, each against
+    the same one right row. A right side that turns out small is broadcast at run time.
     """
-    hot = hot_keys(left, key, share, rows)
-    part = F.spark_partition_id()
-    salted = (
-        left.join(F.broadcast(hot), key, "left")
-        .withColumn(_SALT, F.when(F.col(key).isNull(), F.pmod(part, F.lit(NULL_SALTS)))
-                    .otherwise(F.pmod(part, F.coalesce(F.col(_SALTS), F.lit(1)))))
-        .drop(_SALTS)
-    )
-    copies = (
-        right.join(F.broadcast(hot), key, "left")
-        .withColumn(_SALT, F.explode(
-            F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)))
-        .drop(_SALTS)
+    spread = F.when(F.col(key).isNull(), F.spark_partition_id()).otherwise(F.hash(key))
+    return (
+        left.withColumn(_SPREAD, spread)
+        .join(right.withColumn(_SPREAD, F.hash(key)), [key, _SPREAD], how)
+        .drop(_SPREAD)
     )
-    return salted.join(copies, [key, _SALT], how).drop(_SALT)

@@ -6,7 +6,7 @@ import pytest
 
 from hubcat.operators import batches as b
 from hubcat.operators.ordering import dense_index, exact_median
-from hubcat.operators.skew import hot_keys, join_unique
+from hubcat.operators.skew import join_unique
 
 
 def test_dense_index_equals_row_number(spark):
@@ -90,18 +90,43 @@ def test_top_and_slice(spark):
     assert [r["batch_id"] for r in rows] == [0, 0, 1]
 
 
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def small_skew(spark):
+    """Thresholds at which a few thousand rows count as a hot key."""
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_join_unique_with_hot_and_null_keys(spark, how):
-    """Forced salting gives the rows of a plain join."""
-    left = spark.range(3000).repartition(6).select(
+def test_join_unique_with_hot_and_null_keys(spark, small_skew, how):
+    """A hot key is split and nulls are spread; the rows are those of a plain join."""
+    left = spark.range(60000).repartition(12).select(
         "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.lit(None))
-        .otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"))
-    right = spark.range(60).select(
-        F.when(F.col("id") == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id"))).alias("key"),
-        (F.col("id") * 10).alias("v"))
-    hot = hot_keys(left, "key", share=10, rows=100).collect()
-    assert [(r["key"], r["__salts"]) for r in hot] == [("hot", 5)]
-    got = join_unique(left, right, "key", how, share=10, rows=100).select("id", "key", "v")
-    plain = left.join(right, "key", how).select("id", "key", "v")
-    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    # Already grouped by the key, as the right sides of the library are.
+    right = spark.range(600).select(
+        F.when(F.col("id") % 10 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 50))
+        .alias("key"), F.col("id").alias("v")).groupBy("key").agg(F.max("v").alias("v"))
+    got = join_unique(left, right, "key", how)
+    rows = got.select(F.count("*"), F.sum("id"), F.sum("v"), F.count("v"))
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
+    plain = left.join(right, "key", how)
+    assert got.select("id", "key", "v").exceptAll(plain.select("id", "key", "v")).isEmpty()
     assert got.count() == plain.count()
