@@ -31,17 +31,20 @@ def keyword_lists(papers: DataFrame, column: str = "paper_ai_keywords") -> DataF
     Labels depend on the list alone, so the list is the key they are joined back by. Paper
     ids may repeat, and generated row ids would not survive a recomputed partition.
     """
-    return (
-        papers.select(_list_key(column).alias(_LIST), quoted(column).alias("keywords"))
-        .where(F.col(_LIST).isNotNull())
-        .dropDuplicates([_LIST])
-    )
+    lists = papers.where(F.size(quoted(column)) > 0).select(quoted(column).alias("keywords"))
+    # Never null here. Said so, or a null check of the key would be pushed into the scan.
+    key = F.coalesce(_list_key("keywords"), F.lit(""))
+    return lists.distinct().select(key.alias(_LIST), "keywords")
 
 
 def keyword_rows(lists: DataFrame) -> DataFrame:
-    """(list, pos, term) rows; null keywords drop out."""
-    return lists.select(_LIST, F.posexplode("keywords").alias("pos", "k")).where(
-        F.col("k").isNotNull()).select(_LIST, "pos", strip(F.col("k")).alias("term"))
+    """(list, pos, term) rows; null keywords drop out.
+
+    A term keeps its outer white space here: that does not change its words, and only the
+    few matched ones are stripped.
+    """
+    return lists.select(_LIST, F.posexplode("keywords").alias("pos", "term")).where(
+        F.col("term").isNotNull())
 
 
 def matched_rows(rows: DataFrame, matches: DataFrame) -> DataFrame:
@@ -56,8 +59,8 @@ def label_scores_by_level(matched: DataFrame) -> DataFrame:
     details ride along on the category rows, of which every match has exactly one.
     """
     detail = F.struct(
-        "pos", F.col("term").alias("keyword"), F.col("label").alias("matched_to"), "score",
-        "category", "subcategory", "topic", F.col("level").alias("match_level"),
+        "pos", strip(F.col("term")).alias("keyword"), F.col("label").alias("matched_to"),
+        "score", "category", "subcategory", "topic", F.col("level").alias("match_level"),
     )
     by_level = F.explode(F.array(*(
         F.struct(F.lit(level).alias("level"), F.col(level).alias("label")) for level in LEVELS
@@ -92,7 +95,10 @@ def labels_of_lists(lists: DataFrame, matches: DataFrame, share: float = spec.LA
 def with_taxonomy(papers: DataFrame, matches: DataFrame, column: str = "paper_ai_keywords",
                   share: float = spec.LABEL_SCORE_SHARE, most: int = spec.MAX_LABELS,
                   multi: bool = True) -> DataFrame:
-    """The ten taxonomy columns on every paper; unmatched papers get empty ones."""
+    """The ten taxonomy columns on every paper; unmatched papers get empty ones.
+
+    ``matches`` has one row per matched term, written as the keyword stands in the lists.
+    """
     labels = labels_of_lists(keyword_lists(papers, column), matches, share, most, multi)
     joined = join_unique(papers.withColumn(_LIST, _list_key(column)), labels, _LIST)
     names = {level: label_names(F.col(level)) for level in LEVELS}

@@ -10,15 +10,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hubcat import spec
 from hubcat.operators.skew import join_unique
 from hubcat.operators.taxonomy import NODE_FIELDS
 
-# The node matrix goes to every executor only up to this many values (64 MB of doubles).
+# The node matrix goes to every executor only up to these sizes (64 MB of doubles).
+BROADCAST_NODES = 20_000
 BROADCAST_VALUES = 8_000_000
 # Similarities computed at a time in a task, and the block sizes beyond the broadcast.
 TASK_VALUES = 2_000_000
@@ -40,18 +39,28 @@ def tokens(terms: DataFrame, lowercase: bool = False) -> DataFrame:
         F.col("token") != "")
 
 
+def mean_vector(vectors: Column) -> Column:
+    """Mean of an array of equally long vectors."""
+    total = F.aggregate(
+        F.slice(vectors, F.lit(2), F.size(vectors)), vectors[0],
+        lambda t, v: F.zip_with(t, v, lambda x, y: x + y))
+    return F.transform(total, lambda x: x / F.size(vectors))
+
+
 def term_vectors(terms: DataFrame, word_vectors: DataFrame, lowercase: bool = False) -> DataFrame:
     """Mean word vector of each distinct term; terms without a known word drop out.
 
     ``word_vectors(token, vector)`` has one row per token. Unknown words only rescale the
-    mean, which leaves every cosine as it is.
+    mean, which leaves every cosine as it is. The vectors gathered for a term are those of
+    its own words, so a group is no longer than the text of one term.
     """
     found = join_unique(
         tokens(terms.select("term").distinct(), lowercase),
-        word_vectors.select("token", array_to_vector(F.col("vector")).alias("v")),
+        word_vectors.select("token", F.col("vector").cast("array<double>").alias("v")),
         "token", "inner",
     )
-    return found.groupBy("term").agg(vector_to_array(Summarizer.mean(F.col("v"))).alias("vector"))
+    return found.groupBy("term").agg(F.collect_list("v").alias("vs")).select(
+        "term", mean_vector(F.col("vs")).alias("vector"))
 
 
 def node_vectors(nodes: DataFrame, word_vectors: DataFrame, lowercase: bool = False) -> DataFrame:
@@ -104,10 +113,10 @@ def _rows_to_matrix(column: pa.Array, width: int) -> np.ndarray:
     return flat.reshape(len(column), width)
 
 
-def _match_broadcast(terms: DataFrame, ordinals: np.ndarray, vectors: np.ndarray,
+def _match_broadcast(terms: DataFrame, ordinals: np.ndarray, unit: np.ndarray,
                      threshold: float) -> DataFrame:
-    shared = terms.sparkSession.sparkContext.broadcast(_node_matrix(ordinals, vectors))
-    width = vectors.shape[1]
+    shared = terms.sparkSession.sparkContext.broadcast((ordinals, unit))
+    width = unit.shape[1]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, unit = shared.value
@@ -156,6 +165,7 @@ def _match_blocked(terms: DataFrame, nodes: DataFrame, threshold: float,
 
 
 def best_matches(terms: DataFrame, nodes: DataFrame, threshold: float = spec.SIMILARITY_THRESHOLD,
+                 broadcast_nodes: int = BROADCAST_NODES,
                  broadcast_values: int = BROADCAST_VALUES) -> DataFrame:
     """Best node above the threshold for each ``(term, vector)`` row; first node wins ties.
 
@@ -165,20 +175,25 @@ def best_matches(terms: DataFrame, nodes: DataFrame, threshold: float = spec.SIM
     """
     terms = terms.where(F.col("vector").isNotNull()).select(
         "term", F.col("vector").cast("array<double>").alias("vector"))
-    nodes = nodes.where(F.col("vector").isNotNull()).withColumn(
-        "vector", F.col("vector").cast("array<double>"))
-    width = nodes.agg(F.max(F.size("vector"))).first()[0]
-    if width is None:
-        fields = ", ".join(f"{f} {'long' if f == 'ordinal' else 'string'}" for f in NODE_FIELDS)
-        return terms.sparkSession.createDataFrame([], f"term string, {fields}, score double")
-    limit = max(1, broadcast_values // width)
-    sample = nodes.select("ordinal", "vector").limit(limit + 1).collect()
-    fields = nodes.select(*NODE_FIELDS)
-    if len(sample) <= limit:
-        ordinals = np.array([r["ordinal"] for r in sample], dtype=np.int64)
-        vectors = np.array([r["vector"] for r in sample], dtype=np.float64)
-        found = _match_broadcast(terms, ordinals, vectors, threshold)
-        fields = F.broadcast(fields)
-    else:
+    nodes = nodes.where(F.col("vector").isNotNull()).select(
+        *NODE_FIELDS, F.col("vector").cast("array<double>").alias("vector"))
+    sample = nodes.limit(broadcast_nodes + 1).collect()
+    values = sum(len(r["vector"]) for r in sample)
+    if len(sample) > broadcast_nodes or values > broadcast_values:
         found = _match_blocked(terms, nodes, threshold)
+        fields = nodes.select(*NODE_FIELDS)
+    else:
+        # Only nodes left in the matrix can be matched, so only those are looked up.
+        ordinals, unit = _node_matrix(
+            np.array([r["ordinal"] for r in sample], dtype=np.int64),
+            np.array([r["vector"] for r in sample], dtype=np.float64).reshape(len(sample), -1)
+            if sample else np.empty((0, 0)))
+        kept = set(ordinals.tolist())
+        schema = nodes.select(*NODE_FIELDS).schema
+        fields = F.broadcast(terms.sparkSession.createDataFrame(
+            [r[:len(NODE_FIELDS)] for r in sample if r["ordinal"] in kept], schema))
+        if len(kept):
+            found = _match_broadcast(terms, ordinals, unit, threshold)
+        else:
+            found = terms.sparkSession.createDataFrame([], _BEST)
     return found.join(fields, "ordinal").select("term", *NODE_FIELDS, "score")

@@ -111,6 +111,6 @@ PAPER_ROWS = {
     "text": "text",
 }
 
-# Letters and digits counted in a word make its vector.
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
+# Letters counted in a word make its vector.
+ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 SIMILARITY = 0.8

@@ -11,6 +11,7 @@ from hubcat.operators.labels import keyword_lists, keyword_matches, keyword_rows
 from hubcat.operators.skew import join_unique
 from hubcat.operators.taxonomy import level_counts, taxonomy_from_paths
 from hubcat.plans.papers import labelled_papers
+from hubcat.session import scratch_path
 from hubcat.queries.mapping import (ALPHABET, PAPER_ROWS, SIMILARITY, mapped, strip_sql, table)
 
 NODE_SIMILARITY = 0.3
@@ -32,13 +33,16 @@ def letter_vectors(terms: DataFrame) -> DataFrame:
     token = F.col("token")
     counts = [(F.length(token) - F.length(F.replace(token, F.lit(c), F.lit("")))).cast("double")
               for c in ALPHABET]
-    return m.tokens(terms, lowercase=True).select("token").distinct().select(
+    return m.tokens(terms.distinct(), lowercase=True).select("token").distinct().select(
         "token", F.array(*counts).alias("vector"))
 
 
 def _word_vectors(papers: DataFrame, tree: DataFrame) -> DataFrame:
+    """The word-vector table, written once as such a table would be."""
     words = keyword_rows(keyword_lists(papers)).select("term")
-    return letter_vectors(words.unionByName(tree.select(F.col("label").alias("term"))))
+    path = scratch_path(papers.sparkSession, "word-vectors")
+    letter_vectors(words.unionByName(tree.select(F.col("label").alias("term")))).write.parquet(path)
+    return papers.sparkSession.read.parquet(path)
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,10 +80,12 @@ def _embedding_nodes(spark: SparkSession, sf: str) -> DataFrame:
         f"'c' || cast(label as string) || {sign.format(0)} || {sign.format(1)} as topic",
         "cast(embedding as array<double>) as embedding")
     named = rows.select(F.explode(F.array("category", "subcategory", "topic")).alias("label"),
-                        m.array_to_vector("embedding").alias("v"))
-    means = named.groupBy("label").agg(
-        m.vector_to_array(m.Summarizer.mean(F.col("v"))).alias("vector")).select(
-        "label", F.transform("vector", lambda x: F.round(x, 9)).alias("vector"))
+                        "embedding").select("label", F.posexplode("embedding").alias("dim", "value"))
+    # A label may hold a third of all rows: average per value, with a partial sum first.
+    values = named.groupBy("label", "dim").agg(F.round(F.avg("value"), 9).alias("value"))
+    means = values.groupBy("label").agg(
+        F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("v")).select(
+        "label", F.transform("v", lambda x: x["value"]).alias("vector"))
     return taxonomy_from_paths(rows.select("category", "subcategory", "topic")).join(means, "label")
 
 
@@ -142,7 +148,6 @@ def a10_match_stats(spark, sf):
 
 def a13_summary(spark, sf):
     """The whole report; the labelled papers are written once for its parts to share."""
-    from hubcat.session import scratch_path
     path = scratch_path(spark, "labelled")
     labelled(spark, sf).withColumn("citation_count", F.col("paper_upvotes")).select(
         "primary_category", "primary_subcategory", "primary_topic", "taxonomy_categories",
@@ -199,7 +204,7 @@ _PART_NODES = _nodes("select distinct p_type as category, p_brand as subcategory
 _MATCHES = f"""{_PART_NODES},
 words as (select cast(doc_id as varchar) as paper_id, unnest(string_split(text, ' ')) as w,
     generate_subscripts(string_split(text, ' '), 1) as pos from documents),
-kw as (select paper_id, pos, {strip_sql('w')} as term from words),
+kw as (select paper_id, pos, w as term from words),
 tv as (select term, {_letters('term')} as vector from (select distinct term from kw)),
 nv as (select label, min(ordinal) as ordinal, {_letters('label')} as vector from nodes group by label),
 pairs as (select term, nv.ordinal, round(list_cosine_similarity(tv.vector, nv.vector), 12) as sim
@@ -278,7 +283,7 @@ ORACLE = {
         primary_topic, round(topic_score, 6) as topic_score, n_categories::integer as n_categories
         from labelled""",
     "e7_match_details": f"""with {_MATCHES}, d as (select paper_id, count(*) as n, string_agg(
-          term || ':' || label || ':' || level, ',' order by pos) as details from hits group by 1)
+          {strip_sql('term')} || ':' || label || ':' || level, ',' order by pos) as details from hits group by 1)
         select cast(doc_id as varchar) as paper_id, coalesce(n, 0)::integer as matches,
           md5(coalesce(details, '')) as details_md5
         from documents left join d on d.paper_id = cast(doc_id as varchar)""",

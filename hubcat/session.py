@@ -16,6 +16,10 @@ def tune(builder: SparkSession.Builder) -> SparkSession.Builder:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Sizes guessed before a run are far off after an explode. A side is broadcast once
+        # its shuffled size is known, or where the code has checked the size itself.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
 

@@ -131,7 +131,8 @@ def test_equal_names_match_the_first_branch(spark):
 
 def matches(spark):
     rows = [  # term, ordinal, category, subcategory, topic, label, level, score
-        ("k1", 1, "A", "s1", "t1", "t1", "topic", .80), ("k2", 2, "A", "s2", None, "s2", "subcategory", .75),
+        ("k1", 1, "A", "s1", "t1", "t1", "topic", .80), (" k1 ", 1, "A", "s1", "t1", "t1", "topic", .80),
+        ("k2", 2, "A", "s2", None, "s2", "subcategory", .75),
         ("k3", 3, "B", None, None, "B", "category", .73), ("k4", 4, "C", "s1", "t1", "t1", "topic", .60),
         ("k5", 5, "D", None, None, "D", "category", .71)]
     return spark.createDataFrame(rows, "term string, ordinal long, category string, subcategory string, "
