@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
@@ -88,6 +91,18 @@ def joined_tags(tags: Column) -> Column:
     )
 
 
-def mentions(text: Column, words) -> Column:
-    """True when any of the words occurs anywhere in the text, in any case."""
-    return F.coalesce(text.rlike("(?i)" + "|".join(words)), F.lit(False))
+def mentions(text: Column, words, lowered: bool = False) -> Column:
+    """True when any of the words occurs anywhere in the text, in any case.
+
+    Words may be patterns. Plain ones are looked for as they are, without a pattern match,
+    and one that contains another cannot add a hit. ``lowered`` says that the text is in
+    lower case already.
+    """
+    plain = [w.lower() for w in words if re.fullmatch(r"[A-Za-z0-9 _-]+", w)]
+    shortest = [w for w in dict.fromkeys(plain) if not any(o != w and o in w for o in plain)]
+    patterns = [w for w in words if w.lower() not in plain]
+    searched = text if lowered else F.lower(text)
+    tests = [searched.contains(w) for w in shortest]
+    if patterns:
+        tests.append(text.rlike("(?i)" + "|".join(patterns)))
+    return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))

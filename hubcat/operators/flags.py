@@ -26,7 +26,7 @@ def with_flags(df: DataFrame, keyword_map=None, task_column: str | None = None,
     text = F.col(_TEXT)
     flagged = df.withColumn(_TEXT, joined_tags(quoted(tags))).select(
         *(quoted(c) for c in df.columns),
-        *(mentions(text, words).alias(name) for name, words in keyword_map.items()),
+        *(mentions(text, words, lowered=True).alias(name) for name, words in keyword_map.items()),
         (text.contains("science") & ~text.contains("bigscience")).alias("has_science"),
     )
     composites = {}

@@ -111,10 +111,15 @@ def with_taxonomy(papers: DataFrame, matches: DataFrame, column: str = "paper_ai
     )
 
 
+def keyword_terms(papers: DataFrame, column: str = "paper_ai_keywords") -> DataFrame:
+    """Distinct keywords, each to be scored once however many papers repeat it."""
+    return keyword_rows(keyword_lists(papers, column)).select("term").distinct()
+
+
 def keyword_matches(papers: DataFrame, nodes: DataFrame, word_vectors: DataFrame,
                     column: str = "paper_ai_keywords",
                     threshold: float = spec.SIMILARITY_THRESHOLD,
                     lowercase: bool = False) -> DataFrame:
     """Best node of every distinct keyword; ``nodes`` carry a vector already."""
-    terms = keyword_rows(keyword_lists(papers, column)).select("term").distinct()
-    return best_matches(term_vectors(terms, word_vectors, lowercase), nodes, threshold)
+    vectors = term_vectors(keyword_terms(papers, column), word_vectors, lowercase)
+    return best_matches(vectors, nodes, threshold)

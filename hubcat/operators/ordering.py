@@ -81,15 +81,18 @@ def exact_median(df: DataFrame, column: str) -> float | None:
     if total == 0:
         return None
     before = [0, *accumulate(n for _, n in sizes)]
-
-    def at(rank: int) -> float:
-        i = next(i for i in range(len(sizes)) if before[i + 1] > rank)
-        upto = F.sum("n").over(Window.orderBy("v")) + F.lit(before[i])
-        row = (ranged.where(F.col(_PART) == sizes[i][0])
-               .select("v", upto.alias("upto")).where(F.col("upto") > rank)
-               .agg(F.min("v").alias("v")).first())
-        return row["v"]
-
     low, high = (total - 1) // 2, total // 2
-    first = at(low)
-    return first if low == high else (first + at(high)) / 2
+    # The one or two range partitions that hold the middle, and the rows before each.
+    held = {sizes[next(i for i in range(len(sizes)) if before[i + 1] > rank)][0]
+            for rank in (low, high)}
+    start = F.coalesce(*(F.when(F.col(_PART) == part, F.lit(n))
+                         for (part, _), n in zip(sizes, before) if part in held))
+    inside = Window.partitionBy(_PART).orderBy("v")
+    row = (
+        ranged.where(F.col(_PART).isin(*held))
+        .select("v", (start + F.sum("n").over(inside)).alias("upto"))
+        .agg(F.min(F.when(F.col("upto") > low, F.col("v"))).alias("low"),
+             F.min(F.when(F.col("upto") > high, F.col("v"))).alias("high"))
+        .first()
+    )
+    return row["low"] if low == high else (row["low"] + row["high"]) / 2

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from hubcat.functions.text import WHITESPACE
+from hubcat.sources.scans import spread
 
 QUOTE = "chr(39)"
 
@@ -17,8 +18,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def mapped(spark: SparkSession, sf: str, name: str, columns: dict[str, str]) -> DataFrame:
-    return table(spark, sf, name).selectExpr(*(f"{e} as {c}" for c, e in columns.items()))
+def texts(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a text table, dealt out over the cores where it is one small file."""
+    return spread(table(spark, sf, name).select(*columns))
+
+
+def mapped(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*(f"{e} as {c}" for c, e in columns.items()))
 
 
 def mapped_sql(name: str, columns: dict[str, str]) -> str:

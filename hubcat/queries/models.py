@@ -14,7 +14,7 @@ from hubcat.operators.conform import conform
 from hubcat.operators.flags import inspect_row, with_flags, with_normal_tags
 from hubcat.plans.models import datasets_table, models_table
 from hubcat.queries.mapping import (BUCKET_SQL, MODEL_ROWS, MODEL_TRUTH, PART_FLAGS, flag_sql,
-                                    mapped, strip_sql, table)
+                                    mapped, strip_sql, table, texts)
 from hubcat.sources.scans import scan
 
 STAMP = dt.datetime(2025, 1, 8, 12, 0, 0)
@@ -23,7 +23,7 @@ FLAGS = [*PART_FLAGS, "has_science", "is_audio_speech", "is_biomed"]
 
 
 def raw_models(spark: SparkSession, sf: str) -> DataFrame:
-    return mapped(spark, sf, "part", MODEL_ROWS)
+    return mapped(table(spark, sf, "part"), MODEL_ROWS)
 
 
 def models(spark: SparkSession, sf: str) -> DataFrame:
@@ -32,7 +32,7 @@ def models(spark: SparkSession, sf: str) -> DataFrame:
 
 def text_tags(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with the words of their whole text as tags."""
-    words = table(spark, sf, "documents").select(
+    words = texts(spark, sf, "documents", "doc_id", "lang", "text").select(
         "doc_id", "lang", F.split("text", " ", -1).alias("tags"))
     return with_normal_tags(words)
 

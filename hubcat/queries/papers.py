@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hubcat.functions.vectors import cosine
 from hubcat.operators import matching as m
 from hubcat.operators import reports
-from hubcat.operators.labels import keyword_lists, keyword_matches, keyword_rows
+from hubcat.operators.labels import keyword_terms, with_taxonomy
 from hubcat.operators.skew import join_unique
 from hubcat.operators.taxonomy import level_counts, taxonomy_from_paths
 from hubcat.plans.papers import labelled_papers
 from hubcat.session import scratch_path
-from hubcat.queries.mapping import (ALPHABET, PAPER_ROWS, SIMILARITY, mapped, strip_sql, table)
+from hubcat.queries.mapping import (ALPHABET, PAPER_ROWS, SIMILARITY, mapped, strip_sql, table, texts)
 
 NODE_SIMILARITY = 0.3
 _LISTED = ("taxonomy_categories", "taxonomy_subcategories", "taxonomy_topics")
 
 
 def papers(spark: SparkSession, sf: str) -> DataFrame:
-    return mapped(spark, sf, "documents", PAPER_ROWS).withColumn(
+    rows = texts(spark, sf, "documents", "doc_id", "text", "lang", "source", "n_chars")
+    return mapped(rows, PAPER_ROWS).withColumn(
         "paper_ai_keywords", F.split("text", " ", -1)).drop("text")
 
 
@@ -28,24 +29,44 @@ def nodes(spark: SparkSession, sf: str) -> DataFrame:
         "p_type as category", "p_brand as subcategory", "p_name as topic"))
 
 
+def letters(c: Column) -> Column:
+    """How often each letter occurs in a text."""
+    low = F.lower(c)
+    return F.array(*(
+        (F.length(low) - F.length(F.replace(low, F.lit(x), F.lit("")))).cast("double")
+        for x in ALPHABET))
+
+
 def letter_vectors(terms: DataFrame) -> DataFrame:
-    """(token, vector) for every token of the terms: how often each letter occurs."""
-    token = F.col("token")
-    counts = [(F.length(token) - F.length(F.replace(token, F.lit(c), F.lit("")))).cast("double")
-              for c in ALPHABET]
+    """(token, vector) for every token of the terms."""
     return m.tokens(terms.distinct(), lowercase=True).select("token").distinct().select(
-        "token", F.array(*counts).alias("vector"))
+        "token", letters(F.col("token")).alias("vector"))
 
 
 def _word_vectors(papers: DataFrame, tree: DataFrame) -> DataFrame:
     """The word-vector table, written once as such a table would be."""
-    words = keyword_rows(keyword_lists(papers)).select("term")
+    words = keyword_terms(papers)
     path = scratch_path(papers.sparkSession, "word-vectors")
     letter_vectors(words.unionByName(tree.select(F.col("label").alias("term")))).write.parquet(path)
     return papers.sparkSession.read.parquet(path)
 
 
+def matches(found: DataFrame, tree: DataFrame) -> DataFrame:
+    """Keyword matches from term vectors made straight from the terms.
+
+    Counting letters over a term or averaging them over its words gives the same direction.
+    """
+    vectors = keyword_terms(found).select("term", letters(F.col("term")).alias("vector"))
+    return m.best_matches(vectors, tree.withColumn("vector", letters(F.col("label"))), SIMILARITY)
+
+
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
+    found = papers(spark, sf)
+    return with_taxonomy(found, matches(found, nodes(spark, sf)))
+
+
+def labelled_by_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The complete plan: word vectors, term means, matches, labels."""
     found, tree = papers(spark, sf), nodes(spark, sf)
     return labelled_papers(found, tree, _word_vectors(found, tree), threshold=SIMILARITY,
                            lowercase=True)
@@ -62,7 +83,7 @@ def a15_level_counts(spark, sf):
 
 
 def e2_term_vectors(spark, sf):
-    terms = table(spark, sf, "conversations").select(F.col("text").alias("term"))
+    terms = texts(spark, sf, "conversations", "text").withColumnRenamed("text", "term")
     vectors = m.term_vectors(terms, letter_vectors(terms), lowercase=True)
     spread = F.aggregate(F.transform("vector", lambda v, i: v * F.sqrt(i + 1)), F.lit(0.0),
                          lambda total, v: total + v)
@@ -106,15 +127,11 @@ def x1_vector_match(spark, sf):
 
 
 def e4_best_match(spark, sf):
-    found, tree = papers(spark, sf), nodes(spark, sf)
-    words = _word_vectors(found, tree)
-    matches = keyword_matches(found, m.node_vectors(tree, words, True), words,
-                              threshold=SIMILARITY, lowercase=True)
-    return matches.select("term", "ordinal", "label", "level", F.round("score", 6).alias("score"))
+    out = matches(papers(spark, sf), nodes(spark, sf))
+    return out.select("term", "ordinal", "label", "level", F.round("score", 6).alias("score"))
 
 
-def e6_multilabel(spark, sf):
-    out = labelled(spark, sf)
+def _labels(out: DataFrame) -> DataFrame:
     return out.select(
         "paper_id", *(F.array_join(c, "|").alias(c) for c in _LISTED),
         "primary_category", "primary_subcategory", "primary_topic",
@@ -122,6 +139,14 @@ def e6_multilabel(spark, sf):
         F.size("category_scores").alias("n_categories"))
 
 
+def e6_multilabel(spark, sf):
+    return _labels(labelled(spark, sf))
+
+
+def e8_labelled_papers(spark, sf):
+    return _labels(labelled_by_words(spark, sf))
+
+
 def e7_match_details(spark, sf):
     details = F.col("matched_keywords_details")
     pairs = F.transform(details, lambda d: F.concat_ws(":", d["keyword"], d["matched_to"], d["match_level"]))
@@ -174,7 +199,7 @@ def r9_classified_sample(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     e1_taxonomy, a15_level_counts, e2_term_vectors, e3_cosine, x1_vector_match, e4_best_match,
-    e6_multilabel, e7_match_details, a8_label_counts, a9_coverage, a10_match_stats, a13_summary,
+    e6_multilabel, e8_labelled_papers, e7_match_details, a8_label_counts, a9_coverage, a10_match_stats, a13_summary,
     r9_classified_sample)}
 
 # ---------------------------------------------------------------- DuckDB side
@@ -312,3 +337,5 @@ ORACLE = {
     "r9_classified_sample": f"""with {_LABELS} select paper_id, primary_category from labelled
         where primary_category is not null order by paper_id limit 3""",
 }
+
+ORACLE["e8_labelled_papers"] = ORACLE["e6_multilabel"]

@@ -10,6 +10,16 @@ from hubcat.operators.citations import CACHE_COLUMNS
 from hubcat.spec import CatalogSpec
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan with fewer splits than cores out over all cores.
+
+    A small file of one row group is read by one task, and everything up to the first
+    shuffle would run there. A scan with enough splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan(spark: SparkSession, path: str, columns, limit: int | None = None) -> DataFrame:
     """Parquet scan pruned to the named columns that exist; dots in names are literal."""
     df = spark.read.parquet(path)
