@@ -32,6 +32,11 @@ def _no_tags() -> Column:
     return F.array().cast("array<string>")
 
 
+def _unless_empty(items: Column) -> Column:
+    """The array, or null when it is empty; names the array once, so it is parsed once."""
+    return F.get(F.filter(F.array(items), lambda x: F.size(x) > 0), F.lit(0))
+
+
 def _strict_list(c: Column) -> Column:
     return F.from_json(F.when(c.rlike(r"(?s)^\s*\[.*\]\s*$"), c), "array<string>", _STRICT)
 
@@ -68,7 +73,7 @@ def tags_from_text(c: Column) -> Column:
         # Most fields open like a plain word: decide that before any JSON is read.
         .when(~c.rlike(r'^\s*[\[({"0-9tfnNI-]'), by_comma)
         .otherwise(F.coalesce(
-            F.nullif(literal, _no_tags()), strict, F.when(not_a_list, _no_tags()), by_comma
+            _unless_empty(literal), strict, F.when(not_a_list, _no_tags()), by_comma
         ))
     )
 

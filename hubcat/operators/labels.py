@@ -31,19 +31,19 @@ def keyword_lists(papers: DataFrame, column: str = "paper_ai_keywords") -> DataF
     Labels depend on the list alone, so the list is the key they are joined back by. Paper
     ids may repeat, and generated row ids would not survive a recomputed partition.
     """
-    lists = papers.where(F.size(quoted(column)) > 0).select(quoted(column).alias("keywords"))
-    # Never null here. Said so, or a null check of the key would be pushed into the scan.
+    lists = papers.select(quoted(column).alias("keywords"))
+    # Never null, or a null check of the key would be pushed into the scan.
     key = F.coalesce(_list_key("keywords"), F.lit(""))
     return lists.distinct().select(key.alias(_LIST), "keywords")
 
 
 def keyword_rows(lists: DataFrame) -> DataFrame:
-    """(list, pos, term) rows; null keywords drop out.
+    """(list, pos, term) rows; null keywords, null lists and empty lists drop out.
 
     A term keeps its outer white space here: that does not change its words, and only the
     few matched ones are stripped.
     """
-    return lists.select(_LIST, F.posexplode("keywords").alias("pos", "term")).where(
+    return lists.select(_LIST, F.posexplode_outer("keywords").alias("pos", "term")).where(
         F.col("term").isNotNull())
 
 

@@ -35,7 +35,7 @@ _BEST = "term string, ordinal long, score double"
 def tokens(terms: DataFrame, lowercase: bool = False) -> DataFrame:
     """(term, token) rows: runs of letters and digits."""
     text = F.lower("term") if lowercase else F.col("term")
-    return terms.select("term", F.explode(F.split(text, r"[^\p{L}\p{N}]+")).alias("token")).where(
+    return terms.select("term", F.explode_outer(F.split(text, r"[^\p{L}\p{N}]+")).alias("token")).where(
         F.col("token") != "")
 
 

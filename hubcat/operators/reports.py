@@ -51,9 +51,13 @@ def tag_length_stats(df: DataFrame, tags: str = "tags") -> DataFrame:
 
 
 def tag_counts(df: DataFrame, tags: str = "tags") -> DataFrame:
-    """(tag, rows) over lower-case, trimmed tags."""
+    """(tag, rows) over lower-case, trimmed tags.
+
+    The outer explode keeps Spark from putting a size check of the tags below it, which
+    would normalise them a second time.
+    """
     return (
-        df.select(F.explode(quoted(tags)).alias("t")).where(F.col("t").isNotNull())
+        df.select(F.explode_outer(quoted(tags)).alias("t")).where(F.col("t").isNotNull())
         .groupBy(F.lower(strip(F.col("t"))).alias("tag")).agg(_rows().alias("rows"))
     )
 
