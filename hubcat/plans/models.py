@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, functions as F
 
 from hubcat import spec
@@ -14,10 +16,9 @@ from hubcat.operators.flags import with_flags, with_normal_tags
 def models_table(raw: DataFrame, downloaded_at, catalog: spec.CatalogSpec = spec.MODELS,
                  keyword_map=None) -> DataFrame:
     """Raw model rows to the finished models table."""
-    sized = conform(raw, catalog, downloaded_at)
-    if "params" in raw.columns:
-        # A ready-made size column has to come along from the raw rows.
-        sized = conform(raw, _with_params(catalog), downloaded_at)
+    # A ready-made size column has to come along from the raw rows.
+    source = _with_params(catalog) if "params" in raw.columns else catalog
+    sized = conform(raw, source, downloaded_at)
     sized = sized.withColumn("params", size_expression(sized.schema))
     enriched = sized.withColumns({
         "organization": organization_of_id(F.col(catalog.key)),
@@ -29,7 +30,6 @@ def models_table(raw: DataFrame, downloaded_at, catalog: spec.CatalogSpec = spec
 
 
 def _with_params(catalog: spec.CatalogSpec) -> spec.CatalogSpec:
-    from dataclasses import replace
     return replace(catalog, source=(*catalog.source, "params"), other=(*catalog.other, "params"))
 
 

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hubcat import spec
 from hubcat.functions.sizes import size_bucket, size_of
+from hubcat.functions.tags import joined_tags
 from hubcat.functions.text import organization_name, organization_of_id
 from hubcat.operators import reports
-from hubcat.operators.conform import conform
+from hubcat.operators.conform import conform, require_key_values
 from hubcat.operators.flags import inspect_row, with_flags, with_normal_tags
 from hubcat.plans.models import datasets_table, models_table
 from hubcat.queries.mapping import (BUCKET_SQL, MODEL_ROWS, MODEL_TRUTH, PART_FLAGS, flag_sql,
@@ -75,6 +76,13 @@ def p3_conform_papers(spark, sf):
         F.col("`paper_organization.name`").alias("organization"))
 
 
+def p7_key_values(spark, sf):
+    """The key check passes for orders, so their rows are counted."""
+    raw = table(spark, sf, "orders").selectExpr("cast(o_orderkey as string) as paper_id")
+    checked = require_key_values(conform(raw, spec.PAPERS, STAMP), "paper_id")
+    return checked.agg(F.count("paper_id").alias("papers"))
+
+
 def p11_lookup(spark, sf):
     flagged = with_flags(text_tags(spark, sf))
     return inspect_row(flagged, 7, key="doc_id").select(
@@ -125,7 +133,6 @@ def f6_tags(spark, sf):
 
 
 def f7_joined_tags(spark, sf):
-    from hubcat.functions.tags import joined_tags
     return text_tags(spark, sf).select("doc_id", F.md5(joined_tags(F.col("tags"))).alias("joined_md5"))
 
 
@@ -197,7 +204,7 @@ def a14_known_sizes(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    s1_pruned_scan, s4_limit, p1_conform, p2_conform_datasets, p3_conform_papers, p11_lookup,
+    s1_pruned_scan, s4_limit, p1_conform, p2_conform_datasets, p3_conform_papers, p7_key_values, p11_lookup,
     f1_organization, f1_page_hosts, f2_size_parse, f2_event_props, f3_size_bucket, f5_org_name,
     f6_tags, f7_joined_tags, f8_flags, f8_text_flags, m1_models_table, m2_datasets_table,
     a1_duplicates, a2_coverage, a3_flag_counts, a4_organizations, a5_tag_stats, a6_top_tags,
@@ -231,6 +238,7 @@ ORACLE = {
     "p3_conform_papers": """select cast(doc_id as varchar) as paper_id, source as title,
         case when lang = 'en' then n_chars::double else 0.0::double end as paper_upvotes,
         0.0::double as "numComments", cast(null as varchar) as organization from documents""",
+    "p7_key_values": "select count(o_orderkey) as papers from orders",
     "p11_lookup": f"""with {_TEXT_TAGS} select doc_id, len(tags)::integer as n_tags,
         md5(joined) as text_md5, {flag_sql(spec.MODEL_FLAGS)},
         regexp_matches(joined, 'bio|medic|medical', 'i') as is_biomed
