@@ -18,8 +18,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a text table, dealt out over the cores where it is one small file."""
+def dealt(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table with much work per row, dealt out over the cores where the table
+    is one small file."""
     return spread(table(spark, sf, name).select(*columns))
 
 

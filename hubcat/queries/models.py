@@ -15,7 +15,7 @@ from hubcat.operators.conform import conform, require_key_values
 from hubcat.operators.flags import inspect_row, with_flags, with_normal_tags
 from hubcat.plans.models import datasets_table, models_table
 from hubcat.queries.mapping import (BUCKET_SQL, MODEL_ROWS, MODEL_TRUTH, PART_FLAGS, flag_sql,
-                                    mapped, strip_sql, table, texts)
+                                    mapped, strip_sql, table, dealt)
 from hubcat.sources.scans import scan
 
 STAMP = dt.datetime(2025, 1, 8, 12, 0, 0)
@@ -24,7 +24,8 @@ FLAGS = [*PART_FLAGS, "has_science", "is_audio_speech", "is_biomed"]
 
 
 def raw_models(spark: SparkSession, sf: str) -> DataFrame:
-    return mapped(table(spark, sf, "part"), MODEL_ROWS)
+    columns = ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    return mapped(dealt(spark, sf, "part", *columns), MODEL_ROWS)
 
 
 def models(spark: SparkSession, sf: str) -> DataFrame:
@@ -33,7 +34,7 @@ def models(spark: SparkSession, sf: str) -> DataFrame:
 
 def text_tags(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with the words of their whole text as tags."""
-    words = texts(spark, sf, "documents", "doc_id", "lang", "text").select(
+    words = dealt(spark, sf, "documents", "doc_id", "lang", "text").select(
         "doc_id", "lang", F.split("text", " ", -1).alias("tags"))
     return with_normal_tags(words)
 

@@ -12,14 +12,14 @@ from hubcat.operators.skew import join_unique
 from hubcat.operators.taxonomy import level_counts, taxonomy_from_paths
 from hubcat.plans.papers import labelled_papers
 from hubcat.session import scratch_path
-from hubcat.queries.mapping import (ALPHABET, PAPER_ROWS, SIMILARITY, mapped, strip_sql, table, texts)
+from hubcat.queries.mapping import (ALPHABET, PAPER_ROWS, SIMILARITY, mapped, strip_sql, table, dealt)
 
 NODE_SIMILARITY = 0.3
 _LISTED = ("taxonomy_categories", "taxonomy_subcategories", "taxonomy_topics")
 
 
 def papers(spark: SparkSession, sf: str) -> DataFrame:
-    rows = texts(spark, sf, "documents", "doc_id", "text", "lang", "source", "n_chars")
+    rows = dealt(spark, sf, "documents", "doc_id", "text", "lang", "source", "n_chars")
     return mapped(rows, PAPER_ROWS).withColumn(
         "paper_ai_keywords", F.split("text", " ", -1)).drop("text")
 
@@ -83,7 +83,7 @@ def a15_level_counts(spark, sf):
 
 
 def e2_term_vectors(spark, sf):
-    terms = texts(spark, sf, "conversations", "text").withColumnRenamed("text", "term")
+    terms = dealt(spark, sf, "conversations", "text").withColumnRenamed("text", "term")
     vectors = m.term_vectors(terms, letter_vectors(terms), lowercase=True)
     spread = F.aggregate(F.transform("vector", lambda v, i: v * F.sqrt(i + 1)), F.lit(0.0),
                          lambda total, v: total + v)

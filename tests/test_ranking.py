@@ -20,6 +20,11 @@ def test_dense_index_equals_row_number(spark):
     assert [r["paper_id"] for r in got] == [r["paper_id"] for r in expected]
 
 
+def test_dense_index_of_nothing(spark):
+    empty = spark.range(0).select(F.lit("a").alias("paper_id"), F.lit(1.0).alias("paper_upvotes"))
+    assert b.ranked(empty).count() == 0
+
+
 def test_dense_index_splits_copies(spark):
     """A group of equal rows is spread over tasks and still numbered without gaps."""
     df = spark.range(4000).repartition(8).select(F.lit("same").alias("k"))
