@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def tune(builder: SparkSession.Builder) -> SparkSession.Builder:
@@ -27,8 +26,9 @@ def tune(builder: SparkSession.Builder) -> SparkSession.Builder:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder, set on the context when it is not yet.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may fall
-    back to a folder of its own: on a cluster other machines could not read it.
+    The cluster names it in ``spark.checkpoint.dir``. A session that names none gets a
+    folder below its warehouse, which all executors reach too; a machine-local temporary
+    folder is never used.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -36,13 +36,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="hubcat-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder for a written table."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared checkpoint folder for a written table.
+
+    A returned plan may still read it, so the folder goes when the session's JVM ends.
+    """
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: lineage ends there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

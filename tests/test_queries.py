@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from hubcat.queries import oracle_sql, queries
 from oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def tables():
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
