@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hubcat.llm import exact_dedup, histogram_sort
+from hubcat.llm import byte_bpe, exact_dedup, histogram_sort, pattern_packing, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pattern_packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("*", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards by bytes; equal texts differ in key, so that a cut may part them."""
     text = F.coalesce("text", F.lit("")).cast("binary")
@@ -21,12 +31,19 @@ def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {
+    "op1_pattern_packing": op1_pattern_packing,
+    "op2_token_counts": op2_token_counts,
     "op3_histogram_sort": op3_histogram_sort,
+    "op6_byte_bpe": op6_byte_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
