@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hubcat.llm import byte_bpe, exact_dedup, histogram_sort, pattern_packing, token_counts
+from hubcat.llm import byte_bpe, exact_dedup, histogram_sort, html_layout, pattern_packing, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +31,20 @@ def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("row.doc_id", toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_layout.extract(_table(spark, sf_dir, "pages")).select("page_id", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -43,7 +53,9 @@ QUERIES = {
     "op1_pattern_packing": op1_pattern_packing,
     "op2_token_counts": op2_token_counts,
     "op3_histogram_sort": op3_histogram_sort,
+    "op4_toxicity": op4_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
+    "op9_html_layout": op9_html_layout,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
