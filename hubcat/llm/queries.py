@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hubcat.llm import byte_bpe, exact_dedup, histogram_sort, html_layout, pattern_packing, token_counts, toxicity
+from hubcat.llm import byte_bpe, exact_dedup, histogram_sort, html_layout, pattern_packing, space_curves, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_space_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return space_curves.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_histogram_sort": op3_histogram_sort,
     "op4_toxicity": op4_toxicity,
+    "op5_space_curves": op5_space_curves,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_html_layout": op9_html_layout,
     "op10_exact_dedup": op10_exact_dedup,
