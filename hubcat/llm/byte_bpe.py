@@ -14,7 +14,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from hubcat.llm.memo import Memo, slices, whole_texts
+from hubcat.llm.memo import Memo, whole_texts
 
 _MASK = (1 << 64) - 1
 
@@ -115,21 +115,14 @@ def load(path: str) -> ByteBpe:
 @lru_cache(maxsize=2)
 def _word_ids(path: str) -> Memo:
     bpe = load(path)
-
-    def make(words: list[str]) -> Iterator[bytes]:
-        for word in words:
-            yield np.asarray(bpe.encode(word.encode()), "<u4").tobytes()
-    return Memo(make)
+    return Memo(lambda word: np.asarray(bpe.encode(word.encode()), "<u4").tobytes())
 
 
 def encode_texts(texts: list[str], path: str, pattern: str) -> Iterator[bytes]:
     """Ids of each text as little-endian unsigned 32-bit bytes."""
     memo, split = _word_ids(path), _compiled(pattern).findall
-    for run in slices(texts):
-        words = [split(t) for t in run]
-        memo.learn(words)
-        for parts in words:
-            yield b"".join(map(memo.__getitem__, parts))
+    for text in texts:
+        yield b"".join(map(memo.__getitem__, split(text)))
 
 
 @lru_cache(maxsize=4)

@@ -1,47 +1,29 @@
-"""A bounded per-process memo: what distinct parts of texts come to, worked out in batches."""
+"""A bounded per-process memo of what the distinct parts of texts come to."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable
 from functools import lru_cache
 from typing import Any
 
 import pyarrow as pa
 
-#: Entries after which a memo starts anew.
-LIMIT = 400_000
-#: Characters of text handled at a time.
-CHARACTERS = 1_000_000
+#: Entries that a memo keeps; later parts are worked out each time they come.
+LIMIT = 1_000_000
 
 
 class Memo(dict):
-    """``make`` turns a list of new parts into their values; ``learn`` keeps them."""
+    """Maps a part to what ``make`` finds for it. The first parts seen stay: frequent ones come early."""
 
-    def __init__(self, make: Callable[[list[str]], Iterable[Any]], limit: int = LIMIT):
+    def __init__(self, make: Callable[[str], Any], limit: int = LIMIT):
         super().__init__()
         self._make, self._limit = make, limit
 
-    def learn(self, parts: Iterable[list[str]]) -> None:
-        wanted = set().union(*parts)
-        new = list(wanted.difference(self))
-        if len(self) + len(new) > self._limit:
-            self.clear()
-            new = list(wanted)
-        if new:
-            self.update(zip(new, self._make(new)))
-
-
-def slices(texts: list[str], characters: int = CHARACTERS) -> Iterator[list[str]]:
-    """Runs of texts of about so many characters, a longer text alone."""
-    run, size = [], 0
-    for text in texts:
-        if run and size + len(text) > characters:
-            yield run
-            run, size = [], 0
-        run.append(text)
-        size += len(text)
-    if run:
-        yield run
+    def __missing__(self, part: str) -> Any:
+        value = self._make(part)
+        if len(self) < self._limit:
+            self[part] = value
+        return value
 
 
 def whole_texts(column: pa.Array) -> list[str]:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from hubcat.llm.memo import Memo, slices, tokenizer, whole_texts
+from hubcat.llm.memo import Memo, tokenizer, whole_texts
 from hubcat.session import stored
 
 #: Tokens of a sequence.
@@ -33,10 +33,8 @@ END_ID = 0
 @lru_cache(maxsize=2)
 def _word_ids(path: str) -> Memo:
     """Ids of a word as little-endian unsigned 32-bit bytes. White space never takes part in a token here."""
-    def make(words: list[str]) -> Iterator[bytes]:
-        for found in tokenizer(path).encode_batch_fast(words, add_special_tokens=False):
-            yield np.asarray(found.ids, "<u4").tobytes()
-    return Memo(make)
+    encode = tokenizer(path).encode
+    return Memo(lambda word: np.asarray(encode(word, add_special_tokens=False).ids, "<u4").tobytes())
 
 
 def document_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, text: str = "text", doc_id: str = "doc_id",
@@ -56,9 +54,8 @@ def document_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, text:
         memo, seen, task = _word_ids(path), Counter(), TaskContext.get().partitionId()
         for batch in batches:
             rows, owner = [], []
-            for words in _words(batch.column(1), memo):
-                tokens = b"".join(map(memo.__getitem__, words)) + end
-                document = owner[-1] + 1 if owner else 0
+            for document, text in enumerate(whole_texts(batch.column(1))):
+                tokens = b"".join(map(memo.__getitem__, text.replace("\n", " ").split(" "))) + end
                 for piece, at in enumerate(range(0, len(tokens), 4 * capacity)):
                     part = tokens[at:at + 4 * capacity]
                     n = len(part) // 4
@@ -74,13 +71,6 @@ def document_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, text:
         + ", ids array<long>" * with_ids)
 
 
-def _words(texts: pa.Array, memo: Memo) -> Iterator[list[str]]:
-    for run in slices(whole_texts(texts)):
-        words = [t.replace("\n", " ").split(" ") for t in run]
-        memo.learn(words)
-        yield from words
-
-
 # The plan: made on the driver from the histogram alone, whose size is the capacity
 
 def _patterns(classes: int, few: int) -> list[tuple[int, ...]]:

@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from hubcat.llm.memo import Memo, slices, tokenizer, whole_texts
+from hubcat.llm.memo import Memo, tokenizer, whole_texts
 from hubcat.session import stored
 
 #: Characters of a chunk, and of the overlap with the next one.
@@ -28,9 +28,8 @@ _SAFE = re.compile(r"(?<=\S)(?= \S)")
 
 @lru_cache(maxsize=2)
 def _unit_counts(path: str) -> Memo:
-    def make(units: list[str]) -> Iterator[int]:
-        return map(len, tokenizer(path).encode_batch_fast(units, add_special_tokens=False))
-    return Memo(make)
+    encode = tokenizer(path).encode
+    return Memo(lambda unit: len(encode(unit, add_special_tokens=False)))
 
 
 def _units(text: str) -> list[str]:
@@ -45,11 +44,7 @@ def _counted(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _unit_counts(path)
         for batch in batches:
-            counts = []
-            for texts in slices(whole_texts(batch.column(2))):
-                units = [_units(t) for t in texts]
-                memo.learn(units)
-                counts += [sum(map(memo.__getitem__, u)) for u in units]
+            counts = [sum(map(memo.__getitem__, _units(text))) for text in whole_texts(batch.column(2))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
     return run
 
@@ -107,7 +102,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", doc_id: str = "
     """One row per document: doc_id, n_bytes, n_tokens as the tokenizers library counts the whole text.
 
     A text of at most a chunk is counted by parts between blanks, each handed to the library once
-    per memo. A longer one is cut into overlapping chunks that may run on any executor. A cut is
+    for each memo. A longer one is cut into overlapping chunks that may run on any executor. A cut is
     proven when a pre-token starts there in both chunks, far enough from the first one's end:
     scanning looks only ahead, so from there both tokenisations are those of the whole text.
     Where a pair has no such place, its document is cut anew with wider chunks and overlaps, at

@@ -13,7 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hubcat.llm.memo import Memo, slices, whole_texts
+from hubcat.llm.memo import Memo, whole_texts
 from hubcat.session import stored
 
 #: Coordinates of the model, a power of two.
@@ -59,10 +59,9 @@ def _sigmoid(x: float) -> float:
 @lru_cache(maxsize=1)
 def _word_hashes() -> Memo:
     """For each word of a blank-delimited part 8 bytes of its hash, then 8 of each stem's."""
-    def make(parts: list[str]) -> Iterator[bytes]:
-        for part in parts:
-            yield b"".join(xxhash.xxh64_digest(w) + b"".join(xxhash.xxh64_digest(w[:n], seed=n) for n in STEMS)
-                           for w in _WORD.findall(part.lower()))
+    def make(part: str) -> bytes:
+        return b"".join(xxhash.xxh64_digest(w) + b"".join(xxhash.xxh64_digest(w[:n], seed=n) for n in STEMS)
+                        for w in _WORD.findall(part.lower()))
     return Memo(make)
 
 
@@ -84,11 +83,8 @@ def _features(hashes: bytes) -> np.ndarray:
 
 def features_of(texts: list[str]) -> Iterator[np.ndarray]:
     memo = _word_hashes()
-    for run in slices(texts):
-        parts = [t.replace("\n", " ").split(" ") for t in run]
-        memo.learn(parts)
-        for some in parts:
-            yield _features(b"".join(map(memo.__getitem__, some)))
+    for text in texts:
+        yield _features(b"".join(map(memo.__getitem__, text.replace("\n", " ").split(" "))))
 
 
 # Fitting
