@@ -70,7 +70,8 @@ def _marked(path: str, chunk: int, overlap: int):
                 found = tokenizer(path).encode(row.text, add_special_tokens=False)
                 words = np.asarray([-1 - i if w is None else w for i, w in enumerate(found.word_ids)], "i8")
                 at = np.flatnonzero(np.r_[True, words[1:] != words[:-1]]) if len(words) else np.zeros(0, "i8")
-                begin = np.asarray([found.offsets[i][0] for i in at], "i8")
+                offsets = found.offsets  # made anew at each access
+                begin = np.asarray([offsets[i][0] for i in at], "i8")
                 left = begin <= overlap
                 right = (begin >= chunk) & (begin <= len(row.text) - UNSURE) & (not row.last)
                 yield pd.DataFrame({"key": [row.key], "chunk": [row.chunk], "total": [len(words)],
