@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hubcat.llm import byte_bpe, exact_dedup, histogram_sort, html_layout, pattern_packing, space_curves, token_counts, toxicity
+from hubcat.llm import byte_bpe, exact_dedup, histogram_sort, html_layout, jaccard_join, pattern_packing, space_curves, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"), words=3, part=90).drop("text_hash")
+
+
 def op9_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_layout.extract(_table(spark, sf_dir, "pages")).select("page_id", "text", F.length("text").cast("long").alias("n_chars"))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_space_curves": op5_space_curves,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_html_layout": op9_html_layout,
     "op10_exact_dedup": op10_exact_dedup,
 }
