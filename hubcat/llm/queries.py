@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hubcat.llm import byte_bpe, exact_dedup, histogram_sort, html_layout, jaccard_join, pattern_packing, space_curves, token_counts, toxicity
+from hubcat.llm import byte_bpe, exact_dedup, histogram_sort, html_layout, jaccard_join, pattern_packing, space_curves, suffix_dedup, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,13 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_bytes = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long")
+    return cleaned.select("row.doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.octet_length("kept")).alias("n_removed"),
+                          F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"), words=3, part=90).drop("text_hash")
 
@@ -64,6 +71,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_space_curves": op5_space_curves,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_html_layout": op9_html_layout,
     "op10_exact_dedup": op10_exact_dedup,
