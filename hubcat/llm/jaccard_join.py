@@ -251,13 +251,14 @@ def _product(docs: DataFrame, work: DataFrame, words: int, part: int, whole: int
 
 def jaccard_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 100, text: str = "text", doc_id: str = "doc_id",
                    block_entries: int = BLOCK_ENTRIES) -> DataFrame:
-    """One row per document: doc_id, text_hash, n_shingles, component_id (the smallest id of all that links reach).
+    """One row per document: doc_id, text_hash, n_shingles, component_id (the smallest id of all that links reach), label.
 
     Two documents link when whole * intersection >= part * union of their shingle sets. Equal sets are one row of the matrix.
     Candidates agree wholly on a column block (see ``Scheme``), which every linked pair does.
     They are joined to candidate components; a component's rows are cut into blocks of bounded size and multiplied
     block by block, larger ones first each block by itself, then what is still apart against all.
-    Only links that join something are kept, so that no group gives all its pairs. Texts that are null or have no
+    Only links that join something are kept, so that no group gives all its pairs. ``label`` is one long for each
+    component, in no fixed order. Texts that are null or have no
     words link with nothing. Rows that repeat an id come back each; rows without an id have the
     smallest id of their component, if it has any.
     """
@@ -292,7 +293,21 @@ def jaccard_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int =
         "doc_id", "text_hash", F.col("size").alias("n_shingles"), F.coalesce("label", "row").alias("label"))
     final = stored(final, "joined")
     least = final.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return final.join(least, "label").select("doc_id", "text_hash", "n_shingles", "component_id")
+    return final.join(least, "label").select("doc_id", "text_hash", "n_shingles", "component_id", "label")
+
+
+def drop_near_copies(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 100, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The documents that stay, with all their columns: of each group the one with the smallest id, a null id last.
+
+    Of rows that share this id the one with the smallest text hash stays; rows that also share the text stay together.
+    """
+    groups = jaccard_groups(docs, words, part, whole, text, doc_id)
+    chosen = groups.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("best"))
+    chosen = chosen.select(F.col("best.doc_id").alias("id"), F.col("best.text_hash").alias("hash")).distinct()
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{doc_id}`").alias("own"),
+                       F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("own_hash"))
+    same = F.col("own_hash") == F.col("hash")
+    return rows.join(chosen, same & F.col("own").eqNullSafe(F.col("id")), "left_semi").select("row.*")
 
 
 def _between_blocks(docs: DataFrame, many: DataFrame, links: DataFrame, words: int, part: int, whole: int, block_entries: int) -> DataFrame:

@@ -53,7 +53,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"), words=3, part=90).drop("text_hash")
+    return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"), words=3, part=90).drop("text_hash", "label")
 
 
 def op9_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -366,6 +366,8 @@ def _shared(a: bytes, b: bytes, known: int) -> int:
 # Texts without what is repeated
 
 def _cleaned(name: str, fields: pa.Schema):
+    as_text = pa.types.is_string(fields.field("kept").type)
+
     def run(texts: pa.Table, removed: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return fields.empty_table()
@@ -384,17 +386,20 @@ def _cleaned(name: str, fields: pa.Schema):
             runs = where.get((document, occurrence), [])
             ends = [0, *(e for _, e in runs)]
             rows.append(row)
-            kept.append(b"".join(text[a:b] for a, b in zip(ends, [*(s for s, _ in runs), len(text)])))
+            stays = b"".join(text[a:b] for a, b in zip(ends, [*(s for s, _ in runs), len(text)]))
+            kept.append(stays.decode("utf-8", "ignore") if as_text else stays)
             cut.append([{"start": s, "end": e} for s, e in runs])
-        return pa.Table.from_arrays([texts.column("row").combine_chunks().take(pa.array(rows)), pa.array(kept, pa.binary()),
+        return pa.Table.from_arrays([texts.column("row").combine_chunks().take(pa.array(rows)), pa.array(kept, fields.field("kept").type),
                                      pa.array(cut, fields.field("spans").type)], schema=fields)
     return run
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, gram: int = GRAM,
-                   heavy: int = HEAVY) -> DataFrame:
+                   heavy: int = HEAVY, as_text: bool = False) -> DataFrame:
     """row (all columns of ``docs``), kept (bytes that stay), spans (start and end of each maximal removed run).
 
+    With ``as_text`` kept is a string, without the characters that a cut went through.
+
     A byte goes when it lies in a string of ``length`` bytes that also starts earlier: in a document with a smaller
     id, or earlier in its own. Null counts as empty; texts shorter than ``length`` stay. Rows without an id come
     before all others; rows that repeat an id follow the order of their texts. Ids are whole numbers.
@@ -419,5 +424,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     repeated = grams.groupBy("part").applyInArrow(_repeated(heavy), _ddl(_REPEATED))
     runs = texts.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(_sorted_runs(text, length, gram, parts), _ddl(_RUNS))
     spans = runs.groupBy("part").applyInArrow(_merge(length, gram, parts), _ddl(_SPANS))
-    made = T.StructType([texts.schema["row"], T.StructField("kept", T.BinaryType()), T.StructField("spans", T.ArrayType(_SPAN))])
+    made = T.StructType([texts.schema["row"], T.StructField("kept", T.StringType() if as_text else T.BinaryType()), T.StructField("spans", T.ArrayType(_SPAN))])
     return texts.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(_cleaned(text, to_arrow_schema(made)), made)
