@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,3 +61,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever they run: Spark hands them a copy, once in each session."""
+    sc = spark.sparkContext
+    if getattr(sc, "_hubcat_shipped", False):
+        return
+    root, place = os.path.dirname(os.path.abspath(__file__)), f"{scratch_path(spark, 'package')}/hubcat.zip"
+    with tempfile.TemporaryDirectory() as folder:
+        os.mkdir(f"{folder}/src")
+        shutil.copytree(root, f"{folder}/src/hubcat", ignore=shutil.ignore_patterns("__pycache__"))
+        made = shutil.make_archive(f"{folder}/hubcat", "zip", f"{folder}/src")
+        path = sc._jvm.org.apache.hadoop.fs.Path
+        path(place).getFileSystem(sc._jsc.hadoopConfiguration()).copyFromLocalFile(path(made), path(place))
+    sc.addPyFile(place)
+    sc._hubcat_shipped = True
