@@ -1,0 +1,118 @@
+import base64
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from helpers import clashing, corpus, frame
+from hubcat.llm import byte_bpe, pattern_packing, token_counts
+
+RANKS, BYTE_BPE, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "word_bpe_49k.json"))
+ODD = ["a  b \n c\t", "  lead", "trail  ", "don't we'll I'M", "<|endoftext|> <|startoftext|>x", "日本 語 x", "é é ́x", "ΑΣ ΑΣ.", "a" * 3000,
+       "12345 678", " a 　b", "x\x1cy \x1f z", "İstanbul", "🙂🙂 ok", "a 's 't 're", " ", "\n\n"]
+
+
+def texts():
+    return [*corpus(), *((1000 + i, t) for i, t in enumerate(ODD)), (None, "no id"), (7, "same id"), (7, "same id")]
+
+
+def test_counts_are_the_library_s(spark):
+    rows = texts()
+    found = Tokenizer.from_file(BYTE_BPE).encode_batch([t or "" for _, t in rows], add_special_tokens=False)
+    want = sorted(((i, len((t or "").encode()), len(e)) for (i, t), e in zip(rows, found)), key=str)
+    for chunk, overlap in ((65_536, 512), (50, 45), (40, 4)):
+        got = token_counts.count_tokens(clashing(spark, rows), BYTE_BPE, chunk=chunk, overlap=overlap).collect()
+        assert sorted(((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in got), key=str) == want
+    assert token_counts.count_tokens(frame(spark, []), BYTE_BPE).count() == 0
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(RANKS, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_encoding_and_decoding(spark, library):
+    rows = texts()
+    got = byte_bpe.round_trip(clashing(spark, rows), RANKS, public_tokenizers.PATTERN).collect()
+    want = []
+    for i, t in rows:
+        ids = np.asarray(library.encode_ordinary(t or ""), "<u4").tobytes()
+        want.append((i, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    ids = byte_bpe.encode(frame(spark, rows), RANKS, public_tokenizers.PATTERN)
+    back = byte_bpe.decode(ids, RANKS).collect()
+    assert sorted((r["doc_id"] or -1, bytes(r["decoded"]).decode()) for r in back) == sorted((i if i is not None else -1, t or "") for i, t in rows)
+
+
+def test_merges_and_perfect_hash(library):
+    bpe, rng = byte_bpe.load(RANKS), random.Random(1)
+    assert sorted(bpe.hash.slot(k) for k in bpe.ranks) == list(range(len(bpe.ranks)))
+    for key in rng.sample(sorted(bpe.ranks), 300):
+        assert bpe.encode(key) == [bpe.ranks[key]] == library.encode_ordinary(key.decode()) if key.isalpha() else True
+    for _ in range(300):
+        word = bytes(rng.choice(b"aeinst lor") for _ in range(rng.randrange(1, 40)))
+        assert bpe.merged(word) == library._core_bpe.encode_single_piece(word)
+
+
+def check_packing(rows, capacity):
+    by_sequence, by_document = {}, {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        by_document.setdefault(r["doc_id"], []).append(r)
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return by_sequence, by_document
+
+
+def test_packing(spark):
+    rows = [(i, t) for i, t in texts() if i is not None and i != 7]
+    got = pattern_packing.pack_documents(clashing(spark, rows).repartition(3), WORDS, capacity=128).collect()
+    sequences, documents = check_packing(got, 128)
+    for (i, t), e in zip(rows, Tokenizer.from_file(WORDS).encode_batch([t or "" for _, t in rows], add_special_tokens=False)):
+        ids, at = np.asarray([*e.ids, 0], "<u4"), 0
+        pieces = sorted(documents[i], key=lambda r: r["piece"])
+        for k, r in enumerate(pieces):
+            assert (r["piece"], r["start"], r["ids_crc32"]) == (k, at, zlib.crc32(ids[at:at + r["length"]].tobytes()))
+            assert r["length"] == 128 or k == len(pieces) - 1
+            at += r["length"]
+        assert at == len(ids)
+    assert len(sequences) <= 1.1 * -(-sum(r["length"] for r in got) // 128) + 1
+    again = pattern_packing.document_pieces(frame(spark, rows), WORDS, 128, with_ids=True).collect()
+    assert all(zlib.crc32(np.asarray(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in again)
+    assert pattern_packing.pack_documents(frame(spark, []), WORDS).count() == 0
+    twice = pattern_packing.pack_documents(frame(spark, [(None, None), (3, "a"), (3, "a")]), WORDS).collect()
+    assert len(twice) == 3 and len(check_packing(twice, 2048)[0]) == 1
+
+
+def test_plans_hold_every_piece_once():
+    rng = np.random.default_rng(3)
+    for capacity, lengths in ((64, rng.integers(1, 65, 500)), (64, np.full(300, 33)), (64, np.full(300, 1)), (2048, np.minimum(2048, rng.lognormal(6, 1, 3000).astype(int) + 1)), (7, np.asarray([7, 7, 1]))):
+        length, count = np.unique(lengths, return_counts=True)
+        plan = pattern_packing.make_plan(dict(zip(length.tolist(), count.tolist())), capacity)
+        sequence, offset = plan.place(np.repeat(length, count), np.concatenate([np.arange(c) for c in count]))
+        check_packing([{"sequence_id": s, "offset": o, "length": n, "doc_id": 0} for s, o, n in zip(sequence.tolist(), offset.tolist(), np.repeat(length, count).tolist())], capacity)
+        assert plan.sequences == len(set(sequence.tolist()))
+        if capacity == 2048:
+            assert plan.sequences <= 1.02 * lengths.sum() / capacity
+
+
+def test_nonnegative_least_squares():
+    rng = np.random.default_rng(1)
+    a = rng.random((12, 6))
+    x = pattern_packing.nonnegative_least_squares(a, a @ np.asarray([1, 0, 2, 0, 0, 3.0]))
+    assert np.allclose(x, [1, 0, 2, 0, 0, 3], atol=1e-6)
+    b = rng.normal(size=12)
+    x = pattern_packing.nonnegative_least_squares(a, b)
+    gradient = a.T @ (b - a @ x)
+    assert (x >= 0).all() and (gradient < 1e-6).all() and np.allclose(gradient[x > 0], 0, atol=1e-6)
