@@ -133,20 +133,20 @@ def _citation_state(citations: DataFrame, previous: DataFrame | None) -> DataFra
 
 
 def merge_citations(papers: DataFrame, citations: DataFrame, previous: DataFrame | None = None,
-                    keep_duplicates: bool = False) -> DataFrame:
+                    distinct: bool = False) -> DataFrame:
     """Papers with the new citation triple, or the previous one where the new count is null.
 
-    New and previous results are first reduced to one row per paper id, so each paper row
-    comes out once and the wide table is joined once. ``keep_duplicates`` joins every new
-    row instead, which multiplies papers whose id repeats in ``citations``.
+    Every new row is joined: a paper whose id repeats in ``citations`` comes out once for
+    each. With ``distinct`` new and previous results are first reduced to one row per id, so each
+    paper row comes out once and the wide table is joined once.
     """
     base = papers.drop(COUNT, EXT_ID, FETCHED)
-    if keep_duplicates:
+    if not distinct:
         new = _triples(citations).where(F.col("paper_id").isNotNull()).select(
             "paper_id",
             F.struct(F.col(FETCHED), F.col(COUNT), F.col(EXT_ID)).alias("__new"),
         )
-        joined = base.join(new, "paper_id", "left")
+        joined = join_unique(base, new, "paper_id")
         if previous is None:
             joined = joined.withColumn("__old", F.lit(None).cast(new.schema["__new"].dataType))
         else:

@@ -22,7 +22,7 @@ _DETAIL = (
 def _list_key(column: str):
     """128-bit key of a keyword list; null for a null or empty list."""
     c = quoted(column)
-    return F.when(F.size(c) > 0, F.md5(F.to_json(c)))
+    return F.when(F.size(c) > 0, F.unhex(F.md5(F.to_json(c))))
 
 
 def keyword_lists(papers: DataFrame, column: str = "paper_ai_keywords") -> DataFrame:
@@ -33,7 +33,7 @@ def keyword_lists(papers: DataFrame, column: str = "paper_ai_keywords") -> DataF
     """
     lists = papers.select(quoted(column).alias("keywords"))
     # Never null, or a null check of the key would be pushed into the scan.
-    key = F.coalesce(_list_key("keywords"), F.lit(""))
+    key = F.coalesce(_list_key("keywords"), F.unhex(F.lit("")))
     return lists.distinct().select(key.alias(_LIST), "keywords")
 
 

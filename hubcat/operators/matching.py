@@ -10,11 +10,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from hubcat import spec
 from hubcat.operators.skew import join_unique
 from hubcat.operators.taxonomy import NODE_FIELDS
+from hubcat.session import stored
 
 # The node matrix goes to every executor only up to these sizes (64 MB of doubles).
 BROADCAST_NODES = 20_000
@@ -29,38 +30,35 @@ SIMILARITY_DECIMALS = 12
 # Workers get the small kernels below with the task; they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+_KEY, _BREAK = "__term", r"[^\p{L}\p{N}]+"
 _BEST = "term string, ordinal long, score double"
 
 
 def tokens(terms: DataFrame, lowercase: bool = False) -> DataFrame:
     """(term, token) rows: runs of letters and digits."""
     text = F.lower("term") if lowercase else F.col("term")
-    return terms.select("term", F.explode_outer(F.split(text, r"[^\p{L}\p{N}]+")).alias("token")).where(
+    return terms.select("term", F.explode_outer(F.split(text, _BREAK)).alias("token")).where(
         F.col("token") != "")
 
 
-def mean_vector(vectors: Column) -> Column:
-    """Mean of an array of equally long vectors."""
-    total = F.aggregate(
-        F.slice(vectors, F.lit(2), F.size(vectors)), vectors[0],
-        lambda t, v: F.zip_with(t, v, lambda x, y: x + y))
-    return F.transform(total, lambda x: x / F.size(vectors))
-
-
 def term_vectors(terms: DataFrame, word_vectors: DataFrame, lowercase: bool = False) -> DataFrame:
     """Mean word vector of each distinct term; terms without a known word drop out.
 
-    ``word_vectors(token, vector)`` has one row per token. Unknown words only rescale the
-    mean, which leaves every cosine as it is. The vectors gathered for a term are those of
-    its own words, so a group is no longer than the text of one term.
+    ``word_vectors(token, vector)`` has one row per token, all of one length, which a first job
+    reads. Unknown words only rescale the mean, which leaves every cosine as it is. Words
+    carry a 128-bit key of their term, not its text, and are counted and summed with partial
+    steps: work and shuffle grow with the number of words. The text is joined back at the end.
     """
-    found = join_unique(
-        tokens(terms.select("term").distinct(), lowercase),
-        word_vectors.select("token", F.col("vector").cast("array<double>").alias("v")),
-        "token", "inner",
-    )
-    return found.groupBy("term").agg(F.collect_list("v").alias("vs")).select(
-        "term", mean_vector(F.col("vs")).alias("vector"))
+    width = word_vectors.agg(F.max(F.size("vector"))).first()[0] or 0
+    named = terms.where(F.col("term").isNotNull()).select(F.unhex(F.md5("term")).alias(_KEY), "term").groupBy(_KEY).agg(
+        F.any_value("term").alias("term"))
+    text = F.lower("term") if lowercase else F.col("term")
+    words = named.select(_KEY, F.explode_outer(F.split(text, _BREAK)).alias("token")).where(F.col("token") != "")
+    counted = words.groupBy(_KEY, "token").agg(F.count(F.lit(1)).alias("n"))
+    found = join_unique(counted, word_vectors.select("token", F.col("vector").cast("array<double>").alias("v")), "token", "inner")
+    sums = found.groupBy(_KEY).agg(F.sum("n").alias("n"), *(F.sum(F.col("n") * F.col("v")[i]).alias(f"s{i}") for i in range(width)))
+    means = sums.select(_KEY, F.array(*(F.col(f"s{i}") / F.col("n") for i in range(width))).cast("array<double>").alias("vector"))
+    return named.join(means, _KEY).select("term", "vector")
 
 
 def node_vectors(nodes: DataFrame, word_vectors: DataFrame, lowercase: bool = False) -> DataFrame:
@@ -170,19 +168,20 @@ def best_matches(terms: DataFrame, nodes: DataFrame, threshold: float = spec.SIM
     """Best node above the threshold for each ``(term, vector)`` row; first node wins ties.
 
     ``nodes`` are taxonomy nodes with a ``vector``. Every distinct term is scored once; no
-    term x node pair leaves a task. The node matrix is broadcast after its size has been
-    checked, and matched block by block beyond that.
+    term x node pair leaves a task. The nodes are written once; a count of their rows and
+    values decides, before any row moves, whether their matrix is broadcast or they are
+    matched block by block. Both ways give the same rows. The write and the count run at once.
     """
     terms = terms.where(F.col("vector").isNotNull()).select(
         "term", F.col("vector").cast("array<double>").alias("vector"))
-    nodes = nodes.where(F.col("vector").isNotNull()).select(
-        *NODE_FIELDS, F.col("vector").cast("array<double>").alias("vector"))
-    sample = nodes.limit(broadcast_nodes + 1).collect()
-    values = sum(len(r["vector"]) for r in sample)
-    if len(sample) > broadcast_nodes or values > broadcast_values:
-        found = _match_blocked(terms, nodes, threshold)
+    nodes = stored(nodes.where(F.col("vector").isNotNull()).select(
+        *NODE_FIELDS, F.col("vector").cast("array<double>").alias("vector")), "nodes")
+    size = nodes.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("vector")), F.lit(0)).alias("values")).first()
+    if size["rows"] > broadcast_nodes or size["values"] > broadcast_values:
+        found = _match_blocked(stored(terms, "terms"), nodes, threshold)
         fields = nodes.select(*NODE_FIELDS)
     else:
+        sample = nodes.collect()
         # Only nodes left in the matrix can be matched, so only those are looked up.
         ordinals, unit = _node_matrix(
             np.array([r["ordinal"] for r in sample], dtype=np.int64),

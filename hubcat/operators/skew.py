@@ -8,13 +8,13 @@ _SPREAD = "__spread"
 
 
 def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Join on ``key``; ``right`` holds at most one row per key.
+    """Join on ``key``; ``right`` should hold one row per key, else rows multiply as in any join.
 
     Rows without a key match nothing, so they are spread by the partition they come from
     instead of meeting in one task. The second join key also makes both sides shuffle for
     this join alone, even when ``right`` is already grouped by ``key``: only then can
     adaptive execution see a hot key and split its rows over several tasks, each against
-    the same one right row. A right side that turns out small is broadcast at run time.
+    the right rows of that key. A right side that turns out small is broadcast at run time.
     """
     spread = F.when(F.col(key).isNull(), F.spark_partition_id()).otherwise(F.hash(key))
     return (

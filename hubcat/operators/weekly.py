@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 from hubcat.functions.text import snapshot_date
 
@@ -17,14 +18,25 @@ def latest_snapshots(paths: DataFrame, item: str = "item", path: str = "path") -
     )
 
 
+def utc_day(when: Column, dtype: T.DataType) -> Column:
+    """Calendar day in UTC, whatever the session's time zone: of instants, of epoch seconds, of zoneless times as they stand."""
+    if isinstance(dtype, T.TimestampType):
+        days = F.floor(F.unix_micros(when) / F.lit(86_400_000_000))
+    elif isinstance(dtype, T.NumericType):
+        days = F.floor(when / F.lit(86_400))
+    else:
+        return F.to_date(when)
+    return F.date_add(F.lit("1970-01-01").cast("date"), days.cast("int"))
+
+
 def daily_revisions(revisions: DataFrame) -> DataFrame:
-    """Last revision per item and day of ``(item, revision, committed_at)``.
+    """Last revision per item and UTC day of ``(item, revision, committed_at)``.
 
-    Week bounds fall on midnight, so a day is as fine as the as-of needs. This shrinks
+    ``committed_at`` is a timestamp with or without zone, or epoch seconds. Week bounds fall on midnight, so a day is as fine as the as-of needs. This shrinks
     the log before anything is ordered: an item never holds more rows than days.
     """
     return (
-        revisions.groupBy("item", F.to_date("committed_at").alias("day"))
+        revisions.groupBy("item", utc_day(F.col("committed_at"), revisions.schema["committed_at"].dataType).alias("day"))
         .agg(F.max(F.struct("committed_at", "revision")).alias("last"))
         .select("item", "day", F.col("last.revision").alias("revision"))
     )

@@ -51,13 +51,13 @@ def _word_vectors(papers: DataFrame, tree: DataFrame) -> DataFrame:
     return papers.sparkSession.read.parquet(path)
 
 
-def matches(found: DataFrame, tree: DataFrame) -> DataFrame:
+def matches(found: DataFrame, tree: DataFrame, **limits: int) -> DataFrame:
     """Keyword matches from term vectors made straight from the terms.
 
     Counting letters over a term or averaging them over its words gives the same direction.
     """
     vectors = keyword_terms(found).select("term", letters(F.col("term")).alias("vector"))
-    return m.best_matches(vectors, tree.withColumn("vector", letters(F.col("label"))), SIMILARITY)
+    return m.best_matches(vectors, tree.withColumn("vector", letters(F.col("label"))), SIMILARITY, **limits)
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,7 +83,10 @@ def a15_level_counts(spark, sf):
 
 
 def e2_term_vectors(spark, sf):
-    terms = dealt(spark, sf, "conversations", "text").withColumnRenamed("text", "term")
+    return _vector_digest(dealt(spark, sf, "conversations", "text").withColumnRenamed("text", "term"))
+
+
+def _vector_digest(terms: DataFrame) -> DataFrame:
     vectors = m.term_vectors(terms, letter_vectors(terms), lowercase=True)
     spread = F.aggregate(F.transform("vector", lambda v, i: v * F.sqrt(i + 1)), F.lit(0.0),
                          lambda total, v: total + v)
@@ -131,6 +134,17 @@ def e4_best_match(spark, sf):
     return out.select("term", "ordinal", "label", "level", F.round("score", 6).alias("score"))
 
 
+def e4_blocked_match(spark, sf):
+    """The same without a broadcast of the nodes, with all node fields."""
+    out = matches(papers(spark, sf), nodes(spark, sf), broadcast_nodes=0)
+    return out.select("term", "ordinal", "category", "subcategory", "topic", "label", "level", F.round("score", 6).alias("score"))
+
+
+def e2_text_vectors(spark, sf):
+    """Term vectors of whole documents: a term may be as long as a text."""
+    return _vector_digest(dealt(spark, sf, "documents", "text").withColumnRenamed("text", "term"))
+
+
 def _labels(out: DataFrame) -> DataFrame:
     return out.select(
         "paper_id", *(F.array_join(c, "|").alias(c) for c in _LISTED),
@@ -199,6 +213,7 @@ def r9_classified_sample(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     e1_taxonomy, a15_level_counts, e2_term_vectors, e3_cosine, x1_vector_match, e4_best_match,
+    e4_blocked_match, e2_text_vectors,
     e6_multilabel, e8_labelled_papers, e7_match_details, a8_label_counts, a9_coverage, a10_match_stats, a13_summary,
     r9_classified_sample)}
 
@@ -338,4 +353,7 @@ ORACLE = {
         where primary_category is not null order by paper_id limit 3""",
 }
 
+ORACLE["e2_text_vectors"] = ORACLE["e2_term_vectors"].replace("from conversations", "from documents where text is not null")
+ORACLE["e4_blocked_match"] = f"""with {_MATCHES} select term, ordinal, category, subcategory, topic, label, level,
+    round(score, 6) as score from matches"""
 ORACLE["e8_labelled_papers"] = ORACLE["e6_multilabel"]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from hubcat import spec
 from hubcat.operators import reports
+from hubcat.operators.citations import batch_totals
 from hubcat.operators.taxonomy import read_taxonomy
 from hubcat.queries.mapping import table
 from hubcat.queries.models import STAMP, DAY, models, text_tags
@@ -13,7 +14,7 @@ from hubcat.queries.weekly import END, START, _revisions
 from hubcat.plans.weekly import weekly_snapshots
 from hubcat.session import scratch_path
 from hubcat.sources.scans import previous_citations, read_batches
-from hubcat.sources.sinks import verify, write_csv, write_parquet, write_report
+from hubcat.sources.sinks import read_csv, verify, write_csv, write_parquet, write_report
 from hubcat.sources.snapshots import read_snapshot, weekly_paths, write_snapshot, write_weekly
 
 
@@ -39,7 +40,16 @@ def s7_previous_cache(spark, sf):
 
 
 def s8_batch_files(spark, sf):
-    """Two batch folders with unequal columns, read back by pattern and counted per level."""
+    """Two batch folders with unequal columns, read back by pattern."""
+    return _batches(spark, sf).select("paper_id", "citation_count", "nation", "batch_file")
+
+
+def a11_batch_totals(spark, sf):
+    """Rows and values of the batches read back; only customers bring a value."""
+    return batch_totals(_batches(spark, sf))
+
+
+def _batches(spark, sf):
     path = scratch_path(spark, "batches")
     table(spark, sf, "customer").select(
         F.col("c_name").alias("paper_id"), F.col("c_acctbal").alias("citation_count")
@@ -47,7 +57,7 @@ def s8_batch_files(spark, sf):
     table(spark, sf, "supplier").select(
         F.col("s_name").alias("paper_id"), F.col("s_nationkey").alias("nation")
     ).write.parquet(f"{path}/citations_batch_1")
-    return read_batches(spark, f"{path}/citations_batch_*").select("paper_id", "citation_count", "nation")
+    return read_batches(spark, f"{path}/citations_batch_*")
 
 
 def s9_taxonomy_file(spark, sf):
@@ -76,13 +86,14 @@ def s10_parquet(spark, sf):
 
 
 def s11_csv(spark, sf):
-    """Whole texts and nested values survive the CSV."""
+    """Whole texts, nested values, outer white space, line ends, quotes, empty and null survive the CSV."""
     path = scratch_path(spark, "csv")
-    write_csv(text_tags(spark, sf).join(table(spark, sf, "documents").select("doc_id", "text"), "doc_id"), path)
-    back = spark.read.schema("doc_id long, lang string, tags string, text string").option(
-        "escape", '"').option("multiLine", True).option("maxCharsPerColumn", -1).csv(path, header=True)
+    odd = F.expr("""case doc_id % 4 when 0 then ' ' || lang || chr(9) when 1 then lang || '"' || chr(13) || chr(10) || 'x,'
+        when 2 then '' end as odd""")
+    write_csv(text_tags(spark, sf).join(table(spark, sf, "documents").select("doc_id", "text", odd), "doc_id"), path)
+    back = read_csv(spark, path, "doc_id long, lang string, tags string, text string, odd string")
     return back.select("doc_id", "lang", F.size(F.from_json("tags", "array<string>")).alias("n_tags"),
-                       F.md5(F.regexp_replace("text", "\r\n?", "\n")).alias("text_md5"))
+                       F.md5("text").alias("text_md5"), F.md5("odd").alias("odd_md5"))
 
 
 def s12_report(spark, sf):
@@ -112,7 +123,7 @@ def s14_weekly_layout(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    s5_snapshot_meta, s6_snapshot_read, s7_previous_cache, s8_batch_files, s9_taxonomy_file,
+    s5_snapshot_meta, s6_snapshot_read, s7_previous_cache, s8_batch_files, a11_batch_totals, s9_taxonomy_file,
     s10_parquet, s11_csv, s12_report, s13_verify, s14_weekly_layout)}
 
 
@@ -124,8 +135,12 @@ def _oracle():
         "s7_previous_cache": """select cast(o_orderkey as varchar) as paper_id,
             o_totalprice as citation_count from orders""",
         "s8_batch_files": """select c_name as paper_id, c_acctbal as citation_count,
-            cast(null as integer) as nation from customer
-            union all select s_name, null, s_nationkey from supplier""",
+            cast(null as integer) as nation, 'citations_batch_0' as batch_file from customer
+            union all select s_name, null, s_nationkey, 'citations_batch_1' from supplier""",
+        "a11_batch_totals": """with b as (select 'citations_batch_0' as batch_file, c_acctbal as v from customer
+            union all select 'citations_batch_1', null from supplier)
+            select batch_file, count(*) as papers, count(v) as with_citations from b
+            group by rollup (batch_file)""",
         "s9_taxonomy_file": """with leaves as (select distinct r_name, n_name, c_mktsegment from customer
               join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
             p as (select *, dense_rank() over (order by r_name) - 1 as ci,
@@ -142,9 +157,9 @@ def _oracle():
         "s10_parquet": f"""with {_MODELS} select id, organization, size_category,
             len(tags)::integer as n_tags from models""",
         "s11_csv": f"""with {_TEXT_TAGS} select doc_id, t.lang, len(tags)::integer as n_tags,
-            md5(regexp_replace(text, '\r\n?', '\n', 'g')) as text_md5
-            from tagged t join documents using (doc_id)""".replace("'\r\n?'", r"'\r\n?'").replace(
-                "'\n'", "chr(10)"),
+            md5(text) as text_md5, md5(case doc_id % 4 when 0 then ' ' || t.lang || chr(9)
+              when 1 then t.lang || '"' || chr(13) || chr(10) || 'x,' when 2 then '' end) as odd_md5
+            from tagged t join documents using (doc_id)""",
         "s12_report": f"""with {_MODELS} select count(*) as total_papers, count(organization) as classified,
             count(*) filter (len(tags) > 1) as multi_category from models""",
         "s13_verify": f"""with {_MODELS} select count(*) as rows, {len(spec.MODELS.final)}::integer as columns,

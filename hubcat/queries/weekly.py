@@ -33,6 +33,15 @@ def j5_weekly_asof(spark, sf):
     return _text(weekly_snapshots(_revisions(spark, sf), TODAY))
 
 
+def j5_zoned_weeks(spark, sf):
+    """The same commits as instants: UTC days, whatever the session's time zone."""
+    since = ("datediff(ts, date '1970-01-01') * 86400000000L + hour(ts) * 3600000000L + minute(ts) * 60000000L"
+             " + cast(extract(second from ts) * 1000000 as bigint)")
+    zoned = table(spark, sf, "events").selectExpr(
+        "event_type as item", "'r' || event_id as revision", f"timestamp_micros({since}) as committed_at")
+    return _text(weekly_snapshots(zoned, TODAY))
+
+
 def t2_incremental(spark, sf):
     return _text(weekly_snapshots(_revisions(spark, sf), TODAY, _saved(spark, sf)))
 
@@ -48,7 +57,7 @@ def a18_latest_snapshot(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    j5_weekly_asof, t2_incremental, t3_backfill, a18_latest_snapshot)}
+    j5_weekly_asof, j5_zoned_weeks, t2_incremental, t3_backfill, a18_latest_snapshot)}
 
 _LATEST = """latest as (select event_type as item, max(cast(ts as date)) as latest_saved
   from events where value > 100 group by 1)"""
@@ -76,3 +85,5 @@ ORACLE = {
     "a18_latest_snapshot": f"""with {_LATEST} select item,
         cast(latest_saved as varchar) as latest_saved from latest""",
 }
+
+ORACLE["j5_zoned_weeks"] = ORACLE["j5_weekly_asof"]

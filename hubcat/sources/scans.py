@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -41,14 +43,20 @@ def scan_catalog(spark: SparkSession, path: str, spec: CatalogSpec,
 def read_batches(spark: SparkSession, pattern: str | list[str]) -> DataFrame:
     """All batch files of a pattern as one table, columns merged by name.
 
-    ``batch_file`` names the file a row came from. No file at all is an error, raised by
-    the reader.
+    ``batch_file`` names the file or folder that the last part of the pattern stands for; the
+    part files that Spark writes inside a folder are one batch. No file at all is an error,
+    raised by the reader.
     """
-    return (
-        spark.read.option("mergeSchema", True).parquet(*([pattern] if isinstance(pattern, str)
-                                                         else pattern))
-        .withColumn("batch_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
-    )
+    patterns = [pattern] if isinstance(pattern, str) else list(pattern)
+    named = "|".join(_name_pattern(p.rstrip("/").rsplit("/", 1)[-1]) for p in patterns)
+    name = F.regexp_extract(F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B"))), f"^.*/({named})(?:/.*)?$", 1)
+    return spark.read.option("mergeSchema", True).parquet(*patterns).withColumn("batch_file", name)
+
+
+def _name_pattern(glob: str) -> str:
+    """A file name's glob as a regular expression."""
+    marks = {"*": "[^/]*", "?": "[^/]", "{": "(?:", "}": ")", ",": "|", "[": "[", "]": "]"}
+    return "".join(marks.get(c, re.escape(c)) for c in glob)
 
 
 def previous_citations(previous: DataFrame | None, spark: SparkSession) -> DataFrame:

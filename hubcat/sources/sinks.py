@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 
 from hubcat.functions.text import quoted
 
+_CSV = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "lineSep": "\n",
+        "nullValue": "\\N"}
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
@@ -22,8 +24,16 @@ def flat_columns(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; quotes double and lines may break inside a value."""
-    flat_columns(df).write.mode("overwrite").option("escape", '"').csv(path, header=True)
+    r"""CSV with a header; quotes double, lines may break inside a value, outer white space stays.
+
+    Null is written as \N, so that ``read_csv`` tells it from empty text.
+    """
+    flat_columns(df).write.mode("overwrite").options(**_CSV).csv(path, header=True)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What ``write_csv`` wrote, whole values of any length; nested values are JSON text."""
+    return spark.read.schema(schema).options(**_CSV, multiLine=True, maxCharsPerColumn=-1).csv(path, header=True)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -54,10 +54,10 @@ def test_merge_duplicates(spark):
     new = triples(spark, [("a", 5.0, "s", None), ("a", None, "t", None), ("b", None, None, None)])
     old = triples(spark, [("b", 7.0, "o", "2025-01-01")])
     assert cit.merge_citations(base, new, old).count() == 3
-    every = cit.merge_citations(base, new, old, keep_duplicates=True)
+    every = cit.merge_citations(base, new, old)
     assert every.count() == 5
     assert by_id(every)["b"] == (7.0, "o", day("2025-01-01"))
-    assert cit.merge_citations(base, new, keep_duplicates=True).count() == 5
+    assert cit.merge_citations(base, new).count() == 5
 
 
 counts = st.one_of(st.none(), st.integers(0, 9).map(float))
