@@ -146,13 +146,14 @@ def merge_citations(papers: DataFrame, citations: DataFrame, previous: DataFrame
             "paper_id",
             F.struct(F.col(FETCHED), F.col(COUNT), F.col(EXT_ID)).alias("__new"),
         )
-        joined = join_unique(base, new, "paper_id")
-        if previous is None:
-            joined = joined.withColumn("__old", F.lit(None).cast(new.schema["__new"].dataType))
-        else:
+        empty = F.lit(None).cast(new.schema["__new"].dataType)
+        state = new.withColumn("__old", empty)
+        if previous is not None:
             old = _triples(previous).where(F.col("paper_id").isNotNull()).groupBy("paper_id").agg(
                 _latest(F.col(COUNT).isNotNull()).alias("__old"))
-            joined = join_unique(joined, old, "paper_id")
+            only_old = old.join(new.select("paper_id").distinct(), "paper_id", "left_anti")
+            state = join_unique(new, old, "paper_id").unionByName(only_old.withColumn("__new", empty))
+        joined = join_unique(base, state, "paper_id")
     else:
         state = _citation_state(citations, previous).select(
             "paper_id", "__old", F.coalesce("__hit", "__miss").alias("__new"))

@@ -6,11 +6,27 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from hubcat.functions.text import number_or_zero, quoted, text_or_empty
-from hubcat.spec import CatalogSpec
+from hubcat.spec import COLUMN_TYPES, CatalogSpec
+
+
+def typed(name: str, df: DataFrame) -> Column:
+    """A column in its declared type: null when absent, and where text can't be read as that type."""
+    declared = COLUMN_TYPES.get(name, "string")
+    if name not in df.columns:
+        return F.lit(None).cast(declared)
+    given = df.schema[name].dataType
+    if name not in COLUMN_TYPES or isinstance(given, (T.ArrayType, T.MapType, T.StructType)):
+        return quoted(name)
+    if "<" in declared:
+        return F.from_json(quoted(name), declared) if isinstance(given, T.StringType) else F.lit(None).cast(declared)
+    return quoted(name) if given.simpleString() == declared else quoted(name).try_cast(declared)
 
 
 def conform(raw: DataFrame, spec: CatalogSpec, downloaded_at) -> DataFrame:
-    """One projection: coerce the columns that exist, default those that do not."""
+    """One projection: coerce the columns that exist, default those that do not.
+
+    Types are those of the specification, whether a dump brings a column or not.
+    """
     if spec.key not in raw.columns:
         raise ValueError(f"{spec.name}: key column '{spec.key}' is missing")
 
@@ -21,14 +37,14 @@ def conform(raw: DataFrame, spec: CatalogSpec, downloaded_at) -> DataFrame:
                 return number_or_zero(quoted(name), dtype)
             if name in spec.text:
                 return text_or_empty(quoted(name))
-            return quoted(name)
+            return quoted(name) if name in spec.arrays else typed(name, raw)
         if name in spec.numeric:
             return F.lit(0.0)
         if name in spec.text:
             return F.lit("")
         if name in spec.arrays:
             return F.array().cast("array<string>")
-        return F.lit(None).cast("string")
+        return typed(name, raw)
 
     stamp = downloaded_at if isinstance(downloaded_at, Column) else F.lit(downloaded_at)
     return raw.select(
@@ -38,20 +54,18 @@ def conform(raw: DataFrame, spec: CatalogSpec, downloaded_at) -> DataFrame:
 
 
 def require_key_values(df: DataFrame, key: str) -> DataFrame:
-    """Fail when the key column is absent or holds no value at all."""
+    """Fail when the key column is absent or holds no value at all; this reads rows at once, up to the first value."""
     if key not in df.columns or df.where(quoted(key).isNotNull()).isEmpty():
         raise ValueError(f"'{key}' is required but missing or empty")
     return df
 
 
 def finalise(df: DataFrame, spec: CatalogSpec) -> DataFrame:
-    """Ordered output columns; absent flags become false, other absent columns null."""
+    """Ordered output columns; absent flags become false, other absent columns null of their type."""
     def column(name: str) -> Column:
-        if name in df.columns:
-            return quoted(name)
-        if spec.flag_defaults and ("has_" in name or "is_" in name):
+        if name not in df.columns and spec.flag_defaults and ("has_" in name or "is_" in name):
             return F.lit(False)
-        return F.lit(None).cast("string")
+        return typed(name, df)
 
     return df.select(*(column(c).alias(c) for c in spec.final))
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hubcat.functions.text import list_length, quoted, strip
 from hubcat.operators.ordering import exact_median
+from hubcat.session import stored
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -126,40 +127,53 @@ def classified_sample(df: DataFrame, k: int = 3, key: str = "paper_id") -> DataF
 
 
 def distribution_summary(df: DataFrame) -> DataFrame:
-    """The whole distribution report as one row of nested values.
+    """The whole distribution report as one row of nested values, from two passes over the papers.
 
-    Each part is a scalar subquery over a handful of rows, so no part is joined.
+    One grouping gives the totals and, per label column, the most frequent labels; one over the
+    matches gives their totals and levels. ``df`` is written first: its plan runs once.
     """
-    def top(column: str, k: int) -> Column:
-        pairs = label_distribution(df, column, k).select(
-            F.struct((-F.col("rows")).alias("down"), "label", "rows").alias("e"))
-        entries = pairs.agg(F.array_sort(F.collect_list("e")).alias("e")).select(
-            F.map_from_entries(F.transform("e", lambda x: F.struct(x["label"], x["rows"]))))
-        return entries.scalar()
-
-    levels = match_stats(df).where(F.col("match_level").isNotNull()).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("match_level", "matches")))))
-    cited = F.count("citation_count")
-    totals = coverage(df).select(
-        "total_papers", F.col("classified").alias("classified_papers"),
-        F.col("coverage_percent").alias("coverage_percentage"),
-        F.struct(F.col("multi_category").alias("multi_category_papers"),
-                 F.col("multi_category_percent").alias("multi_category_percentage"),
-                 F.col("mean_categories").alias("average_categories_per_paper"),
-                 ).alias("multi_classification"))
-    citations = df.agg(F.struct(
-        cited.alias("papers_with_citations"),
-        F.coalesce(F.sum("citation_count"), F.lit(0.0)).cast("long").alias("total_citations"),
-        F.coalesce(F.sum("citation_count") / F.nullif(cited, F.lit(0)), F.lit(0.0))
-        .alias("average_citations")))
-    matches = _matches(df).agg(F.struct(
-        _rows().alias("total_matches"),
-        F.coalesce(F.avg("score"), F.lit(0.0)).alias("average_score"),
-        levels.scalar().alias("matches_by_level")))
-    return totals.select(
-        "*",
-        citations.scalar().alias("citation_statistics"),
-        top("primary_category", 20).alias("category_distribution"),
-        top("primary_subcategory", 30).alias("subcategory_distribution"),
-        top("primary_topic", 50).alias("topic_distribution"),
+    # The field names below are those of the published report.
+    tops = {"primary_category": ("category_distribution", 20), "primary_subcategory": ("subcategory_distribution", 30),
+            "primary_topic": ("topic_distribution", 50)}
+    df = stored(df.select(*tops, "taxonomy_categories", "matched_keywords_details", "citation_count"), "papers")
+    n, whole = list_length(F.col("taxonomy_categories")), F.col("kind") == ""
+    labels = F.explode(F.array(F.struct(F.lit("").alias("kind"), F.lit(None).cast("string").alias("label")),
+                               *(F.struct(F.lit(c).alias("kind"), F.col(c).alias("label")) for c in tops)))
+    counts = (
+        df.select(labels.alias("l"), "primary_category", "citation_count", n.alias("n")).select("l.*", "primary_category", "citation_count", "n")
+        .where(whole | F.col("label").isNotNull()).groupBy("kind", "label")
+        .agg(_rows().alias("rows"), F.count("primary_category").alias("classified"), F.count_if(F.col("n") > 1).alias("several"),
+             F.avg("n").alias("mean"), F.count("citation_count").alias("cited"), F.sum("citation_count").alias("citations"))
+        .withColumn("place", F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("rows"), "label")))
+    )
+    most = {"": 1, **{c: k for c, (_, k) in tops.items()}}
+    kept = counts.where(F.coalesce(*(F.when(F.col("kind") == c, F.col("place") <= k) for c, k in most.items())))
+
+    def total(name: str) -> Column:
+        return F.max(F.when(whole, F.col(name)))
+
+    def top(column: str) -> Column:
+        entries = F.array_sort(F.collect_list(F.when(F.col("kind") == column, F.struct("place", "label", "rows"))))
+        return F.map_from_entries(F.transform(entries, lambda x: F.struct(x["label"], x["rows"])))
+
+    found = kept.agg(*(total(c).alias(c) for c in ("rows", "classified", "several", "mean", "cited", "citations")),
+                     *(top(c).alias(name) for c, (name, _) in tops.items()))
+    levels = match_stats(df)
+    every = F.col("match_level").isNull()
+    matches = levels.agg(F.struct(
+        F.coalesce(F.max(F.when(every, F.col("matches"))), F.lit(0)).alias("total_matches"),
+        F.coalesce(F.max(F.when(every, F.col("mean_score"))), F.lit(0.0)).alias("average_score"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(~every, F.struct("match_level", "matches"))))).alias("matches_by_level")))
+    rows = F.coalesce("rows", F.lit(0))
+    return found.select(
+        rows.alias("total_papers"), F.coalesce("classified", F.lit(0)).alias("classified_papers"),
+        F.coalesce(percent(F.col("classified"), rows), F.lit(0.0)).alias("coverage_percentage"),
+        F.struct(F.coalesce("several", F.lit(0)).alias("multi_category_papers"),
+                 F.coalesce(percent(F.col("several"), rows), F.lit(0.0)).alias("multi_category_percentage"),
+                 F.col("mean").alias("average_categories_per_paper")).alias("multi_classification"),
+        F.struct(F.coalesce("cited", F.lit(0)).alias("papers_with_citations"),
+                 F.coalesce("citations", F.lit(0.0)).cast("long").alias("total_citations"),
+                 F.coalesce(F.col("citations") / F.nullif(F.col("cited"), F.lit(0)), F.lit(0.0)).alias("average_citations")
+                 ).alias("citation_statistics"),
+        *(name for name, _ in tops.values()),
         matches.scalar().alias("match_statistics"))

@@ -11,12 +11,13 @@ from hubcat.functions.sizes import size_bucket, size_of
 from hubcat.functions.tags import joined_tags
 from hubcat.functions.text import organization_name, organization_of_id
 from hubcat.operators import reports
-from hubcat.operators.conform import conform, require_key_values
+from hubcat.operators.conform import column_status, conform, require_key_values
 from hubcat.operators.flags import inspect_row, with_flags, with_normal_tags
 from hubcat.plans.models import datasets_table, models_table
 from hubcat.queries.mapping import (BUCKET_SQL, MODEL_ROWS, MODEL_TRUTH, PART_FLAGS, flag_sql,
-                                    mapped, strip_sql, table, dealt)
-from hubcat.sources.scans import scan
+                                    mapped, mapped_sql, strip_sql, table, dealt)
+from hubcat.session import scratch_path
+from hubcat.sources.scans import scan, scan_catalog
 
 STAMP = dt.datetime(2025, 1, 8, 12, 0, 0)
 DAY = "2025-01-08 12:00:00"
@@ -85,7 +86,8 @@ def p7_key_values(spark, sf):
 
 
 def p11_lookup(spark, sf):
-    flagged = with_flags(text_tags(spark, sf))
+    words = table(spark, sf, "documents").select("doc_id", F.split("text", " ", -1).alias("tags"))
+    flagged = with_flags(with_normal_tags(words))
     return inspect_row(flagged, 7, key="doc_id").select(
         "doc_id", F.size("tags").alias("n_tags"), F.md5("tag_text").alias("text_md5"),
         *spec.MODEL_FLAGS, "has_science", "is_biomed")
@@ -149,8 +151,33 @@ def f8_text_flags(spark, sf):
 def m1_models_table(spark, sf):
     return _rounded(models(spark, sf), "params").select(
         *(F.array_join("tags", "|").alias("tags") if c == "tags" else
-          F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c == "data_download_timestamp" else c
-          for c in spec.MODELS.final))
+          F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c in ("data_download_timestamp", "createdAt") else c
+          for c in spec.MODELS.final), F.typeof("createdAt").alias("created_type"))
+
+
+def s2_dataset_scan(spark, sf):
+    """Raw datasets read back pruned: columns that the specification doesn't name are not read."""
+    path = scratch_path(spark, "datasets")
+    raw_models(spark, sf).withColumn("card", F.lit("x")).write.parquet(path)
+    return _with_names(scan_catalog(spark, path, spec.DATASETS).select("*", F.size(F.split("tags", ",")).alias("n_tags")).drop("tags"))
+
+
+def s3_paper_scan(spark, sf):
+    """Raw papers read back; dots belong to the names."""
+    path = scratch_path(spark, "papers")
+    table(spark, sf, "documents").selectExpr(
+        "cast(doc_id as string) as paper_id", "lang as `paper_organization.name`", "source as `paper_organization._id`",
+        "n_chars as paper_upvotes", "text as body").write.parquet(path)
+    found = scan_catalog(spark, path, spec.PAPERS)
+    return _with_names(found.select("paper_id", "paper_upvotes", F.col("`paper_organization.name`").alias("name"), F.col("`paper_organization._id`").alias("org")))
+
+
+def _with_names(df: DataFrame) -> DataFrame:
+    return df.withColumn("names", F.lit(",".join(df.columns)))
+
+
+def p10_column_status(spark, sf):
+    return column_status(table(spark, sf, "documents"), ("doc_id", "text", "summary", "n_chars"))
 
 
 def m2_datasets_table(spark, sf):
@@ -208,6 +235,7 @@ QUERIES = {f.__name__: f for f in (
     s1_pruned_scan, s4_limit, p1_conform, p2_conform_datasets, p3_conform_papers, p7_key_values, p11_lookup,
     f1_organization, f1_page_hosts, f2_size_parse, f2_event_props, f3_size_bucket, f5_org_name,
     f6_tags, f7_joined_tags, f8_flags, f8_text_flags, m1_models_table, m2_datasets_table,
+    s2_dataset_scan, s3_paper_scan, p10_column_status,
     a1_duplicates, a2_coverage, a3_flag_counts, a4_organizations, a5_tag_stats, a6_top_tags,
     a6_unique_tags, a7_value_stats, a8_value_counts, a14_known_sizes,
 )}
@@ -267,7 +295,13 @@ ORACLE = {
     "m1_models_table": f"""with {_MODELS} select id, downloads,
         0.0::double as "downloadsAllTime", likes, pipeline_tag, array_to_string(tags, '|') as tags,
         round(params, 6) as params, size_category, organization, {_FLAG_LIST},
-        '{DAY}' as data_download_timestamp, cast(null as varchar) as "createdAt" from models""",
+        '{DAY}' as data_download_timestamp, cast(null as varchar) as "createdAt", 'timestamp' as created_type from models""",
+    "s2_dataset_scan": f"""with m as ({mapped_sql("part", {k: MODEL_ROWS[k] for k in ("id", "downloads", "likes", "tags")})})
+        select id, downloads, likes, len(string_split(tags, ','))::integer as n_tags, 'id,downloads,likes,n_tags' as names from m""",
+    "s3_paper_scan": """select cast(doc_id as varchar) as paper_id, n_chars as paper_upvotes, lang as name, source as org,
+        'paper_id,paper_upvotes,name,org' as names from documents""",
+    "p10_column_status": """select unnest(['doc_id', 'text', 'summary', 'n_chars']) as "column",
+        unnest(['present', 'present', 'missing', 'present']) as status from (select count(*) from documents)""",
     "m2_datasets_table": f"""with {_MODELS} select id, downloads,
         0.0::double as "downloadsAllTime", likes, array_to_string(tags, '|') as tags, organization,
         {', '.join(f for f in FLAGS if f != 'is_audio_speech')},

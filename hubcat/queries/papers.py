@@ -10,8 +10,10 @@ from hubcat.operators import reports
 from hubcat.operators.labels import keyword_terms, with_taxonomy
 from hubcat.operators.skew import join_unique
 from hubcat.operators.taxonomy import level_counts, taxonomy_from_paths
-from hubcat.plans.papers import labelled_papers
+from hubcat.plans.papers import labelled_papers, papers_table
 from hubcat.session import scratch_path
+from hubcat.sources.sinks import write_report
+from hubcat.queries.models import STAMP
 from hubcat.queries.mapping import (ALPHABET, PAPER_ROWS, SIMILARITY, mapped, strip_sql, table, dealt)
 
 NODE_SIMILARITY = 0.3
@@ -145,9 +147,9 @@ def e2_text_vectors(spark, sf):
     return _vector_digest(dealt(spark, sf, "documents", "text").withColumnRenamed("text", "term"))
 
 
-def _labels(out: DataFrame) -> DataFrame:
+def _labels(out: DataFrame, *extra) -> DataFrame:
     return out.select(
-        "paper_id", *(F.array_join(c, "|").alias(c) for c in _LISTED),
+        "paper_id", *extra, *(F.array_join(c, "|").alias(c) for c in _LISTED),
         "primary_category", "primary_subcategory", "primary_topic",
         F.round(F.try_element_at("topic_scores", F.col("primary_topic")), 6).alias("topic_score"),
         F.size("category_scores").alias("n_categories"))
@@ -161,6 +163,19 @@ def e8_labelled_papers(spark, sf):
     return _labels(labelled_by_words(spark, sf))
 
 
+def m3_papers_table(spark, sf):
+    """The finished table from a raw dump, by its parts that SQL can tell."""
+    raw = dealt(spark, sf, "documents", "doc_id", "text", "lang", "source", "n_chars").selectExpr(
+        "cast(doc_id as string) as paper_id", "lang || ' ' || source as paper_title", "cast(n_chars as string) as paper_upvotes",
+        "named_struct('name', '', 'fullname', source, '_id', lang) as organization", "split(text, ' ', -1) as paper_ai_keywords",
+        "lang as `paper_organization.name`", "'2025-01-02T03:04:05Z' as publishedAt", "'x' as card")
+    tree = nodes(spark, sf)
+    out = papers_table(raw, STAMP, tree, _word_vectors(raw, tree), threshold=SIMILARITY, lowercase=True)
+    return _labels(out, "paper_title", "paper_upvotes", "organization_name", F.col("`paper_organization.name`").alias("org"),
+                   F.unix_seconds("publishedAt").alias("published"), F.lit(len(out.columns)).alias("n_columns"),
+                   (F.col("citation_count").isNull() & F.col("paper_withdrawnAt").isNull()).alias("empty"))
+
+
 def e7_match_details(spark, sf):
     details = F.col("matched_keywords_details")
     pairs = F.transform(details, lambda d: F.concat_ws(":", d["keyword"], d["matched_to"], d["match_level"]))
@@ -186,19 +201,30 @@ def a10_match_stats(spark, sf):
 
 
 def a13_summary(spark, sf):
-    """The whole report; the labelled papers are written once for its parts to share."""
-    path = scratch_path(spark, "labelled")
-    labelled(spark, sf).withColumn("citation_count", F.col("paper_upvotes")).select(
-        "primary_category", "primary_subcategory", "primary_topic", "taxonomy_categories",
-        "matched_keywords_details", "citation_count").write.parquet(path)
-    row = reports.distribution_summary(spark.read.parquet(path))
+    found = labelled(spark, sf).withColumn("citation_count", F.col("paper_upvotes"))
+    return _summary(reports.distribution_summary(found))
+
+
+def s12_report(spark, sf):
+    """The same report, written as JSON and read back with its own schema."""
+    report = reports.distribution_summary(labelled(spark, sf).withColumn("citation_count", F.col("paper_upvotes")))
+    path = scratch_path(spark, "report")
+    write_report(report, path)
+    return _summary(spark.read.schema(report.schema).json(path))
+
 
+def _summary(row: DataFrame) -> DataFrame:
     def text(c):
         return F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws(":", e["key"], e["value"])), "|")
 
     return row.select(
         "total_papers", "classified_papers", F.round("coverage_percentage", 6).alias("coverage_percentage"),
         F.col("multi_classification.multi_category_papers").alias("multi_category_papers"),
+        F.round("multi_classification.multi_category_percentage", 6).alias("multi_percentage"),
+        F.round("multi_classification.average_categories_per_paper", 6).alias("mean_categories"),
+        F.col("citation_statistics.papers_with_citations").alias("cited"),
+        F.round("citation_statistics.average_citations", 4).alias("mean_citations"),
+        F.round("match_statistics.average_score", 6).alias("mean_score"),
         F.col("citation_statistics.total_citations").alias("total_citations"),
         text("category_distribution").alias("categories"),
         text("subcategory_distribution").alias("subcategories"),
@@ -214,7 +240,7 @@ def r9_classified_sample(spark, sf):
 QUERIES = {f.__name__: f for f in (
     e1_taxonomy, a15_level_counts, e2_term_vectors, e3_cosine, x1_vector_match, e4_best_match,
     e4_blocked_match, e2_text_vectors,
-    e6_multilabel, e8_labelled_papers, e7_match_details, a8_label_counts, a9_coverage, a10_match_stats, a13_summary,
+    e6_multilabel, e8_labelled_papers, m3_papers_table, e7_match_details, a8_label_counts, a9_coverage, a10_match_stats, a13_summary, s12_report,
     r9_classified_sample)}
 
 # ---------------------------------------------------------------- DuckDB side
@@ -342,6 +368,9 @@ ORACLE = {
         count(primary_category) as classified_papers,
         round(count(primary_category) * 100.0::double / count(*), 6) as coverage_percentage,
         count(*) filter (n_categories > 1) as multi_category_papers,
+        round(count(*) filter (n_categories > 1) * 100.0::double / count(*), 6) as multi_percentage,
+        round(avg(n_categories), 6) as mean_categories, count(n_chars) as cited, round(avg(n_chars), 4) as mean_citations,
+        (select round(avg(score), 6) from hits) as mean_score,
         sum(n_chars)::bigint as total_citations, {_distribution('primary_category', 20)} as categories,
         {_distribution('primary_subcategory', 30)} as subcategories,
         {_distribution('primary_topic', 50)} as topics,
@@ -353,6 +382,12 @@ ORACLE = {
         where primary_category is not null order by paper_id limit 3""",
 }
 
+ORACLE["s12_report"] = ORACLE["a13_summary"]
+ORACLE["m3_papers_table"] = f"""with {_LABELS} select l.paper_id, taxonomy_categories, taxonomy_subcategories,
+    taxonomy_topics, primary_category, primary_subcategory, primary_topic, round(topic_score, 6) as topic_score,
+    n_categories::integer as n_categories, d.lang || ' ' || d.source as paper_title, d.n_chars::double as paper_upvotes,
+    d.source as organization_name, d.lang as org, 1735787045::bigint as published, 48::integer as n_columns, true as empty
+    from labelled l join documents d on cast(d.doc_id as varchar) = l.paper_id"""
 ORACLE["e2_text_vectors"] = ORACLE["e2_term_vectors"].replace("from conversations", "from documents where text is not null")
 ORACLE["e4_blocked_match"] = f"""with {_MATCHES} select term, ordinal, category, subcategory, topic, label, level,
     round(score, 6) as score from matches"""

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hubcat import spec
-from hubcat.operators import reports
 from hubcat.operators.citations import batch_totals
 from hubcat.operators.taxonomy import read_taxonomy
 from hubcat.queries.mapping import table
@@ -14,7 +13,7 @@ from hubcat.queries.weekly import END, START, _revisions
 from hubcat.plans.weekly import weekly_snapshots
 from hubcat.session import scratch_path
 from hubcat.sources.scans import previous_citations, read_batches
-from hubcat.sources.sinks import read_csv, verify, write_csv, write_parquet, write_report
+from hubcat.sources.sinks import read_csv, verify, write_csv, write_parquet
 from hubcat.sources.snapshots import read_snapshot, weekly_paths, write_snapshot, write_weekly
 
 
@@ -96,14 +95,6 @@ def s11_csv(spark, sf):
                        F.md5("text").alias("text_md5"), F.md5("odd").alias("odd_md5"))
 
 
-def s12_report(spark, sf):
-    path = scratch_path(spark, "report")
-    report = reports.coverage(models(spark, sf).select(
-        F.col("organization").alias("primary_category"), F.col("tags").alias("taxonomy_categories")))
-    write_report(report.select(F.struct("total_papers", "classified", "multi_category").alias("summary")), path)
-    return spark.read.json(path).select("summary.*")
-
-
 def s13_verify(spark, sf):
     path = scratch_path(spark, "models")
     write_parquet(models(spark, sf), path)
@@ -124,7 +115,7 @@ def s14_weekly_layout(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     s5_snapshot_meta, s6_snapshot_read, s7_previous_cache, s8_batch_files, a11_batch_totals, s9_taxonomy_file,
-    s10_parquet, s11_csv, s12_report, s13_verify, s14_weekly_layout)}
+    s10_parquet, s11_csv, s13_verify, s14_weekly_layout)}
 
 
 def _oracle():
@@ -160,8 +151,6 @@ def _oracle():
             md5(text) as text_md5, md5(case doc_id % 4 when 0 then ' ' || t.lang || chr(9)
               when 1 then t.lang || '"' || chr(13) || chr(10) || 'x,' when 2 then '' end) as odd_md5
             from tagged t join documents using (doc_id)""",
-        "s12_report": f"""with {_MODELS} select count(*) as total_papers, count(organization) as classified,
-            count(*) filter (len(tags) > 1) as multi_category from models""",
         "s13_verify": f"""with {_MODELS} select count(*) as rows, {len(spec.MODELS.final)}::integer as columns,
             count(*) filter (has_robot) as flagged, count(distinct organization) as organizations
             from models""",

@@ -35,6 +35,20 @@ TAXONOMY_COLUMNS = (
     "matched_keywords_details", "category_scores", "subcategory_scores", "topic_scores",
 )
 
+# Types of columns that a dump may lack or bring as text. Nested ones that dumps bring in
+# several shapes are not named: they pass as they are, and are text when absent.
+COLUMN_TYPES = {
+    "createdAt": "timestamp", "publishedAt": "timestamp", "paper_publishedAt": "timestamp",
+    "paper_submittedOnDailyAt": "timestamp", "paper_withdrawnAt": "timestamp",
+    "isAuthorParticipating": "boolean", "paper_submittedOnDailyBy.isPro": "boolean",
+    "mediaUrls": "array<string>", "paper_mediaUrls": "array<string>", "paper_ai_keywords": "array<string>",
+    "citation_count": "double", "params": "double",
+    "taxonomy_categories": "array<string>", "taxonomy_subcategories": "array<string>",
+    "taxonomy_topics": "array<string>", "category_scores": "map<string,double>",
+    "subcategory_scores": "map<string,double>", "topic_scores": "map<string,double>",
+    "data_download_timestamp": "timestamp",
+}
+
 # Half-open ranges [low, high) in units of 2^30.
 SIZE_RANGES = (
     ("Small (<1GB)", 0.0, 1.0),

@@ -47,7 +47,7 @@ def test_merge_joins_the_wide_table_once(spark):
     papers = spark.range(5).selectExpr("string(id) paper_id", "id as wide")
     rows = spark.range(5).selectExpr("string(id) paper_id", "double(id) citation_count",
                                      "'s' semantic_scholar_id", "date'2025-01-01' citation_fetch_date")
-    text = plan(cit.merge_citations(papers, rows, rows))
+    text = plan(cit.merge_citations(papers, rows, rows, distinct=True))
     assert text.count("Join") == 1 and "CartesianProduct" not in text
 
 
