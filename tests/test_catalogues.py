@@ -192,3 +192,29 @@ def test_weekly_layout(spark, tmp_path):
     got = {(str(r["week"]), r["v"]) for r in spark.read.parquet(path).collect()}
     assert got == {("2025-01-01", 1), ("2025-01-08", 9)}
     assert weekly_paths(spark, path).count() == 2
+
+
+def test_types_are_those_of_the_specification(spark):
+    full = spark.createDataFrame([("p", "2025-01-02T00:00:00Z", "true", '["a"]', "junk")],
+                                 "paper_id string, publishedAt string, isAuthorParticipating string, paper_ai_keywords string, paper_withdrawnAt string")
+    bare = spark.createDataFrame([("p",)], "paper_id string")
+    done = [finalise(conform(raw, spec.PAPERS, NOW), spec.PAPERS) for raw in (full, bare)]
+    assert done[0].dtypes == done[1].dtypes and dict(done[0].dtypes)["publishedAt"] == "timestamp"
+    row = done[0].first()
+    assert row["isAuthorParticipating"] is True and row["paper_ai_keywords"] == ["a"] and row["paper_withdrawnAt"] is None
+
+
+def test_batches_are_named_by_the_pattern(spark, tmp_path):
+    from hubcat.sources.scans import read_batches
+    for k in (0, 1):
+        spark.range(4).repartition(2).write.parquet(str(tmp_path / f"run 1/citations_batch_{k}"))
+    rows = read_batches(spark, str(tmp_path / "run 1/citations_batch_*")).groupBy("batch_file").count().collect()
+    assert {r["batch_file"]: r["count"] for r in rows} == {"citations_batch_0": 4, "citations_batch_1": 4}
+
+
+def test_csv_keeps_values(spark, tmp_path):
+    from hubcat.sources.sinks import read_csv, write_csv
+    rows = [(i, v) for i, v in enumerate([" x ", "", None, 'a"b', "l\r\nm", "\t", "c,d", "\\"])]
+    path = str(tmp_path / "csv")
+    write_csv(spark.createDataFrame(rows, "i long, v string"), path)
+    assert sorted(tuple(r) for r in read_csv(spark, path, "i long, v string").collect()) == rows

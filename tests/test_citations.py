@@ -53,7 +53,7 @@ def test_merge_duplicates(spark):
     base = papers(spark, ["a", "a", "b"])
     new = triples(spark, [("a", 5.0, "s", None), ("a", None, "t", None), ("b", None, None, None)])
     old = triples(spark, [("b", 7.0, "o", "2025-01-01")])
-    assert cit.merge_citations(base, new, old).count() == 3
+    assert cit.merge_citations(base, new, old, distinct=True).count() == 3
     every = cit.merge_citations(base, new, old)
     assert every.count() == 5
     assert by_id(every)["b"] == (7.0, "o", day("2025-01-01"))

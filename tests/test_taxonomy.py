@@ -82,13 +82,9 @@ def test_best_match_against_brute_force(spark, monkeypatch, limit):
     terms, nodes = rng.normal(size=(60, 6)), rng.normal(size=(30, 6))
     nodes[11], nodes[12], terms[3], nodes[4] = nodes[2], 2 * nodes[2], nodes[2], 0
     terms[8] = 0
-    if limit == 1:
-        found = m._match_blocked(terms_of(spark, terms), with_vectors(spark, nodes), 0.5,
-                                 block_nodes=7, block_terms=9)
-        assert m.best_matches(terms_of(spark, terms), with_vectors(spark, nodes), 0.5,
-                              broadcast_values=1).count() == found.count()
-    else:
-        found = m.best_matches(terms_of(spark, terms), with_vectors(spark, nodes), 0.5)
+    found = m.best_matches(terms_of(spark, terms), with_vectors(spark, nodes), 0.5, broadcast_values=limit)
+    usual = m.best_matches(terms_of(spark, terms), with_vectors(spark, nodes), 0.5)
+    assert sorted(map(str, found.collect())) == sorted(map(str, usual.collect()))
     got = {r["term"]: r["ordinal"] for r in found.collect()}
     assert got == brute(terms, nodes, 0.5)
     assert got["t3"] == 2 and "t8" not in got

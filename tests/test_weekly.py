@@ -44,3 +44,19 @@ def test_calendar_is_inclusive(spark):
     starts = start_days(daily_revisions(revisions(spark)))
     weeks = [str(r["week"]) for r in calendar(starts, "2025-01-15").orderBy("week").collect()]
     assert weeks == ["2025-01-01", "2025-01-08", "2025-01-15"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/Los_Angeles"])
+def test_weeks_are_utc_in_any_session_zone(spark, zone):
+    seconds = [("a", "r1", 1704067199), ("a", "r2", 1704067200), ("a", "r3", 1704672000)]
+    epoch = spark.createDataFrame(seconds, "item string, revision string, committed_at long")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        instants = epoch.selectExpr("item", "revision", "timestamp_seconds(committed_at) as committed_at")
+        naive = epoch.selectExpr("item", "revision", "timestamp_ntz'1970-01-01' + make_dt_interval(0, 0, 0, committed_at) as committed_at")
+        for log in (epoch, instants, naive):
+            out = weekly_snapshots(log, "2024-01-15")
+            assert found(out, "a") == [("2023-12-31", "r2"), ("2024-01-07", "r3"), ("2024-01-14", "r3")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
