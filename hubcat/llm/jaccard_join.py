@@ -7,6 +7,7 @@ from functools import lru_cache
 from math import exp
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -21,6 +22,8 @@ from hubcat.session import stored
 BLOCK_ENTRIES = 6_000_000
 #: Column-block signatures that a task gathers before it hands them on.
 GATHERED = 2_000_000
+#: Bits of the map that keeps most texts without candidates out of the exchange.
+FILTER_BITS = 1 << 25
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
 
 
@@ -241,10 +244,27 @@ def _multiplied(words: int, part: int, whole: int):
     return run
 
 
+def _possible(docs: DataFrame, work: DataFrame) -> DataFrame:
+    """``docs`` without most texts that ``work`` doesn't need: a bitmap of FILTER_BITS hashes is broadcast, whatever the size."""
+    slot = F.pmod("text_hash", F.lit(FILTER_BITS)) + 1
+    maps = work.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    bitmap = bytearray(FILTER_BITS // 8)
+    for row in maps:
+        bitmap[(row["at"] - 1) * len(row["bits"]):row["at"] * len(row["bits"])] = row["bits"]
+    shared = docs.sparkSession.sparkContext.broadcast(bytes(bitmap))
+
+    @F.pandas_udf("boolean")
+    def held(slot: pd.Series) -> pd.Series:
+        at = slot.to_numpy() - 1
+        return pd.Series((np.frombuffer(shared.value, "u1")[at >> 3] >> (at & 7) & 1).astype(bool))
+
+    return docs.where(held(slot))
+
+
 def _product(docs: DataFrame, work: DataFrame, words: int, part: int, whole: int) -> DataFrame:
     """Links found by ``work``: rows of (doc_id, text_hash, uid, label, left, component, row_block, column_block)."""
     keys = ["component", "row_block", "column_block"]
-    texts = docs.select("doc_id", "text", "text_hash").join(
+    texts = _possible(docs, work).select("doc_id", "text", "text_hash").join(
         work, docs["doc_id"].eqNullSafe(work["doc_id"]) & (docs["text_hash"] == work["text_hash"])).select("text", "uid", "label", "left", *keys)
     return texts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_multiplied(words, part, whole), "a long, b long")
 
