@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -207,7 +208,8 @@ def _sorted_runs(name: str, length: int, gram: int, parts: int):
                     key = _key(text, start, start, c, length, gram)
                     items[parts + xxhash.xxh3_64_intdigest(key) % parts].append(key + place)
         rows, spans = [], Spans()
-        for part, some in items.items():
+        for part in list(items):
+            some = items.pop(part)
             some.sort()
             kept, before = [], None
             for item in some:
@@ -234,7 +236,7 @@ class Spans:
     """Removed spans by block: id, occurrence, start and end."""
 
     def __init__(self):
-        self._held: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
+        self._held: dict[int, array] = defaultdict(lambda: array("Q"))
 
     def whole(self, item: bytes, gram: int) -> None:
         right, left = item[gram], item[gram + 1]
@@ -243,10 +245,10 @@ class Spans:
     def part(self, item: bytes, left: int, right: int) -> None:
         """``left`` bytes before and ``right`` bytes from the item's anchor on."""
         name, occurrence, anchor, block = struct.unpack(_PLACE, item[-_PLACE_BYTES:])
-        self._held[block].append((name, occurrence, anchor - left, anchor + right))
+        self._held[block].extend((name, occurrence, anchor - left, anchor + right))
 
     def rows(self) -> list[tuple[int, bytes]]:
-        return [(block, np.asarray(spans, "u8").tobytes()) for block, spans in self._held.items()]
+        return [(block, spans.tobytes()) for block, spans in self._held.items()]
 
 
 # Merging
@@ -414,11 +416,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     4. A gram with more than ``heavy`` places is sent passage by passage, dealt out by content.
     """
     spark = docs.sparkSession
-    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = 4 * parts
     given = F.col(f"`{doc_id}`").cast("long")
     body = F.col(f"`{text}`").cast("binary")
     home = F.when(given.isNull(), F.xxhash64(body)).otherwise(F.xxhash64(given))
-    texts = docs.select(F.pmod(home, F.lit(parts)).cast("int").alias("block"), given.alias("id"),
+    texts = docs.select(F.pmod(home, F.lit(blocks)).cast("int").alias("block"), given.alias("id"),
                         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     grams = texts.groupBy("block").applyInArrow(_grams(text, length, gram, parts), _ddl(_GRAMS))
     repeated = grams.groupBy("part").applyInArrow(_repeated(heavy), _ddl(_REPEATED))
