@@ -9,11 +9,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hubcat.llm.memo import Memo, whole_texts
+from hubcat.llm.memo import Memo
 from hubcat.session import stored
 
 #: Coordinates of the model, a power of two.
@@ -130,13 +129,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, la
 def fit(rows: DataFrame) -> Model:
     """Parallel FTRL-proximal over ``training_rows``: parts learn side by side, then their states are averaged.
 
-    Every pass starts all parts from the average. What comes to the driver is bounded by the
+    Every pass starts all parts from the average, and finds the features anew: texts are smaller. What comes to the driver is bounded by the
     number of parts and coordinates. Rows of a part are learnt in the order of a hash, so the
     model doesn't depend on how they were stored. No rows, or one label only: a model that
     gives the bias alone.
     """
     spark = rows.sparkSession
-    vectors = stored(rows.mapInArrow(_vectors, "part int, order long, label int, at binary"), "vectors")
+    rows = stored(rows, "training")
     state = (np.zeros(0, "i4"), np.zeros(0), np.zeros(0))
     for _ in range(PASSES):
         shared = spark.sparkContext.broadcast(state)
@@ -146,13 +145,14 @@ def fit(rows: DataFrame) -> Model:
             model = Ftrl()
             model.z[at], model.n[at] = z, n
             batches = batches.sort_values("order")
-            for code, label in zip(batches["at"], batches["label"]):
-                model.learn(np.frombuffer(code, "<i4"), int(label))
+            texts = ["" if t is None else t for t in batches["text"]]
+            for found, label in zip(features_of(texts), batches["label"]):
+                model.learn(np.append(np.unique(found), np.int32(COORDINATES)), int(label))
             used = np.flatnonzero(model.n)
             return pd.DataFrame({"at": [used.astype("<i4").tobytes()], "z": [model.z[used].astype("<f4").tobytes()],
                                  "n": [model.n[used].astype("<f4").tobytes()], "rows": [len(batches)]})
 
-        learnt = vectors.groupBy("part").applyInPandas(learn, "at binary, z binary, n binary, rows long").collect()
+        learnt = rows.groupBy("part").applyInPandas(learn, "at binary, z binary, n binary, rows long").collect()
         z, n, total = np.zeros(COORDINATES + 1), np.zeros(COORDINATES + 1), sum(r["rows"] for r in learnt)
         for r in learnt:
             at = np.frombuffer(r["at"], "<i4")
@@ -168,13 +168,6 @@ def fit(rows: DataFrame) -> Model:
     return Model(held.astype("i4"), weights[held], float(weights[-1]))
 
 
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = [np.append(np.unique(f), np.int32(COORDINATES)).astype("<i4").tobytes() for f in features_of(whole_texts(batch.column(3)))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2).cast(pa.int32()), pa.array(at, pa.binary())],
-                                         names=["part", "order", "label", "at"])
-
-
 # Scoring
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
