@@ -24,6 +24,8 @@ BLOCK_ENTRIES = 6_000_000
 GATHERED = 2_000_000
 #: Bits of the map that keeps most texts without candidates out of the exchange.
 FILTER_BITS = 1 << 25
+#: Bytes of a signature that travel; its bucket stands for the others. Equal ones are candidates only.
+_KEPT = 6
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
 
 
@@ -133,6 +135,7 @@ _NAMES = ["kind", "uid", "doc_id", "text_hash", "size", "print", "bucket", "sign
 
 
 def _dealt(task: int, signatures: list, owners: list, buckets: int, id_type: pa.DataType) -> pa.RecordBatch:
+    """Signatures by bucket, and their owners as steps from one to the next, which compress well."""
     signature, owner = np.concatenate(signatures), np.concatenate(owners)
     bucket = ((signature >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype("i4")
     order = np.argsort(bucket, kind="stable")
@@ -143,15 +146,16 @@ def _dealt(task: int, signatures: list, owners: list, buckets: int, id_type: pa.
     return pa.RecordBatch.from_arrays(
         [pa.array([1] * n, pa.int32()), pa.array([task << 32] * n, pa.int64()), pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
          pa.nulls(n, pa.binary()), pa.array(bucket[first], pa.int32()),
-         pa.array([signature[a:b].tobytes() for a, b in zip(first, last)], pa.binary()),
-         pa.array([owner[a:b].tobytes() for a, b in zip(first, last)], pa.binary())], names=_NAMES)
+         pa.array([signature[a:b].view("u1").reshape(-1, 8)[:, :_KEPT].tobytes() for a, b in zip(first, last)], pa.binary()),
+         pa.array([np.diff(owner[a:b], prepend=np.uint32(0)).tobytes() for a, b in zip(first, last)], pa.binary())], names=_NAMES)
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A bucket's candidate links: every set with a signature hangs on the first one that has it."""
     for bucket in _runs(batches, 1):
-        signature = np.frombuffer(b"".join(bucket.column(1).to_pylist()), "u8")
-        uid = np.concatenate([np.frombuffer(o, "u4").astype("i8") | base for base, o in zip(bucket.column(0).to_pylist(), bucket.column(2).to_pylist())])
+        kept = np.frombuffer(b"".join(bucket.column(1).to_pylist()), "u1").reshape(-1, _KEPT)
+        signature = np.pad(kept, ((0, 0), (0, 8 - _KEPT))).view("u8").ravel()
+        uid = np.concatenate([np.cumsum(np.frombuffer(o, "u4"), dtype="i8") | base for base, o in zip(bucket.column(0).to_pylist(), bucket.column(2).to_pylist())])
         order = np.lexsort((uid, signature))
         signature, uid = signature[order], uid[order]
         new = np.r_[True, signature[1:] != signature[:-1]]
