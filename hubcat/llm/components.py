@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from hubcat.operators.skew import join_unique
 from hubcat.session import stored
 
 
@@ -15,7 +16,7 @@ def _to_smallest(edges: DataFrame, larger: bool) -> DataFrame:
     """
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if larger else edges
     least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-    hung = both.join(least, "a")
+    hung = join_unique(both, least, "a", "inner")
     if larger:
         return hung.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").distinct()
     return hung.select(F.col("b").alias("a"), F.col("low").alias("b")).union(least.select("a", F.col("low").alias("b"))).where("a <> b").distinct()

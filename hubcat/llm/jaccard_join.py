@@ -16,6 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from hubcat.llm.components import components
 from hubcat.llm.memo import Memo
+from hubcat.operators.skew import join_unique
 from hubcat.session import stored
 
 #: Entries (documents times n-grams) of a row block; a task multiplies two of them.
@@ -296,7 +297,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int =
         f"kind int, uid long, doc_id {id_field.simpleString()}, text_hash long, size long, print binary, bucket int, signatures binary, owners binary"), "matrix")
     matrix = rows.where("kind = 0").select("uid", "doc_id", "text_hash", "size", "print")
     first = matrix.groupBy("print").agg(F.min("uid").alias("row"), F.count(F.lit(1)).alias("copies"))
-    named = stored(matrix.join(first, "print").select(
+    named = stored(join_unique(matrix, first, "print", "inner").select(
         "uid", "doc_id", "text_hash", "size", F.when(F.col("size") > 0, F.col("row")).otherwise(F.col("uid")).alias("row")), "rows")
     stars = rows.where("kind = 1").select("uid", "signatures", "owners", "bucket").repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
         _stars, "a long, b long").distinct()
@@ -317,7 +318,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int =
         "doc_id", "text_hash", F.col("size").alias("n_shingles"), F.coalesce("label", "row").alias("label"))
     final = stored(final, "joined")
     least = final.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return final.join(least, "label").select("doc_id", "text_hash", "n_shingles", "component_id", "label")
+    return join_unique(final, least, "label", "inner").select("doc_id", "text_hash", "n_shingles", "component_id", "label")
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 100, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
