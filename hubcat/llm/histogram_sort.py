@@ -32,7 +32,7 @@ START = Cut(b"", 0, 0)
 
 
 def sort_key(first: Column, second: Column) -> Column:
-    """16 bytes that sort as the two longs do, nulls first; ``second`` breaks the ties of ``first``."""
+    """16 bytes that sort as the two longs do, null as the smallest long; ``second`` breaks the ties of ``first``."""
     low = F.lit(-(2 ** 63))
 
     def eight_bytes(c: Column) -> Column:

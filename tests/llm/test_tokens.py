@@ -48,7 +48,7 @@ def test_encoding_and_decoding(spark, library):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     ids = byte_bpe.encode(frame(spark, rows), RANKS, public_tokenizers.PATTERN)
     back = byte_bpe.decode(ids, RANKS).collect()
-    assert sorted((r["doc_id"] or -1, bytes(r["decoded"]).decode()) for r in back) == sorted((i if i is not None else -1, t or "") for i, t in rows)
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], bytes(r["decoded"]).decode()) for r in back) == sorted((i if i is not None else -1, t or "") for i, t in rows)
 
 
 def test_merges_and_perfect_hash(library):
