@@ -20,7 +20,7 @@ from hubcat.operators.skew import join_unique
 from hubcat.session import stored
 
 #: Entries (documents times n-grams) of a row block; a task multiplies two of them.
-BLOCK_ENTRIES = 6_000_000
+BLOCK_ENTRIES = 2_000_000
 #: Column-block signatures that a task gathers before it hands them on.
 GATHERED = 2_000_000
 #: Bits of the map that keeps most texts without candidates out of the exchange.
