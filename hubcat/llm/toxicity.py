@@ -22,6 +22,8 @@ TRAINING_ROWS = 24_000
 #: Parts that are fitted side by side; their models are averaged after each pass.
 PARTS = 6
 PASSES = 4
+#: Coordinates whose average one task takes.
+SLICE = 1 << 16
 #: Letters of a word's stems: inflected and compound words share them.
 STEMS = (4, 6)
 #: FTRL-proximal: the rate of a coordinate is ALPHA / (BETA + root of its squared gradients).
@@ -89,11 +91,10 @@ def features_of(texts: list[str]) -> Iterator[np.ndarray]:
 # Fitting
 
 class Ftrl:
-    """The sums z and n of every coordinate; the last one is the bias, which L1 leaves alone."""
+    """The sums z and n of every coordinate; that at COORDINATES is the bias, which L1 leaves alone."""
 
-    def __init__(self, z: np.ndarray | None = None, n: np.ndarray | None = None):
-        self.z = np.zeros(COORDINATES + 1) if z is None else z
-        self.n = np.zeros(COORDINATES + 1) if n is None else n
+    def __init__(self, z: np.ndarray, n: np.ndarray):
+        self.z, self.n = z, n
 
     def weights(self, at: np.ndarray) -> np.ndarray:
         z = self.z[at]
@@ -129,39 +130,38 @@ def training_rows(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, la
 def fit(rows: DataFrame) -> Model:
     """Parallel FTRL-proximal over ``training_rows``: parts learn side by side, then their states are averaged.
 
-    Every pass starts all parts from the average, and finds the features anew: texts are smaller. What comes to the driver is bounded by the
-    number of parts and coordinates. Rows of a part are learnt in the order of a hash, so the
+    Every pass starts all parts from the average, and finds the features anew: texts are smaller. What comes to the driver is the
+    average, bounded by the number of coordinates. Rows of a part are learnt in the order of a hash, so the
     model doesn't depend on how they were stored. No rows, or one label only: a model that
     gives the bias alone.
     """
     spark = rows.sparkSession
     rows = stored(rows, "training")
-    state = (np.zeros(0, "i4"), np.zeros(0), np.zeros(0))
+    z = n = np.zeros(COORDINATES + SLICE, "f4")
     for _ in range(PASSES):
-        shared = spark.sparkContext.broadcast(state)
+        shared = spark.sparkContext.broadcast((z, n))
 
         def learn(batches: pd.DataFrame) -> pd.DataFrame:
-            at, z, n = shared.value
-            model = Ftrl()
-            model.z[at], model.n[at] = z, n
+            model = Ftrl(*(x.astype("f8") for x in shared.value))
             batches = batches.sort_values("order")
             texts = ["" if t is None else t for t in batches["text"]]
             for found, label in zip(features_of(texts), batches["label"]):
                 model.learn(np.append(np.unique(found), np.int32(COORDINATES)), int(label))
-            used = np.flatnonzero(model.n)
-            return pd.DataFrame({"at": [used.astype("<i4").tobytes()], "z": [model.z[used].astype("<f4").tobytes()],
-                                 "n": [model.n[used].astype("<f4").tobytes()], "rows": [len(batches)]})
-
-        learnt = rows.groupBy("part").applyInPandas(learn, "at binary, z binary, n binary, rows long").collect()
-        z, n, total = np.zeros(COORDINATES + 1), np.zeros(COORDINATES + 1), sum(r["rows"] for r in learnt)
-        for r in learnt:
-            at = np.frombuffer(r["at"], "<i4")
-            z[at] += np.frombuffer(r["z"], "<f4") * (r["rows"] / total)
-            n[at] += np.frombuffer(r["n"], "<f4") * (r["rows"] / total)
-        used = np.flatnonzero(n)
-        state = (used.astype("i4"), z[used], n[used])
-    model = Ftrl()
-    model.z[state[0]], model.n[state[0]] = state[1], state[2]
+            at = range(0, len(model.z), SLICE)
+            return pd.DataFrame({"slice": [i // SLICE for i in at], "rows": len(batches), "z": [model.z[i:i + SLICE].astype("<f4").tobytes() for i in at],
+                                 "n": [model.n[i:i + SLICE].astype("<f4").tobytes() for i in at]})
+
+        def average(parts: pd.DataFrame) -> pd.DataFrame:
+            parts = parts.sort_values("z")
+            mean = {c: np.average([np.frombuffer(x, "<f4") for x in parts[c]], axis=0, weights=parts["rows"]).astype("<f4").tobytes() for c in ("z", "n")}
+            return pd.DataFrame({"slice": parts["slice"][:1], **{c: [x] for c, x in mean.items()}})
+
+        learnt = rows.groupBy("part").applyInPandas(learn, "slice int, rows long, z binary, n binary")
+        slices = sorted(learnt.groupBy("slice").applyInPandas(average, "slice int, z binary, n binary").collect())
+        if slices:
+            z, n = (np.frombuffer(b"".join(r[c] for r in slices), "<f4") for c in ("z", "n"))
+        shared.destroy()
+    model = Ftrl(z.astype("f8"), n.astype("f8"))
     every = np.arange(COORDINATES + 1)
     weights = model.weights(every)
     held = np.flatnonzero(weights[:-1])
