@@ -89,7 +89,10 @@ def _documents(table: pa.Table, name: str, block: int) -> list[tuple[int, int, i
 
 
 def _split(values: np.ndarray, parts: int) -> np.ndarray:
-    return ((values >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype("i8")
+    """Parts of gram hashes. Those are least ones, so they are hashed again to fill all parts alike."""
+    mixed = (values ^ values >> np.uint64(33)) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(_MULTIPLIER)
+    return ((mixed >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype("i8")
 
 
 def _grams(name: str, length: int, gram: int, parts: int):
@@ -99,6 +102,8 @@ def _grams(name: str, length: int, gram: int, parts: int):
         held = [_segments(body, length, gram)[3] for body in _bodies(table, name)]
         grams, places = np.unique(np.concatenate(held), return_counts=True)
         part = _split(grams, parts)
+        order = np.argsort(part, kind="stable")
+        grams, places, part = grams[order], places[order], part[order]
         cut = np.searchsorted(part, np.arange(parts + 1))
         rows = []
         for p in range(parts):
@@ -416,8 +421,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     4. A gram with more than ``heavy`` places is sent passage by passage, dealt out by content.
     """
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = 4 * parts
+    parts = blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     given = F.col(f"`{doc_id}`").cast("long")
     body = F.col(f"`{text}`").cast("binary")
     home = F.when(given.isNull(), F.xxhash64(body)).otherwise(F.xxhash64(given))
