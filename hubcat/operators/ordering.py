@@ -6,7 +6,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hubcat.session import checkpoint_dir
+from hubcat.session import stored
 
 _ID, _PART, _SOURCE = "__id", "__part", "__source"
 
@@ -19,19 +19,18 @@ def popularity_order(score: str = "paper_upvotes", key: str = "paper_id") -> lis
 def range_sorted(df: DataFrame, order: list[Column]) -> DataFrame:
     """Globally sorted copy with ``__id`` = partition and row number inside it.
 
-    The sorted rows are checkpointed to the shared folder: positions depend on how rows
-    fell into partitions, and a lost executor must not change that. The source partition
-    is the last sort key, so that copies of one row can be split over partitions.
+    The sorted rows and their ids are written to the shared folder: positions depend on how
+    rows fell into partitions, and a lost executor must not change that. The source partition
+    is the last sort key, so that copies of one row can be split over partitions. All columns
+    of ``df`` move, so callers pass the narrow ones that they need.
     """
-    checkpoint_dir(df.sparkSession)
-    saved = (
+    ranged = (
         df.withColumn(_SOURCE, F.spark_partition_id())
         .repartitionByRange(*order, F.col(_SOURCE))
         .sortWithinPartitions(*order, F.col(_SOURCE))
         .drop(_SOURCE)
-        .checkpoint(eager=True)
     )
-    return saved.withColumn(_ID, F.monotonically_increasing_id())
+    return stored(ranged.withColumn(_ID, F.monotonically_increasing_id()), "sorted")
 
 
 def _partition_of(c: Column) -> Column:
@@ -39,7 +38,7 @@ def _partition_of(c: Column) -> Column:
 
 
 def dense_index(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
-    """0-based position of every row in the global order.
+    """0-based position of every row in the global order; runs a sort and a count at once.
 
     The one thing that reaches the driver is a row count per partition.
     """

@@ -76,6 +76,20 @@ MODEL_FLAGS = {
 }
 DATASET_FLAGS = {**MODEL_FLAGS, "has_robot": ("robot", "robotics")}
 
+MODEL_FINAL = (
+    "id", "downloads", "downloadsAllTime", "likes", "pipeline_tag", "tags", "params",
+    "size_category", "organization", *MODEL_FLAGS, "has_science", "is_audio_speech",
+    "is_biomed", "data_download_timestamp", "createdAt",
+)
+DATASET_FINAL = (
+    "id", "downloads", "downloadsAllTime", "likes", "tags", "organization",
+    *DATASET_FLAGS, "has_science", "is_biomed", "data_download_timestamp",
+)
+PAPER_FINAL = (
+    *PAPER_COLUMNS, "data_download_timestamp", "organization_name", "citation_count",
+    "semantic_scholar_id", *TAXONOMY_COLUMNS,
+)
+
 SIMILARITY_THRESHOLD = 0.55
 LABEL_SCORE_SHARE = 0.9
 MAX_LABELS = 5
@@ -119,11 +133,7 @@ MODELS = CatalogSpec(
     text=("id", "pipeline_tag"),
     arrays=("tags",),
     other=("safetensors", "createdAt"),
-    final=(
-        "id", "downloads", "downloadsAllTime", "likes", "pipeline_tag", "tags", "params",
-        "size_category", "organization", *MODEL_FLAGS, "has_science", "is_audio_speech",
-        "is_biomed", "data_download_timestamp", "createdAt",
-    ),
+    final=MODEL_FINAL,
 )
 
 DATASETS = CatalogSpec(
@@ -134,10 +144,7 @@ DATASETS = CatalogSpec(
     text=("id",),
     arrays=("tags",),
     other=(),
-    final=(
-        "id", "downloads", "downloadsAllTime", "likes", "tags", "organization",
-        *DATASET_FLAGS, "has_science", "is_biomed", "data_download_timestamp",
-    ),
+    final=DATASET_FINAL,
 )
 
 PAPERS = CatalogSpec(
@@ -151,9 +158,6 @@ PAPERS = CatalogSpec(
         c for c in PAPER_COLUMNS
         if c not in ("paper_upvotes", "numComments", "paper_githubStars")
     ),
-    final=(
-        *PAPER_COLUMNS, "data_download_timestamp", "organization_name", "citation_count",
-        "semantic_scholar_id", *TAXONOMY_COLUMNS,
-    ),
+    final=PAPER_FINAL,
     flag_defaults=False,
 )
