@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from math import exp
 
 import numpy as np
 import pandas as pd
@@ -27,6 +26,9 @@ GATHERED = 2_000_000
 FILTER_BITS = 1 << 25
 #: Bytes of a signature that travel; its bucket stands for the others. Equal ones are candidates only.
 _KEPT = 6
+#: Counters of documents by shingle hash.
+SLOTS = 1 << 20
+_SLOT_SHIFT = np.uint64(44)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
 
 
@@ -75,33 +77,70 @@ class Scheme:
         self.starts = [1]
         while self.starts[-1] < 1 << 40:
             self.starts.append(self.starts[-1] * whole // part + 1)
-        spare = 1 + 1.5 * exp(-part / max(1, whole - part))
+        spare = 1 + 2 * (whole - part) / part
         self.apart = [(b - 1) * (whole - part) // part for b in self.starts[1:]]
-        self.blocks = [int((d + 1) * spare) + (spare > 1.01) for d in self.apart]
+        self.blocks = [int((d + 1) * spare) + 1 for d in self.apart]
         self._starts = np.asarray(self.starts)
 
-    def signatures(self, held: np.ndarray) -> np.ndarray:
+    def signatures(self, held: np.ndarray, frequent: np.ndarray | None = None) -> np.ndarray:
         """One hash per scheme and block of a set of ascending hashes, for blocks that are not empty.
 
-        A set with too few such blocks gives its empty ones too: if its partner has enough of
-        them, they agree on one of those; if not, the partner gives its empty ones as well.
+        Frequent columns take no part, so that a shared passage alone makes no candidates. A set that is left
+        with too few blocks gives all blocks of all its columns too, the empty ones with them. If its
+        partner has blocks enough, they agree on one of those; if not, the partner gives all as well.
         """
         size_class = int(np.searchsorted(self._starts, len(held), side="right")) - 1
+        rare = held if frequent is None else held[~frequent]
         found = []
         for c in {size_class, max(0, size_class - 1)}:
-            blocks = self.blocks[c]
-            block = ((held >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype("i8")
-            first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-            total = np.add.reduceat(_scrambled(held ^ _ODD[0]), first)
-            full = block[first]
-            if len(full) <= self.apart[c]:
-                empty = np.setdiff1d(np.arange(blocks), full)
-                full, total = np.r_[full, empty], np.r_[total, np.zeros(len(empty), "u8")]
-            found.append(_scrambled(total + full.astype("u8") * _ODD[0] + np.full(1, c, "u8") * _ODD[1]))
+            block, total = self._blocks_of(rare, c)
+            found.append(_scrambled(total + block * _ODD[0] + np.full(1, 2 * c, "u8") * _ODD[1]))
+            if len(block) <= self.apart[c]:
+                block, total = self._blocks_of(held, c)
+                every = np.zeros(self.blocks[c], "u8")
+                every[block.astype("i8")] = total
+                found.append(_scrambled(every + np.arange(len(every), dtype="u8") * _ODD[0] + np.full(1, 2 * c + 1, "u8") * _ODD[1]))
         return np.concatenate(found)
 
+    def _blocks_of(self, held: np.ndarray, c: int) -> tuple[np.ndarray, np.ndarray]:
+        """The blocks that are not empty, and a hash of what each holds."""
+        if not len(held):
+            return np.zeros(0, "u8"), np.zeros(0, "u8")
+        block = (held >> np.uint64(32)) * np.uint64(self.blocks[c]) >> np.uint64(32)
+        first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        return block[first], np.add.reduceat(_scrambled(held ^ _ODD[0]), first)
 
-def _rows(words: int, scheme: Scheme, buckets: int, id_type: pa.DataType):
+
+# Which columns are frequent: only a hint, kept in counters of a fixed size
+
+def _counted(words: int):
+    """A task's documents by slot of the shingle hash, in slices."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, "u4")
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                np.add.at(counts, (shingles(text, words) >> _SLOT_SHIFT).astype("i8"), 1)
+        parts = counts.reshape(16, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(16), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["slice", "counts"])
+    return run
+
+
+def _frequent_slots(docs: DataFrame, words: int) -> np.ndarray:
+    """Which slots hold far more documents than a slot does at random; all documents count."""
+    def add(parts: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(c, "u4") for c in parts["counts"]], axis=0, dtype="u8")
+        return pd.DataFrame({"slice": parts["slice"][:1], "counts": [total.tobytes()]})
+
+    counted = docs.select("text").mapInArrow(_counted(words), "slice int, counts binary")
+    rows = sorted(counted.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect())
+    if not rows:
+        return np.zeros(SLOTS, bool)
+    counts = np.frombuffer(b"".join(r["counts"] for r in rows), "u8")
+    usual = float(np.median(counts))
+    return counts > usual + 5 * usual ** 0.5 + 8
+
+
+def _rows(words: int, scheme: Scheme, buckets: int, id_type: pa.DataType, frequent):
     """Kind 0: a document and its set's size and fingerprint. Kind 1: a task's signatures in a bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, count, known = TaskContext.get().partitionId(), 0, {}
@@ -116,7 +155,7 @@ def _rows(words: int, scheme: Scheme, buckets: int, id_type: pa.DataType):
                 prints.append(own)
                 if len(found) and own not in known:
                     known[own] = count
-                    signatures.append(scheme.signatures(found))
+                    signatures.append(scheme.signatures(found, frequent.value[(found >> _SLOT_SHIFT).astype("i8")]))
                     owners.append(np.full(len(signatures[-1]), count, "u4"))
                     held += len(owners[-1])
                 count += 1
@@ -279,7 +318,8 @@ def jaccard_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int =
     """One row per document: doc_id, text_hash, n_shingles, component_id (the smallest id of all that links reach), label.
 
     Two documents link when whole * intersection >= part * union of their shingle sets. Equal sets are one row of the matrix.
-    Candidates agree wholly on a column block (see ``Scheme``), which every linked pair does.
+    Candidates agree wholly on a column block (see ``Scheme``), which every linked pair does. A first pass counts
+    documents by shingle hash, so that frequent shingles make no candidates.
     They are joined to candidate components; a component's rows are cut into blocks of bounded size and multiplied
     block by block, larger ones first each block by itself, then what is still apart against all.
     Only links that join something are kept, so that no group gives all its pairs. ``label`` is one long for each
@@ -293,7 +333,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int =
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     id_field = docs.schema["doc_id"].dataType
     rows = stored(docs.mapInArrow(
-        _rows(words, scheme, buckets, to_arrow_type(id_field)),
+        _rows(words, scheme, buckets, to_arrow_type(id_field), spark.sparkContext.broadcast(_frequent_slots(docs, words))),
         f"kind int, uid long, doc_id {id_field.simpleString()}, text_hash long, size long, print binary, bucket int, signatures binary, owners binary"), "matrix")
     matrix = rows.where("kind = 0").select("uid", "doc_id", "text_hash", "size", "print")
     first = matrix.groupBy("print").agg(F.min("uid").alias("row"), F.count(F.lit(1)).alias("copies"))
