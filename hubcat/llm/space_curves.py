@@ -8,6 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from hubcat.operators.skew import join_unique
+from hubcat.session import stored
+
 #: Curves, coordinates of a projected vector, and bits of a coordinate on the curve's grid.
 CURVES, COORDINATES, BITS = 24, 8, 6
 #: A curve is cut into this many key ranges; a query sees its own and the two beside it.
@@ -67,21 +70,54 @@ def _raised(vectors: np.ndarray, longest: float, query: bool) -> np.ndarray:
     return np.hstack([vectors, np.sqrt(np.maximum(longest ** 2 - length ** 2, 0))[:, None]])
 
 
-def _keys(index: Index, curve: int, raised: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Keys on a curve; the low bits come from the id, so that equal vectors can be parted."""
+def _keys(index: Index, curve: int, raised: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Keys on a curve; the low bits come from the vector's mark, so that vectors in one cell can be parted."""
     grid = (raised @ index.projection[curve] - index.low[curve]) * index.scale[curve]
     cells = np.clip(grid, 0, (1 << BITS) - 1).astype("u4")
-    mixed = ids.astype("u8") * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _TIE_BITS)
-    return hilbert_keys(cells, BITS) << _TIE_BITS | mixed.astype("i8")
+    return hilbert_keys(cells, BITS) << _TIE_BITS | (marks >> np.uint64(64 - _TIE_BITS)).astype("i8")
+
+
+def _numbers(marks: pd.Series) -> np.ndarray:
+    """The first half of each mark as a number."""
+    return np.frombuffer(b"".join(marks), "<u8")[::2]
+
+
+def _distinct(rows: DataFrame, is_query: Column, most: int) -> DataFrame:
+    """One row per vector: its bytes, a 128-bit mark, its length, its ``most`` smallest ids, and whether any of its ids asks.
+
+    Each batch lets at most ``most`` ids of a vector through, so that no task meets all copies of one.
+    """
+    def thinned(batches):
+        for batch in batches:
+            if batch.empty:
+                continue
+            x = _unpacked(batch["vector"])
+            made = pd.DataFrame({"vector": [v.tobytes() for v in x], "length": np.linalg.norm(x, axis=1), "id": batch["id"], "asked": batch["asked"]})
+            made["asked"] = made.groupby("vector", sort=False)["asked"].transform("any")
+            yield made.drop_duplicates(["vector", "id"]).sort_values("id").groupby("vector", sort=False).head(most)
+
+    asked = rows.select("id", "vector", F.coalesce(is_query, F.lit(False)).alias("asked"))
+    return asked.mapInPandas(thinned, "vector binary, length double, id long, asked boolean").groupBy("vector").agg(
+        F.max("length").alias("length"), F.slice(F.array_sort(F.collect_set("id")), 1, most).alias("ids"), F.max("asked").alias("asked")).withColumn(
+        "mark", _mark())
 
 
-def fit(rows: DataFrame, seed: int = 7) -> tuple[Index, int] | None:
-    """Projections, shifts and cuts from at most SAMPLE vectors; length and count are those of all rows."""
-    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))).alias("longest")).first()
+def _mark() -> Column:
+    return F.unhex(F.md5("vector"))
+
+
+def _unpacked(vectors: pd.Series) -> np.ndarray:
+    """Rows of doubles; a negative zero becomes a zero, so that equal vectors have equal bytes."""
+    return np.stack(vectors.to_numpy()).astype("f8") + 0.0
+
+
+def fit(distinct: DataFrame, seed: int = 7) -> tuple[Index, int] | None:
+    """Projections, shifts and cuts from at most SAMPLE distinct vectors; length and count are those of all of them."""
+    facts = distinct.agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("longest")).first()
     if not facts["n"]:
         return None
-    drawn = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas().sort_values("id")
-    vectors, ids = np.stack(drawn["vector"].to_numpy()).astype("f8"), drawn["id"].to_numpy()
+    drawn = distinct.select("mark", "vector").orderBy("mark").limit(SAMPLE).toPandas().sort_values("mark")
+    vectors, marks = np.frombuffer(b"".join(drawn["vector"]), "f8").reshape(len(drawn), -1), _numbers(drawn["mark"])
     raised = _raised(vectors, facts["longest"], False)
     rng, dims = np.random.default_rng(seed), raised.shape[1]
     turns, width = [], min(COORDINATES, dims)
@@ -98,7 +134,7 @@ def fit(rows: DataFrame, seed: int = 7) -> tuple[Index, int] | None:
     ranges = int(max(1, min(RANGES, facts["n"] // LEAST_ROWS)))
     cuts = []
     for curve in range(CURVES):
-        keys = np.sort(_keys(index, curve, raised, ids))
+        keys = np.sort(_keys(index, curve, raised, marks))
         cuts.append(keys[np.arange(1, ranges) * len(keys) // ranges])
     return index._replace(cuts=np.stack(cuts)), facts["n"]
 
@@ -116,9 +152,11 @@ def _usable(vectors: DataFrame, vector: str, vec_id: str) -> DataFrame:
 def search(vectors: DataFrame, is_query: Column, k: int, vector: str = "embedding", vec_id: str = "vec_id") -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` best rows found by inner product, its own left out.
 
-    ``is_query`` is a condition on the column ``id``. On every curve a query meets all rows of its
+    ``is_query`` is a condition on the column ``id``. Equal vectors are searched as one and come apart into
+    ids after the rerank: each keeps its ``k`` + 1 smallest ids, as no query can have more of them among its
+    best, and always meets itself. On every curve a distinct vector that asks meets all of its
     key range and of the two beside it; the best of all curves are merged. A range is a
-    fixed share of the rows (see RANGES), since vectors without any structure need it for the
+    fixed share of the distinct vectors (see RANGES), since vectors without any structure need it for the
     recall; more ranges make the search cheaper where vectors form clusters. Ranges are
     dealt out in pieces of bounded size. Vectors that are null, zero, of an unusual length, or hold null or
     non-finite values take no part, nor do rows without an id. Ties go to the smaller id; rows
@@ -126,8 +164,9 @@ def search(vectors: DataFrame, is_query: Column, k: int, vector: str = "embeddin
     """
     spark = vectors.sparkSession
     rows = _usable(vectors, vector, vec_id)
+    distinct = stored(_distinct(rows, is_query, k + 1), "vectors")
     empty = "query_id long, rank int, vec_id long, score double"
-    fitted = fit(rows)
+    fitted = fit(distinct)
     if fitted is None:
         return spark.createDataFrame([], empty)
     index = spark.sparkContext.broadcast(fitted[0])
@@ -139,48 +178,72 @@ def search(vectors: DataFrame, is_query: Column, k: int, vector: str = "embeddin
             for batch in batches:
                 if batch.empty:
                     continue
-                x, ids = np.stack(batch["vector"].to_numpy()).astype("f8"), batch["id"].to_numpy()
+                x, marks = np.frombuffer(b"".join(batch["vector"]), "f8").reshape(len(batch), -1), _numbers(batch["mark"])
                 raised = _raised(x, index.value.longest, query)
-                packed = [v.tobytes() for v in x.astype("f8")]
+                made = batch.assign(ids=[np.asarray(i, "i8").tobytes() for i in batch["ids"]])
                 for curve in range(CURVES):
-                    own = np.searchsorted(index.value.cuts[curve], _keys(index.value, curve, raised, ids), side="right")
+                    own = np.searchsorted(index.value.cuts[curve], _keys(index.value, curve, raised, marks), side="right")
                     if not query:
-                        yield pd.DataFrame({"curve": curve, "range": own, "piece": (ids // 64) % pieces, "id": ids, "vector": packed})
+                        yield made.drop(columns="mark").assign(curve=curve, range=own, piece=(marks % np.uint64(pieces)).astype("i4"))
                         continue
                     for beside in (-1, 0, 1):
                         inside = (own + beside >= 0) & (own + beside < ranges)
                         for piece in range(pieces):
-                            yield pd.DataFrame({"curve": curve, "range": own + beside, "piece": piece, "id": ids, "vector": packed})[inside]
+                            yield made.assign(curve=curve, range=own + beside, piece=piece)[inside]
         return run
 
-    schema = "curve int, range int, piece int, id long, vector binary"
-    candidates = rows.mapInPandas(placed(False), schema).groupBy("curve", "range", "piece")
-    queries = rows.where(is_query).mapInPandas(placed(True), schema).groupBy("curve", "range", "piece")
+    schema = "curve int, range int, piece int, ids binary, vector binary"
+    candidates = distinct.select("mark", "ids", "vector").mapInPandas(placed(False), schema).groupBy("curve", "range", "piece")
+    queries = distinct.where("asked").select("mark", "ids", "vector").mapInPandas(placed(True), schema + ", mark binary").groupBy("curve", "range", "piece")
 
     def best(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        return _best(asked, held, k)
-
-    found = queries.cogroup(candidates).applyInPandas(best, "query_id long, vec_id long, score double")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return _best(asked, held, k + 1)
+
+    found = queries.cogroup(candidates).applyInPandas(best, "mark binary, vec_id long, score double")
+    once = found.groupBy("mark", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("mark").orderBy(F.desc("score"), "vec_id")
+    near = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k + 1).groupBy("mark").agg(
+        F.collect_list(F.struct("vec_id", "score")).alias("near"))
+
+    def packed(batches):
+        for batch in batches:
+            if not batch.empty:
+                yield pd.DataFrame({"query_id": batch["id"], "vector": [v.tobytes() for v in _unpacked(batch["vector"])]})
+
+    asking = rows.where(is_query).mapInPandas(packed, "query_id long, vector binary").select("query_id", _mark().alias("mark"))
+    each = join_unique(asking, near, "mark", "inner").select("query_id", F.inline("near")).where("vec_id != query_id")
+    each = each.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
 
+def _best(asked: pd.DataFrame, held: pd.DataFrame, most: int) -> pd.DataFrame:
+    """The best ``most`` ids of a piece for each asking vector, its own among the candidates.
 
-def _best(asked: pd.DataFrame, held: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The best ``k`` of a piece for each query. A fast product chooses, one sum per pair gives the score."""
-    if asked.empty or held.empty:
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+    A fast product chooses vectors, one sum per pair gives the score.
+    """
+    if asked.empty:
+        return pd.DataFrame({"mark": [], "vec_id": [], "score": []})
     q = np.frombuffer(b"".join(asked["vector"]), "f8").reshape(len(asked), -1)
-    x = np.frombuffer(b"".join(held["vector"]), "f8").reshape(len(held), -1)
-    ids, out = held["id"].to_numpy(), []
+    x = np.frombuffer(b"".join(held["vector"]), "f8").reshape(len(held), q.shape[1])
+    ids, own_ids, marks, out = held["ids"].to_numpy(), asked["ids"].to_numpy(), asked["mark"].to_numpy(), []
     for first in range(0, len(q), 256):
         some = q[first:first + 256]
-        rough = some @ x.T
-        for row, query, query_id in zip(rough, some, asked["id"].to_numpy()[first:first + 256]):
-            row[ids == query_id] = -np.inf
-            least = np.partition(row, -k)[-k] if len(row) > k else -np.inf
-            chosen = np.flatnonzero(row >= least - 1e-9 * max(1.0, abs(least)) if np.isfinite(least) else np.isfinite(row))
-            score = (x[chosen] * query).sum(axis=1)
-            top = np.lexsort((ids[chosen], -score))[:k]
-            out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[chosen][top], "score": score[top]}))
+        for at, (row, query) in enumerate(zip(some @ x.T, some), first):
+            wanted = most
+            while True:
+                chosen = np.arange(len(row))
+                if len(row) > wanted:
+                    least = np.partition(row, -wanted)[-wanted]
+                    chosen = np.flatnonzero(row >= least - 1e-9 * max(1.0, abs(least)))
+                score = (np.vstack([x[chosen], query]) * query).sum(axis=1)
+                groups = [*ids[chosen], own_ids[at]]
+                vec_id, score = np.frombuffer(b"".join(groups), "i8"), np.repeat(score, [len(g) // 8 for g in groups])
+                order = np.lexsort((vec_id, -score))
+                top = order[np.sort(np.unique(vec_id[order], return_index=True)[1])[:most]]
+                # Vectors that repeat ids may hold too few different ones.
+                if len(top) == most or len(chosen) == len(row):
+                    break
+                wanted *= 2
+            out.append(pd.DataFrame({"mark": marks[at], "vec_id": vec_id[top], "score": score[top]}))
     return pd.concat(out)

@@ -126,6 +126,40 @@ def test_few_equal_or_no_vectors(spark):
     assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(i, i, 1.0) for i in range(1, 21)]
 
 
+def unit_vectors(rng, n, dims=64):
+    x = rng.normal(size=(n, dims))
+    return (x / np.linalg.norm(x, axis=1)[:, None]).astype("f4").astype("f8")
+
+
+def hits_of(spark, x, ids):
+    """Share of the true 20 neighbours found, by query."""
+    rows = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<float>").repartition(5)
+    by = {}
+    for r in space_curves.search(rows, F.col("id") % 20 == 0, 20).collect():
+        by.setdefault(r["query_id"], set()).add(r["vec_id"])
+    return {i: len(by[i] & {v for v, _ in want}) / 20 for i, want in nearest(x, ids, 20).items()}
+
+
+def test_a_third_of_equal_vectors_with_narrow_ranges(spark, monkeypatch):
+    monkeypatch.setattr(space_curves, "LEAST_ROWS", 32)
+    rng = np.random.default_rng(11)
+    x, ids = unit_vectors(rng, 3000), rng.permutation(3000)
+    x[:1000] = x[0]
+    x[:500, 7] = x[0, 7] = 0.0
+    x[500:1000] = x[0]
+    x[:300, 7] = -0.0
+    hits = hits_of(spark, x, ids)
+    assert all(hits[int(i)] == 1 for i in ids[:1000] if i % 20 == 0)
+    assert sum(hits.values()) >= 0.9 * len(hits)
+
+
+def test_repeated_ids_count_once_and_do_not_crowd_out_others(spark):
+    schema = "vec_id long, embedding array<float>"
+    rows = [(0, [1.0, 0.0])] + [(7, [1.0, i / 1000]) for i in range(60)] + [(i, [0.5, i / 1000]) for i in range(100, 130)]
+    got = space_curves.search(spark.createDataFrame(rows, schema), F.col("id") == 0, 20).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [7, *range(100, 119)]
+
+
 def test_hilbert_keys_walk_from_cell_to_neighbouring_cell():
     for dims, bits in ((2, 3), (3, 2), (4, 2)):
         cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), axis=-1).reshape(-1, dims)
