@@ -25,12 +25,11 @@ _TIE_BITS = 14
 
 
 class Index(NamedTuple):
-    """One curve per leading entry: projection, lowest corner, scale, shift, and the cuts between its ranges."""
+    """One curve per leading entry: projection, the grid's edges by coordinate, and the cuts between its ranges."""
 
     longest: float
     projection: np.ndarray
-    low: np.ndarray
-    scale: np.ndarray
+    edges: np.ndarray
     cuts: np.ndarray
 
 
@@ -71,10 +70,13 @@ def _raised(vectors: np.ndarray, longest: float, query: bool) -> np.ndarray:
 
 
 def _keys(index: Index, curve: int, raised: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """Keys on a curve; the low bits come from the vector's mark, so that vectors in one cell can be parted."""
-    grid = (raised @ index.projection[curve] - index.low[curve]) * index.scale[curve]
-    cells = np.clip(grid, 0, (1 << BITS) - 1).astype("u4")
-    return hilbert_keys(cells, BITS) << _TIE_BITS | (marks >> np.uint64(64 - _TIE_BITS)).astype("i8")
+    """Keys on a curve; the low bits come from the vector's mark and the curve, so that each curve parts a dense cell another way."""
+    seen = raised @ index.projection[curve]
+    cells = np.stack([np.searchsorted(edges, x, side="right") for edges, x in zip(index.edges[curve], seen.T)], axis=1)
+    mixed = marks ^ np.uint64((curve + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    mixed = (mixed ^ mixed >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ mixed >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return hilbert_keys(cells, BITS) << _TIE_BITS | (mixed >> np.uint64(64 - _TIE_BITS)).astype("i8")
 
 
 def _numbers(marks: pd.Series) -> np.ndarray:
@@ -125,12 +127,13 @@ def fit(distinct: DataFrame, seed: int = 7) -> tuple[Index, int] | None:
         turn = np.linalg.qr(rng.normal(size=(dims, dims)))[0]
         turns += [turn[:, i:i + width] for i in range(0, dims - width + 1, width)]
     projection = np.stack(turns[:CURVES])
-    seen = np.einsum("nd,cdk->cnk", raised, projection)
-    low, high = seen.min(axis=1), seen.max(axis=1)
-    span = np.maximum(high - low, 1e-12)
-    # The grid is half as wide again as the data, and every curve's grid is shifted another way.
-    low = low - span * rng.uniform(0, 0.5, low.shape)
-    index = Index(facts["longest"], projection, low[:, None, :], ((1 << BITS) / (1.5 * span))[:, None, :], np.zeros((CURVES, 0), "i8"))
+    seen = np.sort(np.einsum("nd,cdk->ckn", raised, projection), axis=2)
+    # Edges are quantiles, so that clusters get cells by their share of the vectors and not by their width. The
+    # grid is half as wide again as the data, and every curve's grid is shifted another way.
+    share = 1.5 * np.arange(1, 1 << BITS) / (1 << BITS) - rng.uniform(0, 0.5, seen.shape[:2])[:, :, None]
+    edges = np.take_along_axis(seen, np.clip(share * len(drawn), 0, len(drawn) - 1).astype(int), axis=2)
+    edges = np.where(share <= 0, -np.inf, np.where(share >= 1, np.inf, edges))
+    index = Index(facts["longest"], projection, edges, np.zeros((CURVES, 0), "i8"))
     ranges = int(max(1, min(RANGES, facts["n"] // LEAST_ROWS)))
     cuts = []
     for curve in range(CURVES):

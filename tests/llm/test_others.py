@@ -153,6 +153,18 @@ def test_a_third_of_equal_vectors_with_narrow_ranges(spark, monkeypatch):
     assert sum(hits.values()) >= 0.9 * len(hits)
 
 
+@pytest.mark.parametrize("share", [1 / 3, 0.9])
+def test_a_tight_cluster_with_narrow_ranges(spark, monkeypatch, share):
+    monkeypatch.setattr(space_curves, "LEAST_ROWS", 32)
+    rng = np.random.default_rng(12)
+    x, ids, inside = unit_vectors(rng, 3000), rng.permutation(3000), int(3000 * share)
+    x[:inside] = x[0] + rng.normal(size=(inside, 64)) * 0.0002
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype("f4").astype("f8")
+    hits = hits_of(spark, x, ids)
+    among = [hits[int(i)] for i in ids[:inside] if i % 20 == 0]
+    assert sum(among) >= 0.9 * len(among) and sum(hits.values()) >= 0.9 * len(hits)
+
+
 def test_repeated_ids_count_once_and_do_not_crowd_out_others(spark):
     schema = "vec_id long, embedding array<float>"
     rows = [(0, [1.0, 0.0])] + [(7, [1.0, i / 1000]) for i in range(60)] + [(i, [0.5, i / 1000]) for i in range(100, 130)]
