@@ -153,6 +153,13 @@ def test_a_third_of_equal_vectors_with_narrow_ranges(spark, monkeypatch):
     assert sum(hits.values()) >= 0.9 * len(hits)
 
 
+def test_neighbours_with_as_many_ranges_as_a_large_table(spark, monkeypatch):
+    monkeypatch.setattr(space_curves, "LEAST_ROWS", 32)
+    rng = np.random.default_rng(13)
+    hits = hits_of(spark, unit_vectors(rng, 3000), rng.permutation(3000))
+    assert sum(hits.values()) >= 0.9 * len(hits)
+
+
 @pytest.mark.parametrize("share", [1 / 3, 0.9])
 def test_a_tight_cluster_with_narrow_ranges(spark, monkeypatch, share):
     monkeypatch.setattr(space_curves, "LEAST_ROWS", 32)
