@@ -26,6 +26,7 @@ BLOCK = SPACED | {
     "tfoot",
 }
 TABLE_PARTS = {"caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th"}
+ROW_GROUPS = {"thead", "tbody", "tfoot"}
 LISTS = {"ul", "ol", "menu", "dir"}
 #: An open element of the first kind ends when one of the second kind begins.
 ENDED_BY = {
@@ -210,37 +211,61 @@ class Page:
         return "\n".join(self.lines).strip("\n")
 
 
-def _span(node: Node) -> int:
-    given = node.attributes.get("colspan", "1")
-    return min(int(given), 1000) if given.isascii() and given.isdigit() and int(given) else 1
+def _span(node: Node, name: str, least: int, most: int) -> int:
+    """colspan or rowspan of a cell; 1 where it is missing or no number of at least ``least``."""
+    given = node.attributes.get(name, "1")
+    n = min(int(given.lstrip("0")[:9] or "0"), most) if given.isascii() and given.isdigit() else 1
+    return n if n >= least else 1
+
+
+def _placed(rows: list[list[tuple[str, int, int]]]) -> list[list[tuple[int, str, int]]]:
+    """(column, text, colspan) of the cells of a row group; columns that a cell of an earlier row still holds are passed over."""
+    placed, held = [], {}
+    for k, row in enumerate(rows):
+        at, cells = 0, []
+        for text, span, down in row:
+            while held.get(at, -1) >= k:
+                at += 1
+            cells.append((at, text, span))
+            # rowspan 0 reaches to the end of the group.
+            last = k + down - 1 if down else len(rows)
+            if last > k:
+                held.update((c, max(last, held.get(c, -1))) for c in range(at, at + span))
+            at += span
+        placed.append(cells)
+    return placed
 
 
-def _table(rows: list[list[tuple[str, int]]]) -> list[str]:
-    """Cells in columns of one width, two blanks apart; a cell's lines stay in its column."""
+def _table(groups: list[list[list[tuple[str, int, int]]]]) -> list[str]:
+    """Cells in columns of one width, two blanks apart; a cell's lines stay in its column. Blank lines go at the ends of a row only."""
+    rows = [row for group in groups for row in _placed(group)]
     widths: dict[int, int] = {}
     for row in rows:
-        at = 0
-        for text, span in row:
+        for at, text, span in row:
             if span == 1:
                 widths[at] = max(widths.get(at, 0), *map(len, text.split("\n")))
-            at += span
     lines = []
     for row in rows:
-        cells = [(text.split("\n"), span) for text, span in row]
-        for k in range(max((len(t) for t, _ in cells), default=0)):
-            at, line = 0, ""
-            for text, span in cells:
+        cells = [(at, text.split("\n"), span) for at, text, span in row]
+        made = []
+        for k in range(max((len(t) for _, t, _ in cells), default=0)):
+            reached, line = 0, ""
+            for at, text, span in cells:
+                line += " " * sum(widths.get(c, 0) + 2 for c in range(reached, at))
                 width = sum(widths.get(c, 0) for c in range(at, at + span)) + 2 * (span - 1)
                 line += (text[k] if k < len(text) else "").ljust(width) + "  "
-                at += span
-            lines.append(line.rstrip())
-    return [line for line in lines if line]
+                reached = at + span
+            made.append(line.rstrip())
+        shown = [k for k, line in enumerate(made) if line]
+        if shown:
+            lines += made[shown[0]:shown[-1] + 1]
+    return lines
 
 
 def render(root: Node) -> str:
     """The visible text of a tree, without recursion: pages nest as deep as they like."""
     pages = [Page()]
-    tables: list[list[list[tuple[str, int]]]] = []
+    tables: list[list[list[list[tuple[str, int, int]]]]] = []
     counters: list[int | None] = []
     work: list[tuple] = [("enter", root, True, False)]
     while work:
@@ -282,14 +307,16 @@ def render(root: Node) -> str:
 
 def _enter(node: Node, pages: list[Page], tables: list, counters: list) -> None:
     tag, page = node.tag, pages[-1]
+    if tag in ROW_GROUPS and tables:
+        tables[-1].append([])
     if tag == "table":
         page.block(2)
-        tables.append([])
+        tables.append([[]])
     elif tag == "tr" and tables:
-        tables[-1].append([])
+        tables[-1][-1].append([])
     elif tag in ("td", "th") and tables:
-        if not tables[-1]:
-            tables[-1].append([])
+        if not tables[-1][-1]:
+            tables[-1][-1].append([])
         pages.append(Page())
     elif tag in BLOCK:
         nested = tag in LISTS and bool(counters)
@@ -311,14 +338,19 @@ def _enter(node: Node, pages: list[Page], tables: list, counters: list) -> None:
 
 def _leave(node: Node, pages: list[Page], tables: list, counters: list) -> None:
     tag = node.tag
+    if tag in ROW_GROUPS and tables:
+        tables[-1].append([])
     if tag == "table" and tables:
         lines, page = _table(tables.pop()), pages[-1]
+        page.end_line()
         for line in lines:
-            page.end_line()
             page.write(line, True)
+            page.end_line(True)
         page.block(2)
     elif tag in ("td", "th") and len(pages) > 1 and tables:
-        tables[-1][-1].append((pages.pop().text(), _span(node)))
+        if not tables[-1][-1]:
+            tables[-1][-1].append([])
+        tables[-1][-1][-1].append((pages.pop().text(), _span(node, "colspan", 1, 1000), _span(node, "rowspan", 0, 65534)))
     elif tag in BLOCK:
         page = pages[-1]
         page.block(2 if tag in SPACED and not (tag in LISTS and len(counters) > 1) else 1)

@@ -213,6 +213,22 @@ def test_layout(source, text):
     assert html_layout.visible_text(source) == text
 
 
+@pytest.mark.parametrize("source, text", [
+    ("<table><tr><th>Name<th>A<th>B<tr><td rowspan=2>fig<td>1<td>2<tr><td>3<td>4<tr><td>kiwi<td>5<td>6</table>",
+     "Name  A  B\nfig   1  2\n      3  4\nkiwi  5  6"),
+    ("<table><tr><td>a<td rowspan=2 colspan=2>wide<td>b<tr><td>c<td>d<tr><td>e<td>f<td>g<td>h</table>", "a  wide  b\nc        d\ne  f  g  h"),
+    ("<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</tbody><tbody><tr><td>e<td>f</table>", "a  b\n   c\n   d\ne  f"),
+    ("<table><tbody><tr><td rowspan=9>a<td>b</tbody><tr><td>c<td>d</table>", "a  b\nc  d"),
+    ("<table><tr><td><p>a<p>b<td>c<tr><td>d</table>", "a  c\n\nb\nd"),
+    ("<blockquote><table><tr><td><p>a<p>b</table></blockquote>", "  a\n\n  b"),
+    ("<table>loose<tr><td>a</table>", "loose\na"),
+    ("<table><tr><td><tr><td>a<tr><td> <td></table>", "a"),
+    (f"<table><tr><td colspan={'9' * 5000} rowspan={'0' * 5000}1>a</table>", "a"),
+])
+def test_layout_of_spans_and_paragraphs_in_tables(source, text):
+    assert html_layout.visible_text(source) == text
+
+
 def test_pages(spark):
     rows = [(1, "u", None), (2, "u", ""), (None, "u", "<p>x"), (4, "u", "<div>" * 50_000 + "deep"), (4, "u", "<table>" * 300 + "<tr><td>t"), (5, "u", "x" * 300_000)]
     got = html_layout.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
