@@ -60,6 +60,8 @@ SCOPES = {
     "rt": {"ruby"},
     "rp": {"ruby"},
 }
+#: No end tag reaches out of these, but for those of tables and their parts.
+P_ENDS = {"table", "td", "th", "caption"}
 HEAD_ONLY = {"base", "link", "meta", "title", "style", "script", "noscript", "template", "head", "html"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*(?:>|\Z)", re.S)
@@ -109,14 +111,21 @@ def tokens(source: str) -> Iterator[tuple[str, str, dict[str, str]]]:
 
 
 def build(source: str) -> Node:
-    """The tree of a page. Missing end tags are implied, stray ones passed over."""
+    """The tree of a page. Missing end tags are implied, stray ones passed over.
+
+    ``reach`` counts, for each open element, the <p> that a </p> inside it could end.
+    """
     root = Node("html", {})
-    stack = [root]
+    stack, reach = [root], [0]
+
+    def push(node: Node) -> None:
+        stack.append(node)
+        reach.append(0 if node.tag in P_ENDS else reach[-1] + (node.tag == "p"))
 
     def end(tag: str, within: set[str]) -> bool:
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].tag == tag:
-                del stack[depth:]
+                del stack[depth:], reach[depth:]
                 return True
             if stack[depth].tag in within:
                 return False
@@ -125,31 +134,31 @@ def build(source: str) -> Node:
     for kind, name, attributes in tokens(source):
         if kind == "text":
             if stack[-1].tag == "head" and name.strip():
-                stack.pop()
+                del stack[-1], reach[-1]
             stack[-1].children.append(name)
         elif kind == "close":
-            if name == "p" and not any(n.tag == "p" for n in stack[-64:]):
+            if name == "p" and not reach[-1]:
                 stack[-1].children.append(Node("p", {}))
             elif name == "br":
                 stack[-1].children.append(Node("br", {}))
             else:
-                end(name, set() if name == "table" else {"table"} if name in TABLE_PARTS else {"table", "td", "th", "caption"})
+                end(name, set() if name == "table" else {"table"} if name in TABLE_PARTS else P_ENDS)
         else:
             if name in ("html", "body") and any(n.tag == name for n in stack[:3]):
                 continue
             if stack[-1].tag == "head" and name not in HEAD_ONLY:
-                stack.pop()
+                del stack[-1], reach[-1]
             for open_, ended_by in ENDED_BY.items():
                 if name in ended_by:
                     end(open_, SCOPES.get(open_, {"table"}))
             if name in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
                 row = Node("tr", {})
                 stack[-1].children.append(row)
-                stack.append(row)
+                push(row)
             node = Node(name, attributes)
             stack[-1].children.append(node)
             if name not in VOID:
-                stack.append(node)
+                push(node)
     return root
 
 

@@ -229,6 +229,20 @@ def test_layout_of_spans_and_paragraphs_in_tables(source, text):
     assert html_layout.visible_text(source) == text
 
 
+@pytest.mark.parametrize("source, text", [
+    ("<p hidden>" + "<b>" * 100 + "no</p>yes", "yes"),
+    ("<p>a" + "<i>" * 5000 + "b</p>c", "ab\n\nc"),
+    ("<p style='display:none'><span>" + "<b><i>" * 32 + "no</p>yes", "yes"),
+    ("a</p>b", "a\n\nb"),
+])
+def test_a_paragraph_ends_below_many_open_elements(source, text):
+    assert html_layout.visible_text(source) == text
+
+
+def test_an_end_tag_does_not_end_the_paragraph_around_a_table():
+    assert html_layout.visible_text("<p>a<b><table><tr><td>" + "<i>" * 70 + "b</p>c") == "a\n\nb\n\nc"
+
+
 def test_pages(spark):
     rows = [(1, "u", None), (2, "u", ""), (None, "u", "<p>x"), (4, "u", "<div>" * 50_000 + "deep"), (4, "u", "<table>" * 300 + "<tr><td>t"), (5, "u", "x" * 300_000)]
     got = html_layout.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
