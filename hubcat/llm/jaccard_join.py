@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from hubcat.llm.components import components
@@ -22,6 +22,8 @@ from hubcat.session import stored
 BLOCK_ENTRIES = 2_000_000
 #: Column-block signatures that a task gathers before it hands them on.
 GATHERED = 2_000_000
+#: Bytes of text whose signatures one bucket takes at most, about.
+BUCKET_BYTES = 32_000_000
 #: Bits of the map that keeps most texts without candidates out of the exchange.
 FILTER_BITS = 1 << 25
 #: Bytes of a signature that travel; its bucket stands for the others. Equal ones are candidates only.
@@ -288,21 +290,35 @@ def _multiplied(words: int, part: int, whole: int):
     return run
 
 
-def _possible(docs: DataFrame, work: DataFrame) -> DataFrame:
-    """``docs`` without most texts that ``work`` doesn't need: a bitmap of FILTER_BITS hashes is broadcast, whatever the size."""
-    slot = F.pmod("text_hash", F.lit(FILTER_BITS)) + 1
+def in_bitmap(work: DataFrame, key: str) -> Column | None:
+    """Whether a row's ``key``, a hash, may be one of ``work``: a bitmap of FILTER_BITS is broadcast, whatever the size. None: there are none."""
+    slot = F.pmod(key, F.lit(FILTER_BITS)) + 1
     maps = work.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    if not maps:
+        return None
     bitmap = bytearray(FILTER_BITS // 8)
     for row in maps:
         bitmap[(row["at"] - 1) * len(row["bits"]):row["at"] * len(row["bits"])] = row["bits"]
-    shared = docs.sparkSession.sparkContext.broadcast(bytes(bitmap))
+    shared = work.sparkSession.sparkContext.broadcast(bytes(bitmap))
 
     @F.pandas_udf("boolean")
     def held(slot: pd.Series) -> pd.Series:
         at = slot.to_numpy() - 1
         return pd.Series((np.frombuffer(shared.value, "u1")[at >> 3] >> (at & 7) & 1).astype(bool))
 
-    return docs.where(held(slot))
+    return held(slot)
+
+
+def _possible(docs: DataFrame, work: DataFrame) -> DataFrame:
+    """``docs`` without most texts that ``work`` doesn't need."""
+    held = in_bitmap(work, "text_hash")
+    return docs.where(F.lit(False) if held is None else held)
+
+
+def blocks_of(docs: DataFrame, text: str, block_bytes: int) -> int:
+    """Blocks that hold about ``block_bytes`` of the texts each, or fewer: two for each shuffle partition at least."""
+    total = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("binary")).cast("long"))).first()[0] or 0
+    return max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // block_bytes))
 
 
 def _product(docs: DataFrame, work: DataFrame, words: int, part: int, whole: int) -> DataFrame:
@@ -330,7 +346,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int =
     spark, scheme = docs.sparkSession, Scheme(part, whole)
     docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = blocks_of(docs, "text", BUCKET_BYTES)
     id_field = docs.schema["doc_id"].dataType
     rows = stored(docs.mapInArrow(
         _rows(words, scheme, buckets, to_arrow_type(id_field), spark.sparkContext.broadcast(_frequent_slots(docs, words))),

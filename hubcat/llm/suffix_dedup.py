@@ -13,12 +13,17 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from hubcat.llm.jaccard_join import blocks_of, in_bitmap
+from hubcat.operators.ordering import range_sorted
+
 #: Bytes of a passage that counts as repeated.
 LENGTH = 100
 #: Bytes of the gram that anchors a passage; a passage is found by the least gram in it.
 GRAM = 32
 #: A gram with more places than this is exchanged passage by passage, so that no task gets all of them.
 HEAVY = 50_000
+#: Bytes of text in a block at most, about; a block and its suffixes are one group of a task.
+BLOCK_BYTES = 24_000_000
 #: Windows of a text that are hashed at a time.
 STRETCH = 1 << 19
 #: In groups of at most so many different places every two are compared.
@@ -76,16 +81,11 @@ def _bodies(table: pa.Table, name: str) -> list[bytes]:
     return [t or b"" for chunk in table.column("row").chunks for t in chunk.field(name).cast(pa.binary()).to_pylist()]
 
 
-def _documents(table: pa.Table, name: str, block: int) -> list[tuple[int, int, int, bytes]]:
+def _documents(table: pa.Table, name: str) -> list[tuple[int, int, int, bytes]]:
     """(row, id, occurrence, text) of a block in the order of ids; rows without an id come first."""
-    given, bodies = table.column("id").to_pylist(), _bodies(table, name)
-    places = [-(1 << 63) if i is None else i for i in given]
-    found, before, count = [], None, 0
-    for row in sorted(range(len(places)), key=lambda r: (places[r], bodies[r])):
-        count = count + 1 if places[row] == before else 0
-        before = places[row]
-        found.append((row, places[row] + (1 << 63), count if given[row] is not None else block << 32 | count, bodies[row]))
-    return found
+    places = [-(1 << 63) if i is None else i for i in table.column("id").to_pylist()]
+    occurrences, bodies = table.column("occurrence").to_pylist(), _bodies(table, name)
+    return [(row, places[row] + (1 << 63), occurrences[row], bodies[row]) for row in sorted(range(len(places)), key=lambda r: (places[r], occurrences[r]))]
 
 
 def _split(values: np.ndarray, parts: int) -> np.ndarray:
@@ -200,7 +200,7 @@ def _sorted_runs(name: str, length: int, gram: int, parts: int):
         wanted = np.sort(np.frombuffer(b"".join(repeated.column("grams").to_pylist()), "u8"))
         heavy = np.sort(np.frombuffer(b"".join(repeated.column("heavy").to_pylist()), "u8"))
         items: dict[int, list[bytes]] = defaultdict(list)
-        for _, document, occurrence, text in _documents(texts, name, block):
+        for _, document, occurrence, text in _documents(texts, name):
             first, last, anchor, h = _segments(text, length, gram)
             keep = _among(h, wanted)
             part, each = _split(h, parts), _among(h, heavy)
@@ -378,7 +378,6 @@ def _cleaned(name: str, fields: pa.Schema):
     def run(texts: pa.Table, removed: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return fields.empty_table()
-        block = texts.column("block")[0].as_py()
         spans = np.frombuffer(b"".join(removed.column("spans").to_pylist()), "u8").reshape(-1, 4)
         spans = spans[np.lexsort((spans[:, 2], spans[:, 1], spans[:, 0]))]
         where = defaultdict(list)
@@ -389,7 +388,7 @@ def _cleaned(name: str, fields: pa.Schema):
             else:
                 runs.append([start, end])
         rows, kept, cut = [], [], []
-        for row, document, occurrence, text in _documents(texts, name, block):
+        for row, document, occurrence, text in _documents(texts, name):
             runs = where.get((document, occurrence), [])
             ends = [0, *(e for _, e in runs)]
             rows.append(row)
@@ -401,6 +400,28 @@ def _cleaned(name: str, fields: pa.Schema):
     return run
 
 
+def dealt(docs: DataFrame, text: str, doc_id: str, blocks: int) -> DataFrame:
+    """block, id, occurrence (the order among rows of one id) and row of each document.
+
+    An id that is surely not repeated needs no order. All others are sorted by id and text over all tasks, and
+    dealt out by their place, so that neither a repeated id nor copies of one text meet in a block.
+    """
+    given = F.col(f"`{doc_id}`").cast("long")
+    rows = docs.select(given.alias("id"), F.xxhash64(given).alias("id_hash"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    # The smallest long shares its place with rows that lack an id.
+    several = F.col("id").isNull() | (F.col("id") == F.lit(-(1 << 63)))
+    repeated = in_bitmap(rows.where(~several).groupBy("id_hash").count().where("count > 1"), "id_hash")
+    if repeated is not None:
+        several = several | repeated
+    single = rows.where(~several).select(F.pmod("id_hash", F.lit(blocks)).cast("int").alias("block"), "id", F.lit(0).cast("long").alias("occurrence"), "row")
+    if repeated is None and rows.where(several).isEmpty():
+        return single
+    body = F.coalesce(F.col("row").getField(text).cast("binary"), F.lit(b""))
+    ordered = range_sorted(rows.where(several).select("id", "row"), [F.col("id").asc_nulls_first(), body.asc()])
+    return single.unionByName(ordered.select(
+        F.pmod(F.xxhash64("id", "__id"), F.lit(blocks)).cast("int").alias("block"), "id", F.col("__id").alias("occurrence"), "row"))
+
+
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, gram: int = GRAM,
                    heavy: int = HEAVY, as_text: bool = False) -> DataFrame:
     """row (all columns of ``docs``), kept (bytes that stay), spans (start and end of each maximal removed run).
@@ -411,7 +432,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     id, or earlier in its own. Null counts as empty; texts shorter than ``length`` stay. Rows without an id come
     before all others; rows that repeat an id follow the order of their texts. Ids are whole numbers.
 
-    1. Texts are dealt to blocks by id, once: the three passes over them share that exchange.
+    1. Texts are dealt to blocks of bounded size by id, once: the three passes over them share that exchange.
+       Rows whose id is missing or may be repeated are put in order first, and dealt out by their place in it.
     2. A passage is anchored at its least gram. Blocks report their grams' hashes, and learn which
        have another place anywhere; all other passages are unique.
     3. Blocks sort the suffixes at such anchors, with the bytes before them as far as passages reach,
@@ -420,13 +442,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
        are compared on both its sides.
     4. A gram with more than ``heavy`` places is sent passage by passage, dealt out by content.
     """
-    spark = docs.sparkSession
-    parts = blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    given = F.col(f"`{doc_id}`").cast("long")
-    body = F.col(f"`{text}`").cast("binary")
-    home = F.when(given.isNull(), F.xxhash64(body)).otherwise(F.xxhash64(given))
-    texts = docs.select(F.pmod(home, F.lit(blocks)).cast("int").alias("block"), given.alias("id"),
-                        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    blocks = parts = blocks_of(docs, text, BLOCK_BYTES)
+    texts = dealt(docs, text, doc_id, blocks)
     grams = texts.groupBy("block").applyInArrow(_grams(text, length, gram, parts), _ddl(_GRAMS))
     repeated = grams.groupBy("part").applyInArrow(_repeated(heavy), _ddl(_REPEATED))
     runs = texts.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(_sorted_runs(text, length, gram, parts), _ddl(_RUNS))

@@ -121,6 +121,37 @@ def test_repeats_of_rows_that_share_or_lack_an_id(spark):
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_blocks_grow_with_the_texts_and_not_with_one_id(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 1000)
+    rng = random.Random(10)
+    base = "".join(rng.choice("abcdefgh") for _ in range(60))
+    made = ["".join(rng.choice("abcdefgh") for _ in range(30)) + base[rng.randrange(40):][:20] for _ in range(400)]
+    # Half share an id, and some of them the text; a few lack one.
+    rows = [(7 if i % 2 else 1000 + i, t) for i, t in enumerate(made)] + [(7, made[1])] * 60 + [(None, made[3])] * 60 + [(-(2 ** 63), made[3]), (7, None)]
+    docs = clashing(spark, rows).repartition(3)
+    blocks = suffix_dedup.blocks_of(docs, "text", 1000)
+    assert blocks == -(-sum(len(t or "") for _, t in rows) // 1000) > 8
+    held = [r["count"] for r in suffix_dedup.dealt(docs, "text", "doc_id", blocks).groupBy("block").count().collect()]
+    assert sum(held) == len(rows) and max(held) < len(rows) / 8
+    inner = sorted(rows, key=lambda r: (-(2 ** 63) - 1 if r[0] is None else r[0], (r[1] or "").encode()))
+    want = repeated([(place, t) for place, (_, t) in enumerate(inner)], 12)
+    got = suffix_dedup.remove_repeats(docs, length=12, gram=5).collect()
+    key = lambda i, t, spans: (str(i), t or "", tuple(spans))
+    assert sorted(key(r["row"]["doc_id"], r["row"]["text"], [(s["start"], s["end"]) for s in r["spans"]]) for r in got) == sorted(
+        key(i, t, want[place]) for place, (i, t) in enumerate(inner))
+
+
+def test_signature_buckets_grow_with_the_texts(spark, monkeypatch):
+    seen, rows = [], jaccard_join._rows
+    monkeypatch.setattr(jaccard_join, "BUCKET_BYTES", 500)
+    monkeypatch.setattr(jaccard_join, "_rows", lambda words, scheme, buckets, *more: (seen.append(buckets), rows(words, scheme, buckets, *more))[1])
+    docs = corpus(seed=6)
+    want = joined(shingle_links(docs, 3, 80)[1], [i for i, _ in docs])
+    got = jaccard_join.jaccard_groups(frame(spark, docs), 3, 80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+    assert seen == [-(-sum(len((t or "").encode()) for _, t in docs) // 500)] and seen[0] > 8
+
+
 def test_cuts_inside_characters_leave_valid_text(spark):
     passage = "é" * 80
     got = suffix_dedup.remove_repeats(frame(spark, [(1, "x" + passage), (2, "yy" + passage + "z")]), as_text=True).collect()
