@@ -14,7 +14,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from hubcat.llm.memo import Memo, whole_texts
+from hubcat.llm.memo import Memo, memo, whole_texts
 
 _MASK = (1 << 64) - 1
 
@@ -112,17 +112,16 @@ def load(path: str) -> ByteBpe:
         return ByteBpe({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
 
 
-@lru_cache(maxsize=2)
 def _word_ids(path: str) -> Memo:
     bpe = load(path)
-    return Memo(lambda word: np.asarray(bpe.encode(word.encode()), "<u4").tobytes())
+    return memo(f"pre-token ids {path}", lambda: lambda word: np.asarray(bpe.encode(word.encode()), "<u4").tobytes())
 
 
 def encode_texts(texts: list[str], path: str, pattern: str) -> Iterator[bytes]:
     """Ids of each text as little-endian unsigned 32-bit bytes."""
-    memo, split = _word_ids(path), _compiled(pattern).findall
+    ids_of, split = _word_ids(path), _compiled(pattern).findall
     for text in texts:
-        yield b"".join(map(memo.__getitem__, split(text)))
+        yield b"".join(map(ids_of.__getitem__, split(text)))
 
 
 @lru_cache(maxsize=4)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from hubcat.llm.components import components
-from hubcat.llm.memo import Memo
+from hubcat.llm.memo import memo
 from hubcat.operators.skew import join_unique
 from hubcat.session import stored
 
@@ -36,11 +35,6 @@ _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476
 
 # Rows of the matrix
 
-@lru_cache(maxsize=1)
-def _word_hash() -> Memo:
-    return Memo(lambda word: xxhash.xxh64_digest(word))
-
-
 def _scrambled(h: np.ndarray) -> np.ndarray:
     h = (h ^ h >> np.uint64(32)) * _ODD[1]
     h = (h ^ h >> np.uint64(29)) * _ODD[2]
@@ -56,7 +50,7 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     parts = (text or "").encode().lower().split()
     if not parts:
         return np.zeros(0, "u8")
-    h = np.frombuffer(b"".join(map(_word_hash().__getitem__, parts)), "<u8")
+    h = np.frombuffer(b"".join(map(memo("shingle words", lambda: xxhash.xxh64_digest).__getitem__, parts)), "<u8")
     width = min(words, len(h))
     mixed = np.full(len(h) - width + 1, width, "u8")
     for i in range(width):

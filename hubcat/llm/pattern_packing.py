@@ -5,7 +5,6 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -13,7 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from hubcat.llm.memo import Memo, tokenizer, whole_texts
+from hubcat.llm.memo import Memo, memo, tokenizer, whole_texts
 from hubcat.session import stored
 
 #: Tokens of a sequence.
@@ -30,11 +29,10 @@ END_ID = 0
 
 # Pieces of documents
 
-@lru_cache(maxsize=2)
 def _word_ids(path: str) -> Memo:
     """Ids of a word as little-endian unsigned 32-bit bytes. White space never takes part in a token here."""
     encode = tokenizer(path).encode
-    return Memo(lambda word: np.asarray(encode(word, add_special_tokens=False).ids, "<u4").tobytes())
+    return memo(f"packed words {path}", lambda: lambda word: np.asarray(encode(word, add_special_tokens=False).ids, "<u4").tobytes())
 
 
 def document_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, text: str = "text", doc_id: str = "doc_id",
@@ -51,11 +49,11 @@ def document_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, text:
         columns["ids"] = pa.list_(pa.int64())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, seen, task = _word_ids(path), Counter(), TaskContext.get().partitionId()
+        ids_of, seen, task = _word_ids(path), Counter(), TaskContext.get().partitionId()
         for batch in batches:
             rows, owner = [], []
             for document, text in enumerate(whole_texts(batch.column(1))):
-                tokens = b"".join(map(memo.__getitem__, text.replace("\n", " ").split(" "))) + end
+                tokens = b"".join(map(ids_of.__getitem__, text.replace("\n", " ").split(" "))) + end
                 for piece, at in enumerate(range(0, len(tokens), 4 * capacity)):
                     part = tokens[at:at + 4 * capacity]
                     n = len(part) // 4

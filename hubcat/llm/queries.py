@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hubcat.llm import byte_bpe, exact_dedup, histogram_sort, html_layout, jaccard_join, pattern_packing, space_curves, suffix_dedup, token_counts, toxicity
+from hubcat.llm import (
+    byte_bpe, exact_dedup, histogram_sort, html_layout, id_store, importance, jaccard_join, pattern_packing, space_curves, suffix_dedup, token_counts,
+    toxicity, whitening)
+from hubcat.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +67,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_store.document_ids(_table(spark, sf_dir, "documents"), scratch_path(spark, "ids"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_pattern_packing": op1_pattern_packing,
     "op2_token_counts": op2_token_counts,
@@ -75,6 +90,9 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_html_layout": op9_html_layout,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_chebyshev_whitening": op11_chebyshev_whitening,
+    "op12_id_store": op12_id_store,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE = {

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from hubcat.llm.memo import Memo, tokenizer, whole_texts
+from hubcat.llm.memo import Memo, memo, tokenizer, whole_texts
 from hubcat.session import stored
 
 #: Characters of a chunk, and of the overlap with the next one.
@@ -22,19 +21,18 @@ WIDER = 8
 UNSURE = 32
 
 # A blank between two other characters always starts a pre-token, and nothing before it matters to what follows.
-_UNEVEN = re.compile(r" (?!\S)|(?<!\S) ")
+UNEVEN = re.compile(r" (?!\S)|(?<!\S) ")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 
 
-@lru_cache(maxsize=2)
 def _unit_counts(path: str) -> Memo:
     encode = tokenizer(path).encode
-    return Memo(lambda unit: len(encode(unit, add_special_tokens=False)))
+    return memo(f"unit counts {path}", lambda: lambda unit: len(encode(unit, add_special_tokens=False)))
 
 
-def _units(text: str) -> list[str]:
+def units(text: str) -> list[str]:
     """Parts of a text whose tokens together are the text's."""
-    if _UNEVEN.search(text):
+    if UNEVEN.search(text):
         return _SAFE.split(text)
     first, *rest = text.split(" ")
     return [first, *[" " + part for part in rest]]
@@ -42,9 +40,9 @@ def _units(text: str) -> list[str]:
 
 def _counted(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _unit_counts(path)
+        counted = _unit_counts(path)
         for batch in batches:
-            counts = [sum(map(memo.__getitem__, _units(text))) for text in whole_texts(batch.column(2))]
+            counts = [sum(map(counted.__getitem__, units(text))) for text in whole_texts(batch.column(2))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
     return run
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -12,7 +11,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hubcat.llm.memo import Memo
+from hubcat.llm.memo import memo
 from hubcat.session import stored
 
 #: Coordinates of the model, a power of two.
@@ -57,13 +56,10 @@ def _sigmoid(x: float) -> float:
 
 # Features
 
-@lru_cache(maxsize=1)
-def _word_hashes() -> Memo:
+def _word_hashes(part: str) -> bytes:
     """For each word of a blank-delimited part 8 bytes of its hash, then 8 of each stem's."""
-    def make(part: str) -> bytes:
-        return b"".join(xxhash.xxh64_digest(w) + b"".join(xxhash.xxh64_digest(w[:n], seed=n) for n in STEMS)
-                        for w in _WORD.findall(part.lower()))
-    return Memo(make)
+    return b"".join(xxhash.xxh64_digest(w) + b"".join(xxhash.xxh64_digest(w[:n], seed=n) for n in STEMS)
+                    for w in _WORD.findall(part.lower()))
 
 
 def _mixed(*hashes: np.ndarray, kind: int) -> np.ndarray:
@@ -83,9 +79,9 @@ def _features(hashes: bytes) -> np.ndarray:
 
 
 def features_of(texts: list[str]) -> Iterator[np.ndarray]:
-    memo = _word_hashes()
+    hashes = memo("toxicity words", lambda: _word_hashes)
     for text in texts:
-        yield _features(b"".join(map(memo.__getitem__, text.replace("\n", " ").split(" "))))
+        yield _features(b"".join(map(hashes.__getitem__, text.replace("\n", " ").split(" "))))
 
 
 # Fitting
