@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hubcat import spec
 from hubcat.functions.text import is_present, is_fresh, quoted, strip
 from hubcat.operators.skew import join_unique
+from hubcat.operators.title_search import nearest_titles, search_title
 
 COUNT, EXT_ID, FETCHED = "citation_count", "semantic_scholar_id", "citation_fetch_date"
 CACHE_COLUMNS = ("paper_id", COUNT, EXT_ID, FETCHED)
@@ -70,10 +71,11 @@ def split_by_freshness(papers: DataFrame, previous: DataFrame, as_of,
 
 
 def resolve(marked: DataFrame, reference: DataFrame, as_of,
-            title: str = "paper_title") -> DataFrame:
+            title: str = "paper_title", near: int | None = None) -> DataFrame:
     """Look ``resolve`` rows up in ``reference(ext_id, title, citation_count)``.
 
-    First by known external id, then by title; a hit is stamped with ``as_of``.
+    First by known external id, then by title; a hit is stamped with ``as_of``. With ``near``, titles that
+    equal none take the first hit of a title search that scores so many percent at least.
     """
     found = F.struct(F.col("ext_id").cast("string").alias("id"),
                      F.col(COUNT).cast("double").alias("count"))
@@ -97,7 +99,14 @@ def resolve(marked: DataFrame, reference: DataFrame, as_of,
                                              F.lower(strip(quoted(title))))),
         by_title, "__title",
     )
-    hit = F.coalesce(F.col("by_id"), F.col("by_title"))
+    hits = ["by_id", "by_title"]
+    if near is not None:
+        open_ = todo & F.col("by_id").isNull() & F.col("by_title").isNull()
+        both = both.withColumn("__near", F.when(open_ & is_present(quoted(title)), search_title(quoted(title))))
+        best = nearest_titles(both.select(F.col("__near").alias("title")), reference, near)
+        both = join_unique(both, best.select(F.col("search_title").alias("__near"), F.col("found").alias("by_near")), "__near")
+        hits.append("by_near")
+    hit = F.coalesce(*hits)
     kept = [c for c in marked.columns if c not in (COUNT, EXT_ID, FETCHED, "known_id")]
     return both.select(
         *(quoted(c) for c in kept),

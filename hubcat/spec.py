@@ -95,6 +95,7 @@ LABEL_SCORE_SHARE = 0.9
 MAX_LABELS = 5
 
 FRESH_DAYS = 7
+TITLE_SCORE = 60
 MIN_BATCH_ROWS = 200
 MAX_BATCH_ROWS = 1000
 MAX_BATCHES = 200
