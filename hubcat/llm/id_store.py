@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 from typing import NamedTuple
 
@@ -17,13 +18,13 @@ from hubcat.llm.memo import Memo, memo, tokenizer, whole_texts
 from hubcat.llm.token_counts import UNEVEN, units
 from hubcat.session import stored
 
-# The file: each document's ids and the end id, all little-endian unsigned 32-bit; then the directory, the hash, a trailer
-# of fixed length, and once more the end id, which ends every record of the file.
+# The file: each document's ids and the end id, all little-endian unsigned, of 16 bits where the vocabulary allows it, else of
+# 32; then the directory, the hash, a trailer of fixed length, and once more the end id, which ends every record of the file.
 #: The id that ends a document.
 END_ID = 2
 #: Bytes of text that a file takes, about.
 FILE_BYTES = 16_000_000
-_TRAILER = struct.Struct("<8s6Q")
+_TRAILER = struct.Struct("<8s7Q")
 _MAGIC = b"ids+mph1"
 #: Slots per key of a level of the hash.
 _ROOM = 1.5
@@ -112,10 +113,14 @@ class IdFile:
     """A file's bytes, opened by its trailer; the payload is looked into, not copied."""
 
     def __init__(self, content: bytes):
-        end = len(content) - 4 - _TRAILER.size
-        magic, payload, documents, keys, levels, bits, key_bytes = _TRAILER.unpack_from(content, end) if end >= 0 else (b"",) * 7
-        if magic != _MAGIC:
+        for self.width in (2, 4):
+            end = len(content) - self.width - _TRAILER.size
+            found = _TRAILER.unpack_from(content, end) if end >= 0 else (b"", 0)
+            if found[:2] == (_MAGIC, self.width):
+                break
+        else:
             raise ValueError("not a token-id file")
+        payload, documents, keys, levels, bits, key_bytes = found[2:]
         self._content, at = memoryview(content), payload
 
         def taken(dtype: str, n: int) -> np.ndarray:
@@ -135,9 +140,10 @@ class IdFile:
     def __len__(self) -> int:
         return len(self.starts) - 1
 
-    def ids(self, document: int) -> memoryview:
-        """Raw ids of the file's n-th document, its end id included."""
-        return self._content[4 * int(self.starts[document]):4 * int(self.starts[document + 1])]
+    def ids(self, document: int) -> np.ndarray:
+        """Ids of the file's n-th document, its end id included, as unsigned longs of 32 bits."""
+        first, last = self.starts[document:document + 2].tolist()
+        return np.frombuffer(self._content[self.width * first:self.width * last], f"<u{self.width}").astype("<u4")
 
     def places(self, keys: list) -> list[Place | None]:
         """Where the keys lie: one look-up each, None for a key that the fingerprints do not know."""
@@ -146,8 +152,8 @@ class IdFile:
         return [None if slot < 0 else Place(int(self._document[slot]), int(self._copies[slot])) for slot in self.index.find(_hashes(keys)).tolist()]
 
 
-def _footer(keys: pa.Array, counts: list[int]) -> bytes:
-    """Directory, hash and trailer of a file whose documents, in order, have these keys and numbers of ids."""
+def _footer(keys: pa.Array, counts: list[int], width: int) -> bytes:
+    """Directory, hash and trailer of a file whose documents, in order, have these keys and numbers of ids of so many bytes."""
     starts = np.r_[0, np.cumsum(np.asarray(counts, "i8"))].astype("<u8")
     hashes = _hashes(keys.to_pylist())
     # Equal keys follow each other.
@@ -162,32 +168,69 @@ def _footer(keys: pa.Array, counts: list[int]) -> bytes:
         stream.write_batch(pa.RecordBatch.from_arrays([keys], names=["key"]))
     names = sink.getvalue().to_pybytes()
     parts = [starts, document, repeated, index.sizes, index.prints, index.bits]
-    trailer = _TRAILER.pack(_MAGIC, 4 * int(starts[-1]), len(counts), len(first), len(index.sizes), len(index.bits), len(names))
+    trailer = _TRAILER.pack(_MAGIC, width, width * int(starts[-1]), len(counts), len(first), len(index.sizes), len(index.bits), len(names))
     return b"".join([*(p.tobytes() for p in parts), names, trailer])
 
 
 # Encoding
 
-def _unit_ids(path: str) -> Memo:
-    """Ids of a part that follows a blank, that blank included, as little-endian unsigned 32-bit bytes."""
-    encode = tokenizer(path).encode
-    return memo(f"unit ids {path}", lambda: lambda part: np.asarray(encode(" " + part, add_special_tokens=False).ids, "<u4").tobytes())
+def id_width(path: str) -> int:
+    """Bytes of an id in the files: 2 where all ids of the vocabulary fit, else 4."""
+    return 2 if max(tokenizer(path).get_vocab().values(), default=0) < 1 << 16 else 4
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write a byte, by its Latin-1 character: printable ones as they are, the others from 256 on in order."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
+
+
+def _part_encoder(path: str) -> Callable[[str], bytes]:
+    """Ids of a part that follows a blank, that blank included, as raw bytes.
+
+    Where the file's tokenizer is byte-level BPE by its usual pattern and nothing else, a blank and letters are one
+    pre-token, which the library's model takes as it is; one sign of punctuation after them is another.
+    """
+    whole, width = tokenizer(path), id_width(path)
+    settings = json.loads(whole.to_str())
+    before, model = settings["pre_tokenizer"] or {}, settings["model"]
+    plain = (before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and settings["normalizer"] is None
+             and model["type"] == "BPE" and not any(model.get(c) for c in ("dropout", "continuing_subword_prefix", "end_of_word_suffix")))
+    letters, dtype = _byte_letters(), f"<u{width}"
+
+    def encoded(text: str) -> bytes:
+        return np.asarray(whole.encode(text, add_special_tokens=False).ids, dtype).tobytes()
+
+    signs = {sign: encoded(sign) for sign in ".,;:!?"}
+
+    def make(part: str) -> bytes:
+        if plain and part.isalpha():
+            return np.asarray([t.id for t in whole.model.tokenize((" " + part).encode().decode("latin-1").translate(letters))], dtype).tobytes()
+        if plain and part[-1:] in signs and part[:-1].isalpha():
+            return _part_ids(path)[part[:-1]] + signs[part[-1]]
+        return encoded(" " + part)
+    return make
+
+
+def _part_ids(path: str) -> Memo:
+    return memo(f"part ids {path}", lambda: _part_encoder(path))
 
 
 def encode_texts(texts: list[str], path: str) -> Iterator[bytes]:
-    """Ids of whole texts as the library gives them, as little-endian unsigned 32-bit bytes.
+    """Ids of whole texts as the library gives them, as raw little-endian bytes of ``id_width``.
 
     A text whose blanks all stand between two other characters is encoded by the parts between them, each
     once for the memo; one with other blanks by parts that end before such a blank.
     """
-    known, encode = _unit_ids(path), tokenizer(path).encode
+    known, encode, dtype = _part_ids(path), tokenizer(path).encode, f"<u{id_width(path)}"
     for text in texts:
         if UNEVEN.search(text):
             first, *rest = units(text)
             rest = [part[1:] for part in rest]
         else:
             first, *rest = text.split(" ")
-        head = np.asarray(encode(first, add_special_tokens=False).ids, "<u4").tobytes() if first else b""
+        head = np.asarray(encode(first, add_special_tokens=False).ids, dtype).tobytes() if first else b""
         yield head + b"".join(map(known.__getitem__, rest))
 
 
@@ -203,6 +246,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, text: str = "text
     is what writes: it puts bytes as they are and the end id after each record.
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    width = id_width(tokenizer_path)
+    separator = end_id.to_bytes(width, "little")
+    if not separator.isascii():
+        raise ValueError(f"the end id {end_id} has a byte beyond ASCII, which no record separator can hold")
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     files = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // file_bytes))
     keyed = rows.withColumn("hash", F.xxhash64("text")).withColumn("source", F.spark_partition_id())
@@ -216,13 +263,13 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, text: str = "text
             # A few records at a time: the ids of a batch may be far larger than its texts.
             for at in range(0, batch.num_rows, 256):
                 made = list(encode_texts(batch.column(1).slice(at, 256).to_pylist(), tokenizer_path))
-                counts += [len(m) // 4 + 1 for m in made]
+                counts += [len(m) // width + 1 for m in made]
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["value"])
         if keys:
-            yield pa.RecordBatch.from_arrays([pa.array([_footer(pa.concat_arrays(keys), counts)], pa.binary())], names=["value"])
+            yield pa.RecordBatch.from_arrays([pa.array([_footer(pa.concat_arrays(keys), counts, width)], pa.binary())], names=["value"])
 
     dealt.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value")).write.option(
-        "lineSep", struct.pack("<I", end_id).decode()).option("compression", "none").option("maxRecordsPerFile", 0).text(path)
+        "lineSep", separator.decode()).option("compression", "none").option("maxRecordsPerFile", 0).text(path)
 
 
 def _contents(spark: SparkSession, path: str) -> DataFrame:
@@ -268,7 +315,7 @@ def fetch_ids(spark: SparkSession, path: str, keys: list, key_type: str = "long"
                 for key, place in zip(keys, file.places(keys)):
                     if place and file.keys[place.document].as_py() == key:
                         found += [key] * place.copies
-                        ids += [np.frombuffer(file.ids(place.document + i), "<u4").astype("i8") for i in range(place.copies)]
+                        ids += [file.ids(place.document + i).astype("i8") for i in range(place.copies)]
                 yield pa.RecordBatch.from_arrays([pa.array(found, file.keys.type), pa.array(ids, pa.list_(pa.int64()))], names=["doc_id", "ids"])
     return _contents(spark, path).mapInArrow(run, f"doc_id {key_type}, ids array<long>")
 
