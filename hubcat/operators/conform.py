@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from hubcat.functions.text import number_or_zero, quoted, text_or_empty
+from hubcat.functions.times import instant, utc_instant
 from hubcat.spec import COLUMN_TYPES, CatalogSpec
 
 
 def typed(name: str, df: DataFrame) -> Column:
-    """A column in its declared type: null when absent, and where text can't be read as that type."""
+    """A column in its declared type: null when absent, and where text can't be read as that type. Times without a zone are UTC."""
     declared = COLUMN_TYPES.get(name, "string")
     if name not in df.columns:
         return F.lit(None).cast(declared)
@@ -19,13 +20,15 @@ def typed(name: str, df: DataFrame) -> Column:
         return quoted(name)
     if "<" in declared:
         return F.from_json(quoted(name), declared) if isinstance(given, T.StringType) else F.lit(None).cast(declared)
-    return quoted(name) if given.simpleString() == declared else quoted(name).try_cast(declared)
+    if given.simpleString() == declared:
+        return quoted(name)
+    return utc_instant(quoted(name), given) if declared == "timestamp" else quoted(name).try_cast(declared)
 
 
 def conform(raw: DataFrame, spec: CatalogSpec, downloaded_at) -> DataFrame:
     """One projection: coerce the columns that exist, default those that do not.
 
-    Types are those of the specification, whether a dump brings a column or not.
+    Types are those of the specification, whether a dump brings a column or not. ``downloaded_at`` without a zone is UTC.
     """
     if spec.key not in raw.columns:
         raise ValueError(f"{spec.name}: key column '{spec.key}' is missing")
@@ -46,10 +49,9 @@ def conform(raw: DataFrame, spec: CatalogSpec, downloaded_at) -> DataFrame:
             return F.array().cast("array<string>")
         return typed(name, raw)
 
-    stamp = downloaded_at if isinstance(downloaded_at, Column) else F.lit(downloaded_at)
     return raw.select(
         *(column(c).alias(c) for c in spec.conformed),
-        stamp.cast("timestamp").alias("data_download_timestamp"),
+        instant(downloaded_at).alias("data_download_timestamp"),
     )
 
 

@@ -10,6 +10,7 @@ from hubcat import spec
 from hubcat.functions.sizes import size_bucket, size_of
 from hubcat.functions.tags import joined_tags
 from hubcat.functions.text import organization_name, organization_of_id
+from hubcat.functions.times import utc_text
 from hubcat.operators import reports
 from hubcat.operators.conform import column_status, conform, require_key_values
 from hubcat.operators.flags import inspect_row, with_flags, with_normal_tags
@@ -60,7 +61,7 @@ def p1_conform(spark, sf):
     return out.select(
         "id", "downloads", "downloadsAllTime", "likes", "pipeline_tag",
         F.size("tags").alias("n_tags"), F.col("safetensors").isNull().alias("no_size"),
-        F.date_format("data_download_timestamp", "yyyy-MM-dd HH:mm:ss").alias("downloaded"))
+        utc_text(F.col("data_download_timestamp")).alias("downloaded"))
 
 
 def p2_conform_datasets(spark, sf):
@@ -151,7 +152,7 @@ def f8_text_flags(spark, sf):
 def m1_models_table(spark, sf):
     return _rounded(models(spark, sf), "params").select(
         *(F.array_join("tags", "|").alias("tags") if c == "tags" else
-          F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c in ("data_download_timestamp", "createdAt") else c
+          utc_text(F.col(c)).alias(c) if c in ("data_download_timestamp", "createdAt") else c
           for c in spec.MODELS.final), F.typeof("createdAt").alias("created_type"))
 
 
@@ -184,7 +185,7 @@ def m2_datasets_table(spark, sf):
     out = datasets_table(raw_models(spark, sf), STAMP, keyword_map=PART_FLAGS)
     return out.select(
         *(F.array_join("tags", "|").alias("tags") if c == "tags" else
-          F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c == "data_download_timestamp" else c
+          utc_text(F.col(c)).alias(c) if c == "data_download_timestamp" else c
           for c in spec.DATASETS.final))
 
 

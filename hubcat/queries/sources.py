@@ -11,7 +11,9 @@ from hubcat.queries.mapping import table
 from hubcat.queries.models import STAMP, DAY, models, text_tags
 from hubcat.queries.weekly import END, START, _revisions
 from hubcat.plans.weekly import weekly_snapshots
+from hubcat.functions.times import utc_text
 from hubcat.session import scratch_path
+from hubcat.sources.publish import publish, read_published
 from hubcat.sources.scans import previous_citations, read_batches
 from hubcat.sources.sinks import read_csv, verify, write_csv, write_parquet
 from hubcat.sources.snapshots import read_snapshot, weekly_paths, write_snapshot, write_weekly
@@ -20,7 +22,7 @@ from hubcat.sources.snapshots import read_snapshot, weekly_paths, write_snapshot
 def s5_snapshot_meta(spark, sf):
     path = scratch_path(spark, "snapshot")
     meta = write_snapshot(table(spark, sf, "documents").select("doc_id", "lang", "source"), path, STAMP)
-    return meta.select(F.date_format("data_download_timestamp", "yyyy-MM-dd HH:mm:ss").alias("downloaded"),
+    return meta.select(utc_text(F.col("data_download_timestamp")).alias("downloaded"),
                        "total_rows")
 
 
@@ -28,7 +30,7 @@ def s6_snapshot_read(spark, sf):
     path = scratch_path(spark, "snapshot")
     write_snapshot(table(spark, sf, "documents").select("doc_id", "lang", "source"), path, STAMP)
     df, stamp = read_snapshot(spark, path)
-    return df.select("*", F.date_format(stamp, "yyyy-MM-dd HH:mm:ss").alias("downloaded"))
+    return df.select("*", utc_text(stamp).alias("downloaded"))
 
 
 def s7_previous_cache(spark, sf):
@@ -105,21 +107,49 @@ def s14_weekly_layout(spark, sf):
     """Weekly selection stored by item and week, its last weeks replaced by a backfill."""
     path = scratch_path(spark, "weekly")
     weeks = weekly_snapshots(_revisions(spark, sf), None, backfill_start=START, backfill_end=END)
-    write_weekly(weeks.withColumn("run", F.lit("first")), path)
-    write_weekly(weeks.where("week >= date '2024-01-20'").withColumn("run", F.lit("backfill")), path, backfill=True)
+    for _ in range(2):  # the same weeks again: they are replaced
+        write_weekly(weeks.withColumn("run", F.lit("first")), path)
+    write_weekly(weeks.where("week >= date '2024-01-20'").withColumn("run", F.lit("backfill")), path)
     stored = spark.read.parquet(path).groupBy("item", F.col("week").cast("string").alias("week"), "run").agg(
         F.count(F.lit(1)).alias("rows"))
     paths = weekly_paths(spark, path).groupBy("item").agg(F.count(F.lit(1)).alias("weeks"))
     return stored.join(paths, "item")
 
 
+def s14_published_weeks(spark, sf):
+    """Weeks published, published again, one run stopped before its switch, and the last weeks replaced: what readers see."""
+    path = scratch_path(spark, "weekly")
+    weeks = weekly_snapshots(_revisions(spark, sf), None, backfill_start=START, backfill_end=END)
+    late = weeks.where("week >= date '2024-01-20'")
+
+    def stopped(rows, count):
+        raise InterruptedError
+
+    for name, part, check in (("first", weeks, None), ("second", weeks, None), ("stopped", weeks, stopped), ("third", late, None)):
+        try:
+            publish(part.withColumn("by", F.lit(name)), path, ("item", "week"), check)
+        except InterruptedError:
+            pass
+    return read_published(spark, path).select("item", F.col("week").cast("string").alias("week"), "revision", "by")
+
+
+def s10_published_models(spark, sf):
+    """The models table published twice; readers see one of them, and the earlier one by its number."""
+    path, made = scratch_path(spark, "models"), models(spark, sf)
+    publish(made.where(F.col("likes") > 10), path)
+    publish(made, path)
+    return read_published(spark, path).select("id", "organization", F.lit("now").alias("state")).union(
+        read_published(spark, path, 1).select("id", "organization", F.lit("before").alias("state")))
+
+
 QUERIES = {f.__name__: f for f in (
     s5_snapshot_meta, s6_snapshot_read, s7_previous_cache, s8_batch_files, a11_batch_totals, s9_taxonomy_file,
-    s10_parquet, s11_csv, s13_verify, s14_weekly_layout)}
+    s10_parquet, s10_published_models, s11_csv, s13_verify, s14_weekly_layout, s14_published_weeks)}
 
 
 def _oracle():
     from hubcat.queries.models import _MODELS, _TEXT_TAGS
+    from hubcat.queries.weekly import ORACLE as weekly
     return {
         "s5_snapshot_meta": f"select '{DAY}' as downloaded, count(*) as total_rows from documents",
         "s6_snapshot_read": f"select doc_id, lang, source, '{DAY}' as downloaded from documents",
@@ -147,6 +177,10 @@ def _oracle():
             from n""",
         "s10_parquet": f"""with {_MODELS} select id, organization, size_category,
             len(tags)::integer as n_tags from models""",
+        "s10_published_models": f"""with {_MODELS} select id, organization, 'now' as state from models
+            union all select id, organization, 'before' from models where likes > 10""",
+        "s14_published_weeks": f"""select item, week, revision,
+            case when week >= '2024-01-20' then 'third' else 'second' end as by from ({weekly['t3_backfill']})""",
         "s11_csv": f"""with {_TEXT_TAGS} select doc_id, t.lang, len(tags)::integer as n_tags,
             md5(text) as text_md5, md5(case doc_id % 4 when 0 then ' ' || t.lang || chr(9)
               when 1 then t.lang || '"' || chr(13) || chr(10) || 'x,' when 2 then '' end) as odd_md5

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hubcat.functions.times import instant
+
 
 def write_snapshot(df: DataFrame, path: str, downloaded_at) -> DataFrame:
-    """Write the rows to ``path/data`` and one metadata row to ``path/meta``."""
+    """Write the rows to ``path/data`` and one metadata row to ``path/meta``; a time without a zone is UTC."""
     df.write.mode("overwrite").parquet(f"{path}/data")
-    stamp = downloaded_at if isinstance(downloaded_at, Column) else F.lit(downloaded_at)
     spark = df.sparkSession
     spark.read.parquet(f"{path}/data").agg(F.count(F.lit(1)).alias("total_rows")).select(
-        stamp.cast("timestamp").alias("data_download_timestamp"), "total_rows"
+        instant(downloaded_at).alias("data_download_timestamp"), "total_rows"
     ).write.mode("overwrite").parquet(f"{path}/meta")
     return spark.read.parquet(f"{path}/meta")
 
@@ -25,24 +26,21 @@ def read_snapshot(spark: SparkSession, path: str,
         raise ValueError(f"snapshot {path} is empty")
     stamp = F.current_timestamp()
     try:
-        row = spark.read.parquet(f"{path}/meta").select("data_download_timestamp").first()
+        row = spark.read.parquet(f"{path}/meta").select(F.unix_micros("data_download_timestamp")).first()
         if row is not None and row[0] is not None:
-            stamp = F.lit(row[0])
+            stamp = F.timestamp_micros(F.lit(row[0]).cast("long"))
     except AnalysisException:
         pass
     return (df if limit is None else df.limit(limit)), stamp
 
 
-def write_weekly(df: DataFrame, path: str, backfill: bool = False) -> None:
+def write_weekly(df: DataFrame, path: str) -> None:
     """Store rows with ``item`` and ``week`` as ``item=.../week=...`` folders.
 
-    A backfill replaces the weeks it holds and leaves all other folders alone.
+    The weeks that the rows hold are replaced, all other folders stay: a run that is repeated or
+    tried again leaves no repeats. ``publish`` in ``sources/publish.py`` replaces all of them in one switch.
     """
-    writer = df.write.partitionBy("item", "week")
-    if backfill:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
-        writer.mode("append").parquet(path)
+    df.write.partitionBy("item", "week").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def weekly_paths(spark: SparkSession, path: str) -> DataFrame:

@@ -188,7 +188,7 @@ def test_weekly_layout(spark, tmp_path):
     rows = spark.createDataFrame([("models", "2025-01-01", 1), ("models", "2025-01-08", 2)],
                                  "item string, week string, v int")
     write_weekly(rows, path)
-    write_weekly(rows.where("v = 2").withColumn("v", F.lit(9)), path, backfill=True)
+    write_weekly(rows.where("v = 2").withColumn("v", F.lit(9)), path)
     got = {(str(r["week"]), r["v"]) for r in spark.read.parquet(path).collect()}
     assert got == {("2025-01-01", 1), ("2025-01-08", 9)}
     assert weekly_paths(spark, path).count() == 2

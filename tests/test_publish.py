@@ -1,0 +1,135 @@
+import datetime as dt
+import os
+import subprocess
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+from hubcat.functions.times import instant, utc_instant, utc_text
+from hubcat.sources import publish as pub
+from hubcat.sources.publish import drop_replaced, manifest, publish, read_published
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def weeks(spark, *rows):
+    return spark.createDataFrame(list(rows), "item string, week date, v int")
+
+
+def found(spark, path, number=None):
+    return sorted((r["item"], str(r["week"]), r["v"]) for r in read_published(spark, path, number).collect())
+
+
+def day(n):
+    return dt.date(2025, 1, n)
+
+
+def test_weeks_are_replaced_and_kept(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = weeks(spark, ("007", day(1), 1), ("007", day(8), 2), ("a/b:c {x}", day(1), 3), (None, day(1), 4))
+    for _ in range(2):
+        publish(first, path, ("item", "week"))
+    assert [r[0] for r in sorted(map(str, read_published(spark, path).select("item").distinct().collect()))]
+    assert read_published(spark, path).count() == 4 and manifest(spark, path)["rows"] == 4
+    assert publish(weeks(spark, ("007", day(8), 9)), path, ("item", "week")) == 3
+    now = {(r["item"], str(r["week"]), r["v"]) for r in read_published(spark, path).collect()}
+    assert now == {("007", "2025-01-01", 1), ("007", "2025-01-08", 9), ("a/b:c {x}", "2025-01-01", 3), (None, "2025-01-01", 4)}
+    assert read_published(spark, path).dtypes == first.dtypes
+    assert {r["v"] for r in read_published(spark, path, 2).collect()} == {1, 2, 3, 4}
+    assert drop_replaced(spark, path) == 5 and read_published(spark, path).count() == 4
+    with pytest.raises(ValueError):
+        manifest(spark, path, 1)
+
+
+@pytest.mark.parametrize("partitions", [(), ("item", "week")])
+def test_a_run_that_stops_before_the_switch_leaves_the_old_table(spark, tmp_path, monkeypatch, partitions):
+    path = str(tmp_path / "t")
+    publish(weeks(spark, ("a", day(1), 1)), path, partitions)
+
+    def refuse(rows, count):
+        assert rows.count() == count == 1
+        raise InterruptedError
+
+    with pytest.raises(InterruptedError):
+        publish(weeks(spark, ("a", day(1), 2)), path, partitions, check=refuse)
+    assert found(spark, path) == [("a", "2025-01-01", 1)]
+    monkeypatch.setattr(pub, "_switch", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        publish(weeks(spark, ("a", day(1), 3)), path, partitions)
+    monkeypatch.undo()
+    assert found(spark, path) == [("a", "2025-01-01", 1)]
+    publish(weeks(spark, ("a", day(1), 4)), path, partitions)
+    assert found(spark, path) == [("a", "2025-01-01", 4)]
+
+
+def test_two_runs_at_once(spark, tmp_path, monkeypatch):
+    path, real, other = str(tmp_path / "t"), pub._switch, []
+
+    def slower(spark, path, made):
+        if not other:
+            other.append(True)
+            publish(weeks(spark, ("b", day(1), 7)), path, ("item", "week"))
+        return real(spark, path, made)
+
+    monkeypatch.setattr(pub, "_switch", slower)
+    assert publish(weeks(spark, ("a", day(1), 1)), path, ("item", "week")) == 2
+    assert found(spark, path) == [("a", "2025-01-01", 1), ("b", "2025-01-01", 7)]
+    monkeypatch.setattr(pub, "_switch", lambda *_: False)
+    with pytest.raises(pub.Conflict):
+        publish(weeks(spark, ("a", day(1), 1)), path, ("item", "week"))
+
+
+def test_empty_tables_and_new_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(ValueError):
+        read_published(spark, path)
+    publish(weeks(spark), path)
+    assert read_published(spark, path).count() == 0 and manifest(spark, path)["rows"] == 0
+    path = str(tmp_path / "w")
+    publish(weeks(spark, ("a", day(1), 1)), path, ("item", "week"))
+    publish(weeks(spark), path, ("item", "week"))
+    publish(weeks(spark, ("b", day(1), 2)).withColumn("run", F.lit("x")), path, ("item", "week"))
+    assert sorted((r["v"], r["run"]) for r in read_published(spark, path).collect()) == [(1, None), (2, "x")]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/Los_Angeles"])
+def test_times_are_utc_in_any_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        naive = dt.datetime(2025, 3, 9, 2, 30, 0, 500)  # no such hour in Los Angeles
+        aware = dt.datetime(2025, 3, 9, 4, 30, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+        text = lambda c: spark.range(1).select(utc_text(c)).first()[0]
+        assert text(instant(naive)) == "2025-03-09 02:30:00.0005"
+        assert text(instant(aware)) == text(instant("2025-03-09T02:30:00Z")) == text(instant("2025-03-09 02:30:00")) == "2025-03-09 02:30:00"
+        assert text(instant(dt.date(1969, 7, 20))) == "1969-07-20 00:00:00" and text(instant(None)) is None
+        df = spark.createDataFrame([("2025-03-09 02:30:00",), ("2025-03-09T04:30:00+02:00",), ("2025-03-09T02:30:00.000Z",), ("2025-03-09",), ("junk",), (None,)], "t string")
+        got = [r[0] for r in df.select(utc_text(utc_instant(F.col("t"), df.schema["t"].dataType))).collect()]
+        assert got == ["2025-03-09 02:30:00"] * 3 + ["2025-03-09 00:00:00", None, None]
+        ntz = df.select(F.col("t").try_cast("timestamp_ntz").alias("n"), F.col("t").try_cast("date").alias("d")).limit(1)
+        assert [tuple(r) for r in ntz.select(utc_text(utc_instant(F.col("n"), ntz.schema["n"].dataType)), utc_text(utc_instant(F.col("d"), ntz.schema["d"].dataType))).collect()] == [
+            ("2025-03-09 02:30:00", "2025-03-09 00:00:00")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+_SCRIPT = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+from hubcat.queries import queries
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config(
+    "spark.sql.session.timeZone", sys.argv[2]).config("spark.checkpoint.dir", sys.argv[3]).getOrCreate()
+known = queries()
+for name, column in (("s5_snapshot_meta", "downloaded"), ("s6_snapshot_read", "downloaded"), ("p1_conform", "downloaded"), ("m1_models_table", "data_download_timestamp")):
+    print("FOUND", name, *{r[0] for r in known[name](spark, "/root/testdata/sf0.001").select(column).collect()})
+"""
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables are not here")
+@pytest.mark.parametrize("system, session", [("Asia/Tokyo", "America/Los_Angeles"), ("America/Los_Angeles", "Asia/Tokyo")])
+def test_queries_tell_one_time_in_any_system_zone(tmp_path, system, session):
+    said = subprocess.run([sys.executable, "-c", _SCRIPT, ROOT, session, str(tmp_path)], cwd=tmp_path, env={**os.environ, "TZ": system}, capture_output=True, text=True, timeout=300)
+    lines = [line for line in said.stdout.splitlines() if line.startswith("FOUND")]
+    assert len(lines) == 4 and all(line.endswith(" 2025-01-08 12:00:00") for line in lines), said.stdout + said.stderr[-2000:]
