@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import string
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -15,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hubcat.llm.memo import Memo, memo, tokenizer, whole_texts
-from hubcat.llm.token_counts import UNEVEN, units
+from hubcat.llm.token_counts import units
 from hubcat.session import stored
 
 # The file: each document's ids and the end id, all little-endian unsigned, of 16 bits where the vocabulary allows it, else of
@@ -186,30 +187,57 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
 
 
+class _Uneven(Exception):
+    """A text whose white space is not single blanks and line feeds between other characters."""
+
+
+def _whole_encoder(path: str) -> Callable[[str], bytes]:
+    """Ids of any text by the library, as raw bytes."""
+    encode, code = tokenizer(path).encode, "H" if id_width(path) == 2 else "I"
+
+    def encoded(text: str) -> bytes:
+        ids = encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}{code}", *ids)
+    return encoded
+
+
 def _part_encoder(path: str) -> Callable[[str], bytes]:
-    """Ids of a part that follows a blank, that blank included, as raw bytes.
+    """Ids of a part that follows a blank, that blank included; of one that begins with a line feed, as it stands.
 
     Where the file's tokenizer is byte-level BPE by its usual pattern and nothing else, a blank and letters are one
-    pre-token, which the library's model takes as it is; one sign of punctuation after them is another.
+    pre-token, which the library's model takes as it is; a line feed before other characters is one too, and so are the signs
+    of punctuation that end a part. Only letters up to U+024F are told apart here; all else goes to the library whole.
     """
-    whole, width = tokenizer(path), id_width(path)
+    whole, encoded = tokenizer(path), _whole_encoder(path)
     settings = json.loads(whole.to_str())
     before, model = settings["pre_tokenizer"] or {}, settings["model"]
     plain = (before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and settings["normalizer"] is None
              and model["type"] == "BPE" and not any(model.get(c) for c in ("dropout", "continuing_subword_prefix", "end_of_word_suffix")))
-    letters, dtype = _byte_letters(), f"<u{width}"
+    letters, code, tokens = _byte_letters(), "H" if id_width(path) == 2 else "I", whole.model.tokenize
+    signs: dict[str, bytes] = {}
 
-    def encoded(text: str) -> bytes:
-        return np.asarray(whole.encode(text, add_special_tokens=False).ids, dtype).tobytes()
+    feed, blank, pack = encoded("\n"), letters[32], [struct.Struct(f"<{n}{code}").pack for n in range(64)]
 
-    signs = {sign: encoded(sign) for sign in ".,;:!?"}
+    def word(before: str, text: str) -> bytes:
+        ids = [t.id for t in tokens(before + (text if text.isascii() else text.encode().decode("latin-1").translate(letters)))]
+        return pack[len(ids)](*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}{code}", *ids)
 
     def make(part: str) -> bytes:
-        if plain and part.isalpha():
-            return np.asarray([t.id for t in whole.model.tokenize((" " + part).encode().decode("latin-1").translate(letters))], dtype).tobytes()
-        if plain and part[-1:] in signs and part[:-1].isalpha():
-            return _part_ids(path)[part[:-1]] + signs[part[-1]]
-        return encoded(" " + part)
+        line = part[:1] == "\n"
+        body = part[1:] if line else part
+        if not plain or body.split() != [body]:
+            raise _Uneven
+        base = body.rstrip(string.punctuation)
+        if not base.isalpha() or not base.isascii() and max(base) > "\u024f":
+            return feed + encoded(body) if line else encoded(" " + part)
+        end = body[len(base):]
+        if end and end not in signs:
+            if len(signs) > 4096:
+                signs.clear()
+            signs[end] = encoded(end)
+        if line:
+            return feed + word("", base) + signs.get(end, b"")
+        return _part_ids(path)[base] + signs[end] if end else word(blank, base)
     return make
 
 
@@ -220,18 +248,18 @@ def _part_ids(path: str) -> Memo:
 def encode_texts(texts: list[str], path: str) -> Iterator[bytes]:
     """Ids of whole texts as the library gives them, as raw little-endian bytes of ``id_width``.
 
-    A text whose blanks all stand between two other characters is encoded by the parts between them, each
-    once for the memo; one with other blanks by parts that end before such a blank.
+    A text whose white space is single blanks and line feeds between other characters is encoded by the parts between them, each
+    once for the memo; another by parts that end before a blank of that kind.
     """
-    known, encode, dtype = _part_ids(path), tokenizer(path).encode, f"<u{id_width(path)}"
+    known, encoded = _part_ids(path), _whole_encoder(path)
     for text in texts:
-        if UNEVEN.search(text):
-            first, *rest = units(text)
-            rest = [part[1:] for part in rest]
-        else:
-            first, *rest = text.split(" ")
-        head = np.asarray(encode(first, add_special_tokens=False).ids, dtype).tobytes() if first else b""
-        yield head + b"".join(map(known.__getitem__, rest))
+        first, *rest = text.replace("\n", " \n").split(" ")
+        try:
+            if first.split() != [first] and text:
+                raise _Uneven
+            yield encoded(first) + b"".join(map(known.__getitem__, rest))
+        except _Uneven:
+            yield b"".join(map(encoded, units(text)))
 
 
 # Writing and reading

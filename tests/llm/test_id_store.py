@@ -38,7 +38,7 @@ def rows_of(df):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("ab1 \t\n.,'sé日\x1c\x85 <|endoftext>")), max_size=5))
 def test_ids_of_whole_texts(texts):
-    texts = [*texts, "a<|endoftext|> b <|endoftext|>", "it's  a \n b ", "Éa été, là. straße! ªx µ, ǅ. x,y", "x" * 200 + " 日" * 40]
+    texts = [*texts, "a<|endoftext|> b <|endoftext|>", "it's  a \n b ", "a.\nB c$$$ d.%%%\ne' f's g_ (h) i<|endoftext|>. <|endoftext|>.\nj\n", "a\n\nb", "\na", "a\tb c", "a\u2003b c", "x\u0301 \u0531\u0561 \u1e9e!", "Éa été, là. straße! ªx µ, ǅ. x,y", "x" * 200 + " 日" * 40]
     encode = Tokenizer.from_file(PATH).encode
     assert [np.frombuffer(b, "<u2").tolist() for b in id_store.encode_texts(texts, PATH)] == [encode(t, add_special_tokens=False).ids for t in texts]
 
