@@ -27,9 +27,10 @@ BUCKET_BYTES = 32_000_000
 FILTER_BITS = 1 << 25
 #: Bytes of a signature that travel; its bucket stands for the others. Equal ones are candidates only.
 _KEPT = 6
-#: Counters of documents by shingle hash.
-SLOTS = 1 << 20
-_SLOT_SHIFT = np.uint64(44)
+#: Counters of documents by shingle hash: about one for so many bytes of text, as a power of two between these bits.
+SLOT_BYTES, SLOT_BITS = 96, (20, 24)
+#: Parts that the counters are added up in, and how many tasks' parts one step adds.
+_SLICES, _ADDED = 64, 32
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
 
 
@@ -107,36 +108,63 @@ class Scheme:
         return block[first], np.add.reduceat(_scrambled(held ^ _ODD[0]), first)
 
 
-# Which columns are frequent: only a hint, kept in counters of a fixed size
+# Which columns are frequent: only a hint, kept in counters whose number follows the corpus
 
-def _counted(words: int):
+def _slots(held: np.ndarray, bits: int) -> np.ndarray:
+    return (held >> np.uint64(64 - bits)).astype("i8")
+
+
+def _slot_bits(text_bytes: int) -> int:
+    return min(max(SLOT_BITS[0], (text_bytes // SLOT_BYTES).bit_length()), SLOT_BITS[1])
+
+
+def _counted(words: int, bits: int):
     """A task's documents by slot of the shingle hash, in slices."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, "u4")
+        counts = np.zeros(1 << bits, "u4")
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                np.add.at(counts, (shingles(text, words) >> _SLOT_SHIFT).astype("i8"), 1)
-        parts = counts.reshape(16, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(16), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["slice", "counts"])
+                np.add.at(counts, _slots(shingles(text, words), bits), 1)
+        task = TaskContext.get().partitionId()
+        for at, part in enumerate(np.minimum(counts, 65_535).astype("<u2").reshape(_SLICES, -1)):
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([task], pa.int32()), pa.array([part.astype("<u4").tobytes()], pa.binary())],
+                                             names=["slice", "part", "counts"])
     return run
 
 
-def _frequent_slots(docs: DataFrame, words: int) -> np.ndarray:
-    """Which slots hold far more documents than a slot does at random; all documents count."""
+def _frequent_slots(docs: DataFrame, words: int, bits: int) -> np.ndarray:
+    """A bit for every slot that holds far more documents than a slot does at random; all documents count.
+
+    A step adds a bounded number of tasks' counters, so there are as many steps as the tasks ask for.
+    The driver gets a bit per slot. A slice is a random part of the columns, so its own median tells the usual number.
+    """
     def add(parts: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(c, "u4") for c in parts["counts"]], axis=0, dtype="u8")
-        return pd.DataFrame({"slice": parts["slice"][:1], "counts": [total.tobytes()]})
+        total = np.sum([np.frombuffer(c, "<u4") for c in parts["counts"]], axis=0, dtype="u4")
+        return pd.DataFrame({"slice": parts["slice"][:1], "part": parts["part"][:1] // _ADDED, "counts": [total.astype("<u4").tobytes()]})
 
-    counted = docs.select("text").mapInArrow(_counted(words), "slice int, counts binary")
-    rows = sorted(counted.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect())
-    if not rows:
-        return np.zeros(SLOTS, bool)
-    counts = np.frombuffer(b"".join(r["counts"] for r in rows), "u8")
-    usual = float(np.median(counts))
-    return counts > usual + 5 * usual ** 0.5 + 8
+    def judge(parts: pd.DataFrame) -> pd.DataFrame:
+        counts = np.sum([np.frombuffer(c, "<u4") for c in parts["counts"]], axis=0, dtype="u8")
+        usual = float(np.median(counts))
+        return pd.DataFrame({"slice": parts["slice"][:1], "bits": [np.packbits(counts > usual + 5 * usual ** 0.5 + 8).tobytes()]})
 
+    schema = "slice int, part int, counts binary"
+    counted = docs.select("text").mapInArrow(_counted(words, bits), schema)
+    parts = docs.rdd.getNumPartitions()
+    while parts > _ADDED:
+        counted = counted.groupBy("slice", F.floor(F.col("part") / _ADDED).alias("step")).applyInPandas(lambda key, rows: add(rows), schema)
+        parts = -(-parts // _ADDED)
+    found = sorted(counted.groupBy("slice").applyInPandas(judge, "slice int, bits binary").collect())
+    if not found:
+        return np.zeros(1 << bits >> 3, "u1")
+    return np.frombuffer(b"".join(r["bits"] for r in found), "u1")
 
-def _rows(words: int, scheme: Scheme, buckets: int, id_type: pa.DataType, frequent):
+
+def _marked(packed: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Which of the slots have their bit set."""
+    return (packed[slots >> 3] << (slots & 7).astype("u1") & 128).astype(bool)
+
+
+def _rows(words: int, scheme: Scheme, buckets: int, id_type: pa.DataType, frequent, bits: int):
     """Kind 0: a document and its set's size and fingerprint. Kind 1: a task's signatures in a bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, count, known = TaskContext.get().partitionId(), 0, {}
@@ -151,7 +179,7 @@ def _rows(words: int, scheme: Scheme, buckets: int, id_type: pa.DataType, freque
                 prints.append(own)
                 if len(found) and own not in known:
                     known[own] = count
-                    signatures.append(scheme.signatures(found, frequent.value[(found >> _SLOT_SHIFT).astype("i8")]))
+                    signatures.append(scheme.signatures(found, _marked(frequent.value, _slots(found, bits))))
                     owners.append(np.full(len(signatures[-1]), count, "u4"))
                     held += len(owners[-1])
                 count += 1
@@ -309,9 +337,14 @@ def _possible(docs: DataFrame, work: DataFrame) -> DataFrame:
     return docs.where(F.lit(False) if held is None else held)
 
 
-def blocks_of(docs: DataFrame, text: str, block_bytes: int) -> int:
+def bytes_of(docs: DataFrame, text: str) -> int:
+    """UTF-8 bytes of all texts."""
+    return docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("binary")).cast("long"))).first()[0] or 0
+
+
+def blocks_of(docs: DataFrame, text: str, block_bytes: int, total: int | None = None) -> int:
     """Blocks that hold about ``block_bytes`` of the texts each, or fewer: two for each shuffle partition at least."""
-    total = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("binary")).cast("long"))).first()[0] or 0
+    total = bytes_of(docs, text) if total is None else total
     return max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // block_bytes))
 
 
@@ -340,10 +373,11 @@ def jaccard_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int =
     spark, scheme = docs.sparkSession, Scheme(part, whole)
     docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    buckets = blocks_of(docs, "text", BUCKET_BYTES)
+    total = bytes_of(docs, "text")
+    buckets, bits = blocks_of(docs, "text", BUCKET_BYTES, total), _slot_bits(total)
     id_field = docs.schema["doc_id"].dataType
     rows = stored(docs.mapInArrow(
-        _rows(words, scheme, buckets, to_arrow_type(id_field), spark.sparkContext.broadcast(_frequent_slots(docs, words))),
+        _rows(words, scheme, buckets, to_arrow_type(id_field), spark.sparkContext.broadcast(_frequent_slots(docs, words, bits)), bits),
         f"kind int, uid long, doc_id {id_field.simpleString()}, text_hash long, size long, print binary, bucket int, signatures binary, owners binary"), "matrix")
     matrix = rows.where("kind = 0").select("uid", "doc_id", "text_hash", "size", "print")
     first = matrix.groupBy("print").agg(F.min("uid").alias("row"), F.count(F.lit(1)).alias("copies"))
