@@ -29,33 +29,28 @@ class Cut(NamedTuple):
 
 
 START = Cut(b"", 0, 0)
+#: A sort key's two longs, and the row's own number, by which rows with equal ones can part.
+KEY_BYTES = 24
 
 
 def sort_key(first: Column, second: Column) -> Column:
     """16 bytes that sort as the two longs do, null as the smallest long; ``second`` breaks the ties of ``first``."""
-    low = F.lit(-(2 ** 63))
+    return F.concat(_eight_bytes(first), _eight_bytes(second))
 
-    def eight_bytes(c: Column) -> Column:
-        return F.unhex(F.lpad(F.hex(F.coalesce(c.cast("long"), low).bitwiseXOR(low)), 16, "0"))
 
-    return F.concat(eight_bytes(first), eight_bytes(second))
+def _eight_bytes(c: Column) -> Column:
+    low = F.lit(-(2 ** 63))
+    return F.unhex(F.lpad(F.hex(F.coalesce(c.cast("long"), low).bitwiseXOR(low)), 16, "0"))
 
 
-def _pairs(keys: list[bytes] | pd.Series) -> np.ndarray:
-    """Keys as two unsigned longs each."""
-    return np.frombuffer(b"".join(keys), dtype=">u8").reshape(-1, 2).astype("u8")
+def _keys(keys: list[bytes] | pd.Series) -> np.ndarray:
+    """Keys of one length, which compare byte by byte."""
+    return np.frombuffer(b"".join(keys), f"S{KEY_BYTES}")
 
 
 def _bucket(keys: np.ndarray, probes: np.ndarray) -> np.ndarray:
     """Number of probes at or below each key."""
-    found = np.searchsorted(probes[:, 0], keys[:, 0], side="left")
-    upto = np.searchsorted(probes[:, 0], keys[:, 0], side="right")
-    tied = np.flatnonzero(upto > found)
-    for high in np.unique(keys[tied, 0]):
-        rows = tied[keys[tied, 0] == high]
-        left, right = found[rows[0]], upto[rows[0]]
-        found[rows] = left + np.searchsorted(probes[left:right, 1], keys[rows, 1], side="right")
-    return found
+    return np.searchsorted(probes, keys, side="right")
 
 
 def _histogram(probes: list[bytes], wanted: set[int]) -> Callable:
@@ -65,18 +60,19 @@ def _histogram(probes: list[bytes], wanted: set[int]) -> Callable:
     whatever the shape of the keys. The bucket's own lower probe is no candidate.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        marks, parts = _pairs(probes), []
+        marks, parts = _keys(probes), []
         for batch in batches:
             if batch.empty:
                 continue
-            keys = _pairs(batch["key"])
+            keys = _keys(batch["key"])
             bucket = _bucket(keys, marks)
             sums = pd.DataFrame({"bucket": bucket, "weight": batch["weight"].to_numpy(), "rows": 1}).groupby("bucket", as_index=False).sum()
             parts.append(sums.assign(slot=-1, mixed=-1, key=b""))
             inner = np.isin(bucket, list(wanted))
             if len(marks):
-                inner &= ~((bucket > 0) & (marks[bucket - 1] == keys).all(axis=1))
-            mixed = (keys[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ keys[:, 1]) * np.uint64(0xD6E8FEB86659FD93)
+                inner &= ~((bucket > 0) & (marks[bucket - 1] == keys))
+            part = keys.view(">u8").reshape(-1, 3).astype("u8")
+            mixed = ((part[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ part[:, 1]) * np.uint64(0xBF58476D1CE4E5B9) ^ part[:, 2]) * np.uint64(0xD6E8FEB86659FD93)
             mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(1)
             rows = np.flatnonzero(inner)
             drawn = pd.DataFrame({"bucket": bucket[rows], "slot": (mixed[rows] % np.uint64(PROBES)).astype("i8"),
@@ -115,7 +111,7 @@ def _measure(keys: DataFrame, probes: list[bytes], wanted: set[int] = frozenset(
     for i in range(len(probes) + 1):
         if i in inside:
             rows, weight = rows + inside[i]["rows"], weight + inside[i]["weight"]
-        cuts.append(Cut(probes[i] if i < len(probes) else b"\xff" * 17, rows, weight))
+        cuts.append(Cut(probes[i] if i < len(probes) else b"\xff" * (KEY_BYTES + 1), rows, weight))
     return cuts[:-1], found, cuts[-1]
 
 
@@ -143,19 +139,17 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE) -> tup
         cuts, _, _ = _measure(keys, sorted(held | new))
 
 
-def _ranges(keys: DataFrame, cuts: list[Cut], end: Cut, range_rows: int) -> list[Cut]:
-    """Starts of the sort ranges: the shards' cuts, and keys between them where a range is too long."""
-    starts, whole = sorted({START, *(c for c in cuts if c.rows < end.rows)}), set()
+def _ranges(keys: DataFrame, cuts: list[Cut], end: Cut, most: int) -> list[Cut]:
+    """Starts of the sort ranges: the shards' cuts, and keys between them where a range is longer than ``most`` rows."""
+    starts = sorted({START, *(c for c in cuts if c.rows < end.rows)})
     while True:
         stops = [*starts[1:], end]
-        long = {i for i, (a, b) in enumerate(zip(starts, stops)) if b.rows - a.rows > range_rows and a not in whole}
+        long = {i for i, (a, b) in enumerate(zip(starts, stops)) if b.rows - a.rows > most}
         if not long:
             return starts
-        marks = [c.key for c in starts[1:]]
-        _, found, _ = _measure(keys, marks, long)
-        whole |= {starts[i] for i in long if i not in found}
-        new = set().union(set(), *found.values()) - {c.key for c in starts}
-        counted, _, _ = _measure(keys, sorted({*marks, *new}))
+        _, found, _ = _measure(keys, [c.key for c in starts[1:]], long)
+        marks = {c.key for c in starts[1:]}.union(*found.values())
+        counted, _, _ = _measure(keys, sorted(marks))
         starts = sorted({START, *(c for c in counted if c.rows < end.rows)})
 
 
@@ -164,15 +158,22 @@ def histogram_shards(rows: DataFrame, key: Column, weight: Column, shards: int,
     """All columns of ``rows``, then ``shard`` (from 0) and ``slot`` (gapless from 0 in each shard).
 
     ``key`` is a ``sort_key``, ``weight`` a long of 0 or more. Shards are runs of the key order with
-    near equal weights: a cut misses its aim by the tolerance, or by half the weight of the key it
-    falls on. Rows with equal keys stay together and take their slots in no fixed order. Fewer keys
-    than shards leave shards empty, an empty table gives no row. Columns of ``rows`` may
-    have any names but ``shard`` and ``slot``. Keys and weights alone are read again and again,
-    from a table written once; the rows move once, in ranges of bounded length.
+    near equal weights: a cut misses its aim by the tolerance, or by half the weight of the row it
+    falls on. The rows are written once, which gives each a number of its own: rows with equal keys follow each other by it,
+    so that a cut may part them, however many they are. Fewer rows
+    than shards leave shards empty, an empty table gives no row. Columns of ``rows`` that are called ``shard`` or
+    ``slot`` give way to the new ones. Keys and weights alone are read again and again; the rows move once, in
+    ranges of bounded length: of ``range_rows``, or, of large tables, of a quarter of a partition's even share, so that what
+    the driver sees in a round grows with the shards and partitions, not with the rows.
     """
-    keys = stored(rows.select(key.alias("key"), weight.cast("long").alias("weight")), "histogram")
+    kept = [c for c in rows.columns if c not in ("shard", "slot")]
+    written = stored(rows.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), key.alias("key"), weight.cast("long").alias("weight"),
+                                 F.monotonically_increasing_id().alias("number")), "rows")
+    whole = F.concat("key", _eight_bytes(F.col("number")))
+    keys = written.select(whole.alias("key"), "weight")
     cuts, end = splitters(keys, shards, tolerance)
-    starts = _ranges(keys, cuts, end, range_rows)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    starts = _ranges(keys, cuts, end, max(range_rows, end.rows // (4 * parts)))
     marks = [c.key for c in starts[1:]]
     first = [START, *cuts]
     owner = [sum(c <= start for c in cuts) for start in starts]
@@ -180,11 +181,10 @@ def histogram_shards(rows: DataFrame, key: Column, weight: Column, shards: int,
 
     @F.pandas_udf("struct<range:int,shard:int,ahead:long>")
     def place(key: pd.Series) -> pd.DataFrame:
-        found = _bucket(_pairs(key), _pairs(marks))
+        found = _bucket(_keys(key), _keys(marks))
         return pd.DataFrame({"range": found, "shard": np.take(owner, found), "ahead": np.take(ahead, found)})
 
-    row = F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("row")
-    placed = rows.select(row, key.alias("key")).select("row", "key", place("key").alias("at"))
+    placed = written.select("row", whole.alias("key")).select("row", "key", place("key").alias("at"))
     inside = Window.partitionBy("at.range").orderBy("key")
     return placed.select("row.*", F.col("at.shard").alias("shard"),
                          (F.col("at.ahead") + F.row_number().over(inside) - 1).alias("slot"))

@@ -1,6 +1,7 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -36,8 +37,29 @@ def test_shards_are_runs_of_keys_with_near_equal_bytes(spark, range_rows):
 def test_shards_of_few_equal_or_no_rows(spark):
     assert sharded(frame(spark, []), 4) == []
     assert [r["slot"] for r in sharded(frame(spark, [(1, "x")]), 4)] == [0]
-    same = sharded(frame(spark, [(1, "x")] * 30 + [(2, "y")]), 3)
-    assert len({r["shard"] for r in same if r["doc_id"] == 1}) == 1 and sorted(r["slot"] for r in same if r["doc_id"] == 1) == list(range(30))
+
+
+def test_rows_that_repeat_a_key_are_cut(spark):
+    rows = [(1, "the same text")] * 300 + [(i, f"another text {i}") for i in range(2, 602)]
+    random.Random(3).shuffle(rows)
+    for limits in ({}, {"range_rows": 20}):
+        found = sharded(frame(spark, rows), 9, **limits)
+        slots, size = {}, Counter()
+        for r in found:
+            slots.setdefault(r["shard"], []).append(r["slot"])
+            size[r["shard"]] += r["size"]
+        assert len(found) == 900 and set(slots) == set(range(9))
+        assert all(sorted(held) == list(range(len(held))) for held in slots.values())
+        assert max(size.values()) - min(size.values()) <= 2 * max(r["size"] for r in found) + 0.002 * max(size.values())
+        shard_of = [r["shard"] for r in sorted(found, key=lambda r: (r["shard"], r["slot"])) if r["doc_id"] == 1]
+        assert len(set(shard_of)) >= 2
+
+
+def test_columns_called_shard_and_slot_give_way(spark):
+    rows = spark.createDataFrame([(i, "x" * i, -5, "old", b"k", 3) for i in range(20)], "doc_id long, text string, shard int, slot string, key binary, weight int")
+    found = sharded(rows, 4)
+    assert sorted(found[0].asDict()) == ["doc_id", "key", "shard", "size", "slot", "text", "weight"]
+    assert {r["shard"] for r in found} == {0, 1, 2, 3} and all(r["weight"] == 3 and r["key"] == b"k" for r in found)
 
 
 # Toxicity
