@@ -30,8 +30,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder, set on the context when it is not yet.
 
     The cluster names it in ``spark.checkpoint.dir``. A session that names none gets a
-    folder below its warehouse, which all executors reach too; a machine-local temporary
-    folder is never used.
+    folder below its warehouse. On a cluster that must not be a folder of one machine, so a
+    warehouse in the local file system is refused there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -40,6 +40,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+        place = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        scheme = place.getFileSystem(sc._jsc.hadoopConfiguration()).getUri().getScheme()
+        if scheme == "file" and sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach: the warehouse is a local one")
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
@@ -58,9 +62,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: lineage ends there."""
+    return stored_at(df, name)[0]
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The same, and the path, for ``drop_stored`` once nothing reads it any more."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Delete a written table ahead of the session's end."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def ship_package(spark: SparkSession) -> None:
