@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from hubcat.operators.skew import join_unique
-from hubcat.session import stored
+from hubcat.session import drop_stored, stored_at
 
 
 def _to_smallest(edges: DataFrame, larger: bool) -> DataFrame:
@@ -25,13 +25,15 @@ def _to_smallest(edges: DataFrame, larger: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, label for every node of the edges ``a``, ``b`` (longs): the smallest node that it reaches.
 
-    Each round is written to the shared folder. Rounds grow with the logarithm of a component's
+    Each round is written to the shared folder, the one before goes. Rounds grow with the logarithm of a component's
     size, not with its diameter. Loops and repeated edges do no harm; no edges give no rows.
     """
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    now, path = stored_at(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
     while True:
-        now = stored(_to_smallest(_to_smallest(now, True), False), "edges")
+        before = path
+        now, path = stored_at(_to_smallest(_to_smallest(now, True), False), "edges")
+        drop_stored(edges.sparkSession, before)
         facts = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")).first()
         if tuple(facts) == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("label")).union(now.select(F.col("b"), F.col("b")).distinct())
