@@ -8,6 +8,7 @@ from hubcat import spec
 from hubcat.functions.text import is_present, is_fresh, quoted, strip
 from hubcat.operators.skew import join_unique
 from hubcat.operators.title_search import nearest_titles, search_title
+from hubcat.sources.history import join_history
 
 COUNT, EXT_ID, FETCHED = "citation_count", "semantic_scholar_id", "citation_fetch_date"
 CACHE_COLUMNS = ("paper_id", COUNT, EXT_ID, FETCHED)
@@ -51,13 +52,14 @@ def previous_cache(previous: DataFrame) -> DataFrame:
 
 
 def split_by_freshness(papers: DataFrame, previous: DataFrame, as_of,
-                       title: str = "paper_title") -> DataFrame:
+                       title: str = "paper_title", stored: bool = False) -> DataFrame:
     """Mark each paper ``cached``, ``skipped`` (no title) or ``resolve``.
 
     Cached rows carry the previous triple; the others are null, with the known external
-    id kept for the lookup.
+    id kept for the lookup. With ``stored``, ``previous`` comes from ``read_history`` and does not move.
     """
-    joined = join_unique(papers, previous_cache(previous), "paper_id")
+    known = previous_cache(previous)
+    joined = join_history(papers, "paper_id", known) if stored else join_unique(papers, known, "paper_id")
     fresh = is_fresh(F.col("cached_date"), as_of)
     source = F.when(fresh, "cached").when(~is_present(quoted(title)), "skipped").otherwise("resolve")
     return joined.select(
@@ -142,15 +144,22 @@ def _citation_state(citations: DataFrame, previous: DataFrame | None) -> DataFra
 
 
 def merge_citations(papers: DataFrame, citations: DataFrame, previous: DataFrame | None = None,
-                    distinct: bool = False) -> DataFrame:
+                    distinct: bool = False, stored: bool = False) -> DataFrame:
     """Papers with the new citation triple, or the previous one where the new count is null.
 
     Every new row is joined: a paper whose id repeats in ``citations`` comes out once for
     each. With ``distinct`` new and previous results are first reduced to one row per id, so each
-    paper row comes out once and the wide table is joined once.
+    paper row comes out once and the wide table is joined once. With ``stored`` the same holds, ``previous`` comes
+    from ``read_history``, and papers and new results move to where its rows lie.
     """
     base = papers.drop(COUNT, EXT_ID, FETCHED)
-    if not distinct:
+    if stored:
+        counted = F.col(COUNT).isNotNull()
+        old = _triples(previous).groupBy("paper_id").agg(_latest(counted).alias("__old"))
+        new = _triples(citations).where(F.col("paper_id").isNotNull()).groupBy("paper_id").agg(
+            _latest(counted).alias("__hit"), _latest(F.lit(True)).alias("__miss"))
+        joined = join_history(base, "paper_id", old, new).withColumn("__new", F.coalesce("__hit", "__miss"))
+    elif not distinct:
         new = _triples(citations).where(F.col("paper_id").isNotNull()).select(
             "paper_id",
             F.struct(F.col(FETCHED), F.col(COUNT), F.col(EXT_ID)).alias("__new"),

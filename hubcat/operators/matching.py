@@ -44,21 +44,85 @@ def tokens(terms: DataFrame, lowercase: bool = False) -> DataFrame:
 def term_vectors(terms: DataFrame, word_vectors: DataFrame, lowercase: bool = False) -> DataFrame:
     """Mean word vector of each distinct term; terms without a known word drop out.
 
-    ``word_vectors(token, vector)`` has one row per token, all of one length, which a first job
-    reads. Unknown words only rescale the mean, which leaves every cosine as it is. Words
-    carry a 128-bit key of their term, not its text, and are counted and summed with partial
-    steps: work and shuffle grow with the number of words. The text is joined back at the end.
+    ``word_vectors(token, vector)`` has one row per token, all of one length. Unknown words only rescale the
+    mean, which leaves every cosine as it is. Words carry a 128-bit key of their term, not its text, and are counted
+    with a partial step. Weighted vectors are then added up as Arrow matrices, whatever their width: each
+    batch first for itself, then by key behind one exchange, in which the term's text meets its sums.
     """
-    width = word_vectors.agg(F.max(F.size("vector"))).first()[0] or 0
-    named = terms.where(F.col("term").isNotNull()).select(F.unhex(F.md5("term")).alias(_KEY), "term").groupBy(_KEY).agg(
-        F.any_value("term").alias("term"))
+    named = terms.where(F.col("term").isNotNull()).select(F.unhex(F.md5("term")).alias(_KEY), "term").distinct()
     text = F.lower("term") if lowercase else F.col("term")
     words = named.select(_KEY, F.explode_outer(F.split(text, _BREAK)).alias("token")).where(F.col("token") != "")
     counted = words.groupBy(_KEY, "token").agg(F.count(F.lit(1)).alias("n"))
-    found = join_unique(counted, word_vectors.select("token", F.col("vector").cast("array<double>").alias("v")), "token", "inner")
-    sums = found.groupBy(_KEY).agg(F.sum("n").alias("n"), *(F.sum(F.col("n") * F.col("v")[i]).alias(f"s{i}") for i in range(width)))
-    means = sums.select(_KEY, F.array(*(F.col(f"s{i}") / F.col("n") for i in range(width))).cast("array<double>").alias("vector"))
-    return named.join(means, _KEY).select("term", "vector")
+    vectors = word_vectors.select("token", F.col("vector").cast("array<double>").alias("v")).where(F.col("v").isNotNull())
+    found = join_unique(counted, vectors, "token", "inner").select(_KEY, F.col("n").cast("double").alias("n"), "v")
+    partial = found.mapInArrow(_partial_sums, f"{_KEY} binary, n double, v array<double>")
+    rows = named.select(_KEY, "term", F.lit(None).cast("double").alias("n"), F.lit(None).cast("array<double>").alias("v")).unionByName(
+        partial.withColumn("term", F.lit(None).cast("string")))
+    return rows.repartition(_KEY).sortWithinPartitions(_KEY, F.col("term").isNull()).mapInArrow(_means, "term string, vector array<double>")
+
+
+def _groups(keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit keys as two numbers each, and where a key differs from the one before it."""
+    pair = np.frombuffer(b"".join(keys.to_pylist()), "<u8").reshape(-1, 2)
+    return pair, np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]).any(axis=1)])
+
+
+def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A batch's weights and weighted vectors, added up by key."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        weight = batch.column(1).to_numpy()
+        matrix = _rows_to_matrix(batch.column(2), len(batch.column(2)[0])) * weight[:, None]
+        pair = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8").reshape(-1, 2)
+        order = np.lexsort((pair[:, 1], pair[:, 0]))
+        first = np.flatnonzero(np.r_[True, (pair[order[1:]] != pair[order[:-1]]).any(axis=1)])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(order[first])), pa.array(np.add.reduceat(weight[order], first)),
+             _matrix_to_rows(np.add.reduceat(matrix[order], first, axis=0))], names=[_KEY, "n", "v"])
+
+
+def _means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, vector) from rows sorted by key, a term's text ahead of its sums; a group may go on in the next batch."""
+    key, term, n, total = None, None, 0.0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        pair, first = _groups(batch.column(0))
+        texts = batch.column(1).take(pa.array(first)).to_pylist()
+        held = np.flatnonzero(batch.column(2).is_valid().to_numpy(zero_copy_only=False))
+        weights, sums = np.zeros(len(first)), None
+        if len(held):
+            group = np.searchsorted(first, held, side="right") - 1
+            start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+            rows = batch.column(3).take(pa.array(held))
+            added = np.add.reduceat(_rows_to_matrix(rows, len(rows[0])), start, axis=0)
+            sums = np.zeros((len(first), added.shape[1]))
+            sums[group[start]] = added
+            weights[group[start]] = np.add.reduceat(batch.column(2).take(pa.array(held)).to_numpy(), start)
+        if key is not None and key == pair[0].tobytes():
+            texts[0] = term
+            weights[0] += n
+            if total is not None:
+                sums = np.zeros((len(first), len(total))) if sums is None else sums
+                sums[0] += total
+        elif n:
+            yield _named_means([term], np.asarray([n]), total[None, :])
+        done = np.flatnonzero(weights[:-1] > 0)
+        if len(done):
+            yield _named_means([texts[i] for i in done], weights[done], sums[done])
+        key, term, n, total = pair[-1].tobytes(), texts[-1], weights[-1], None if sums is None else sums[-1]
+    if n:
+        yield _named_means([term], np.asarray([n]), total[None, :])
+
+
+def _named_means(terms: list[str], n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), _matrix_to_rows(sums / n[:, None])], names=["term", "vector"])
+
+
+def _matrix_to_rows(matrix: np.ndarray) -> pa.Array:
+    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
 
 
 def node_vectors(nodes: DataFrame, word_vectors: DataFrame, lowercase: bool = False) -> DataFrame:

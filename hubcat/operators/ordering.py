@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hubcat.session import stored
 
+#: Probes on both sides of a rank, as shares of the rows, and the accuracy of the sketch that they are drawn from.
+PROBE_STEPS, SKETCH_ACCURACY = (0.0, 0.0005, 0.002, 0.01, 0.05, 0.2), 10_000
+#: So few rows left are counted by value.
+LAST_ROWS = 10_000
+
 _ID, _PART, _SOURCE = "__id", "__part", "__source"
 
 
@@ -62,36 +67,49 @@ def dense_index(df: DataFrame, order: list[Column], name: str = "position") -> D
     )
 
 
-def exact_median(df: DataFrame, column: str) -> float | None:
-    """Exact median of a numeric column; null when it has no value.
+def _value_at(rows: DataFrame, rank: int, total: int) -> float:
+    """The value of a column ``v`` at a 0-based rank.
 
-    Equal values collapse to one row with a count first. Only the range partition that
-    holds the middle is then ordered, not the whole column.
+    A round draws probes from a sketch of the values that are still possible, counts the exact rows below and up to
+    each, and keeps what lies between the two probes around the rank: about a thousandth of them. The driver sees one row of
+    counts a round, and the last few distinct values.
     """
-    values = (
-        df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
-        .groupBy(F.col(column).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranged = range_sorted(values, [F.col("v").asc()]).withColumn(_PART, _partition_of(F.col(_ID)))
-    sizes = sorted((r[_PART], r["n"]) for r in
-                   ranged.groupBy(_PART).agg(F.sum("n").alias("n")).collect())
-    total = sum(n for _, n in sizes)
-    if total == 0:
+    above, below, before, left = None, None, 0, total
+    while True:
+        inside = rows
+        if above is not None:
+            inside = inside.where(F.col("v") > above)
+        if below is not None:
+            inside = inside.where(F.col("v") < below)
+        if left <= LAST_ROWS:
+            for r in sorted(inside.groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()):
+                before += r["n"]
+                if before > rank:
+                    return r["v"]
+        aim = (rank - before + 0.5) / left
+        shares = sorted({min(1.0, max(0.0, aim + side * step)) for step in PROBE_STEPS for side in (-1, 1)})
+        probes = sorted(set(inside.agg(F.percentile_approx("v", shares, SKETCH_ACCURACY)).first()[0]))
+        counts = inside.agg(*(F.count_if(test).alias(f"{name}{i}") for i, p in enumerate(probes)
+                              for name, test in (("under", F.col("v") < p), ("upto", F.col("v") <= p)))).first()
+        ends = [(above, before)] + [(p, before + counts[f"upto{i}"]) for i, p in enumerate(probes)]
+        starts = [(p, before + counts[f"under{i}"]) for i, p in enumerate(probes)] + [(below, before + left)]
+        for i, p in enumerate(probes):
+            if starts[i][1] <= rank < ends[i + 1][1]:
+                return p
+        at = next(i for i, (_, n) in enumerate(starts) if rank < n)
+        (above, before), (below, upto) = ends[at], starts[at]
+        left = upto - before
+
+
+def exact_median(df: DataFrame, column: str) -> float | None:
+    """Exact median of a numeric column; null when it has no value. Nothing is sorted or moved: values are counted."""
+    value = F.col(column).cast("double")
+    rows = df.where(F.col(column).isNotNull() & ~F.isnan(value)).select(value.alias("v"))
+    total = rows.count()
+    if not total:
         return None
-    before = [0, *accumulate(n for _, n in sizes)]
-    low, high = (total - 1) // 2, total // 2
-    # The one or two range partitions that hold the middle, and the rows before each.
-    held = {sizes[next(i for i in range(len(sizes)) if before[i + 1] > rank)][0]
-            for rank in (low, high)}
-    start = F.coalesce(*(F.when(F.col(_PART) == part, F.lit(n))
-                         for (part, _), n in zip(sizes, before) if part in held))
-    inside = Window.partitionBy(_PART).orderBy("v")
-    row = (
-        ranged.where(F.col(_PART).isin(*held))
-        .select("v", (start + F.sum("n").over(inside)).alias("upto"))
-        .agg(F.min(F.when(F.col("upto") > low, F.col("v"))).alias("low"),
-             F.min(F.when(F.col("upto") > high, F.col("v"))).alias("high"))
-        .first()
-    )
-    return row["low"] if low == high else (row["low"] + row["high"]) / 2
+    low = _value_at(rows, (total - 1) // 2, total)
+    if total % 2:
+        return low
+    upto = rows.agg(F.count_if(F.col("v") <= low).alias("n"), F.min(F.when(F.col("v") > low, F.col("v"))).alias("next")).first()
+    return low if upto["n"] > total // 2 else (low + upto["next"]) / 2

@@ -45,12 +45,18 @@ def letter_vectors(terms: DataFrame) -> DataFrame:
         "token", letters(F.col("token")).alias("vector"))
 
 
-def _word_vectors(papers: DataFrame, tree: DataFrame) -> DataFrame:
-    """The word-vector table, written once as such a table would be."""
-    words = keyword_terms(papers)
-    path = scratch_path(papers.sparkSession, "word-vectors")
-    letter_vectors(words.unionByName(tree.select(F.col("label").alias("term")))).write.parquet(path)
-    return papers.sparkSession.read.parquet(path)
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The word-vector table of the documents' and nodes' words: an input of the plans, so a session writes it once."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, "word-vectors")
+        words = keyword_terms(papers(spark, sf))
+        letter_vectors(words.unionByName(nodes(spark, sf).select(F.col("label").alias("term")))).write.parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
 
 
 def matches(found: DataFrame, tree: DataFrame, **limits: int) -> DataFrame:
@@ -70,7 +76,7 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
 def labelled_by_words(spark: SparkSession, sf: str) -> DataFrame:
     """The complete plan: word vectors, term means, matches, labels."""
     found, tree = papers(spark, sf), nodes(spark, sf)
-    return labelled_papers(found, tree, _word_vectors(found, tree), threshold=SIMILARITY,
+    return labelled_papers(found, tree, word_vectors(spark, sf), threshold=SIMILARITY,
                            lowercase=True)
 
 
@@ -170,7 +176,7 @@ def m3_papers_table(spark, sf):
         "named_struct('name', '', 'fullname', source, '_id', lang) as organization", "split(text, ' ', -1) as paper_ai_keywords",
         "lang as `paper_organization.name`", "'2025-01-02T03:04:05Z' as publishedAt", "'x' as card")
     tree = nodes(spark, sf)
-    out = papers_table(raw, STAMP, tree, _word_vectors(raw, tree), threshold=SIMILARITY, lowercase=True)
+    out = papers_table(raw, STAMP, tree, word_vectors(spark, sf), threshold=SIMILARITY, lowercase=True)
     return _labels(out, "paper_title", "paper_upvotes", "organization_name", F.col("`paper_organization.name`").alias("org"),
                    F.unix_seconds("publishedAt").alias("published"), F.lit(len(out.columns)).alias("n_columns"),
                    (F.col("citation_count").isNull() & F.col("paper_withdrawnAt").isNull()).alias("empty"))
