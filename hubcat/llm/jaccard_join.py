@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -13,14 +14,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from hubcat.llm.components import components
-from hubcat.llm.memo import memo
+from hubcat.llm.memo import let_go
 from hubcat.operators.skew import join_unique
 from hubcat.session import stored
 
 #: Entries (documents times n-grams) of a row block; a task multiplies two of them.
 BLOCK_ENTRIES = 2_000_000
 #: Column-block signatures that a task gathers before it hands them on.
-GATHERED = 2_000_000
+GATHERED = 1_000_000
+#: Texts whose shingles are found at a time.
+TEXTS_AT_ONCE = 128
 #: Bytes of text whose signatures one bucket takes at most, about.
 BUCKET_BYTES = 32_000_000
 #: Bits of the map that keeps most texts without candidates out of the exchange.
@@ -29,6 +32,8 @@ FILTER_BITS = 1 << 25
 _KEPT = 6
 #: Counters of documents by shingle hash: about one for so many bytes of text, as a power of two between these bits.
 SLOT_BYTES, SLOT_BITS = 96, (20, 24)
+#: Bytes of text that a task counts, at least, where there are tasks enough for all cores.
+COUNTED_BYTES = 512_000_000
 #: Parts that the counters are added up in, and how many tasks' parts one step adds.
 _SLICES, _ADDED = 64, 32
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
@@ -48,15 +53,36 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     A to Z are lower-cased; words are what the blanks 9 to 13 and 32 leave. A text of fewer words is one shingle,
     one without words has none.
     """
-    parts = (text or "").encode().lower().split()
-    if not parts:
-        return np.zeros(0, "u8")
-    h = np.frombuffer(b"".join(map(memo("shingle words", lambda: xxhash.xxh64_digest).__getitem__, parts)), "<u8")
-    width = min(words, len(h))
-    mixed = np.full(len(h) - width + 1, width, "u8")
-    for i in range(width):
-        mixed = _scrambled(mixed * _ODD[0] + h[i:len(h) - width + 1 + i])
-    return np.unique(mixed)
+    return shingle_sets([text], words)[0]
+
+
+def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
+    """The shingles of each text; all are hashed and sorted at once."""
+    parts = [(text or "").encode().lower().split() for text in texts]
+    size = np.fromiter(map(len, parts), "i8", len(parts))
+    h = np.frombuffer(b"".join(map(xxhash.xxh64_digest, chain.from_iterable(parts))), "<u8")
+    end = np.cumsum(size)
+    width = np.minimum(size, words)
+    owner = np.repeat(np.arange(len(parts)), size)
+    left = end[owner] - np.arange(len(h))
+    # A shingle starts at each word that has enough behind it; a short text's at its first.
+    first = np.flatnonzero(left >= width[owner])
+    owner = owner[first]
+    mixed = width[owner].astype("u8")
+    for i in range(words):
+        more = np.flatnonzero(i < width[owner]) if (width < words).any() else slice(None)
+        mixed[more] = _scrambled(mixed[more] * _ODD[0] + h[first[more] + i])
+    bounds = np.searchsorted(owner, np.arange(len(parts) + 1)).tolist()
+    for a, b in pairwise(bounds):
+        mixed[a:b].sort()
+    new = np.flatnonzero(np.r_[True, (mixed[1:] != mixed[:-1]) | (owner[1:] != owner[:-1])][:len(mixed)])
+    return np.split(mixed[new], np.searchsorted(owner[new], np.arange(1, len(parts))))
+
+
+def _sets_of(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
+    """The same, for as many texts at a time as memory may hold."""
+    for at in range(0, len(texts), TEXTS_AT_ONCE):
+        yield from shingle_sets(texts[at:at + TEXTS_AT_ONCE], words)
 
 
 # Column blocks. Two sets that are near enough agree wholly on one of the blocks.
@@ -121,38 +147,49 @@ def _slot_bits(text_bytes: int) -> int:
 def _counted(words: int, bits: int):
     """A task's documents by slot of the shingle hash, in slices."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         counts = np.zeros(1 << bits, "u4")
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(counts, _slots(shingles(text, words), bits), 1)
+            texts = batch.column(0).to_pylist()
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
+                np.add.at(counts, _slots(np.concatenate(shingle_sets(texts[at:at + TEXTS_AT_ONCE], words)), bits), 1)
         task = TaskContext.get().partitionId()
-        for at, part in enumerate(np.minimum(counts, 65_535).astype("<u2").reshape(_SLICES, -1)):
-            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([task], pa.int32()), pa.array([part.astype("<u4").tobytes()], pa.binary())],
-                                             names=["slice", "part", "counts"])
+        for at, part in enumerate(counts.reshape(_SLICES, -1)):
+            # A task's own counts rarely need more than two bytes.
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([task], pa.int32()),
+                                              pa.array([np.minimum(part, 65_535).astype("<u2").tobytes()], pa.binary())], names=["slice", "part", "counts"])
     return run
 
 
-def _frequent_slots(docs: DataFrame, words: int, bits: int) -> np.ndarray:
+def _frequent_slots(docs: DataFrame, words: int, bits: int, parts: int) -> np.ndarray:
     """A bit for every slot that holds far more documents than a slot does at random; all documents count.
 
-    A step adds a bounded number of tasks' counters, so there are as many steps as the tasks ask for.
-    The driver gets a bit per slot. A slice is a random part of the columns, so its own median tells the usual number.
+    ``parts`` tasks count, few against the bytes that each reads. A step adds a bounded number of tasks' counters, so
+    there are as many steps as the tasks ask for. The driver gets a bit per slot. A slice is a random part of the columns, so its own median tells the usual number.
     """
-    def add(parts: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(c, "<u4") for c in parts["counts"]], axis=0, dtype="u4")
-        return pd.DataFrame({"slice": parts["slice"][:1], "part": parts["part"][:1] // _ADDED, "counts": [total.astype("<u4").tobytes()]})
+    def summed(parts: pd.DataFrame, kind: str) -> np.ndarray:
+        total = np.zeros((1 << bits) // _SLICES, "u8")
+        for counts in parts["counts"]:
+            total += np.frombuffer(counts, kind)
+        return total
+
+    def adder(kind: str):
+        def add(parts: pd.DataFrame) -> pd.DataFrame:
+            total = np.minimum(summed(parts, kind), 0xFFFFFFFF).astype("<u4")
+            return pd.DataFrame({"slice": parts["slice"][:1], "part": parts["part"][:1] // _ADDED, "counts": [total.tobytes()]})
+        return add
 
     def judge(parts: pd.DataFrame) -> pd.DataFrame:
-        counts = np.sum([np.frombuffer(c, "<u4") for c in parts["counts"]], axis=0, dtype="u8")
+        counts = summed(parts, kind)
         usual = float(np.median(counts))
         return pd.DataFrame({"slice": parts["slice"][:1], "bits": [np.packbits(counts > usual + 5 * usual ** 0.5 + 8).tobytes()]})
 
-    schema = "slice int, part int, counts binary"
-    counted = docs.select("text").mapInArrow(_counted(words, bits), schema)
-    parts = docs.rdd.getNumPartitions()
+    schema, kind = "slice int, part int, counts binary", "<u2"
+    texts = docs.select("text").coalesce(parts)
+    counted, parts = texts.mapInArrow(_counted(words, bits), schema), min(parts, texts.rdd.getNumPartitions())
     while parts > _ADDED:
-        counted = counted.groupBy("slice", F.floor(F.col("part") / _ADDED).alias("step")).applyInPandas(lambda key, rows: add(rows), schema)
-        parts = -(-parts // _ADDED)
+        counted = counted.groupBy("slice", F.floor(F.col("part") / _ADDED).alias("step")).applyInPandas(adder(kind), schema)
+        parts, kind = -(-parts // _ADDED), "<u4"
     found = sorted(counted.groupBy("slice").applyInPandas(judge, "slice int, bits binary").collect())
     if not found:
         return np.zeros(1 << bits >> 3, "u1")
@@ -167,12 +204,12 @@ def _marked(packed: np.ndarray, slots: np.ndarray) -> np.ndarray:
 def _rows(words: int, scheme: Scheme, buckets: int, id_type: pa.DataType, frequent, bits: int):
     """Kind 0: a document and its set's size and fingerprint. Kind 1: a task's signatures in a bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         task, count, known = TaskContext.get().partitionId(), 0, {}
         signatures, owners, held = [], [], 0
         for batch in batches:
             uid, size, prints = [], [], []
-            for text in batch.column(1).to_pylist():
-                found = shingles(text, words)
+            for found in _sets_of(batch.column(1).to_pylist(), words):
                 own = xxhash.xxh3_128_digest(found.tobytes())
                 uid.append(task << 32 | count)
                 size.append(len(found))
@@ -299,13 +336,14 @@ def linked_pairs(sets: list[np.ndarray], label: np.ndarray, left: np.ndarray, pa
 def _multiplied(words: int, part: int, whole: int):
     """Links of each row-block pair: columns text, uid, label, left, then the block's keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for block in _runs(batches, 3):
             uid = np.asarray(block.column(1).to_pylist(), "i8")
             uid, first = np.unique(uid, return_index=True)
             label = np.asarray(block.column(2).to_pylist(), "i8")[first]
             left = np.asarray(block.column(3).to_pylist(), bool)[first]
             texts = block.column(0).to_pylist()
-            sets = [shingles(texts[k], words) for k in first]
+            sets = list(_sets_of([texts[k] for k in first], words))
             links = linked_pairs(sets, label, left, part, whole)
             yield pa.RecordBatch.from_arrays([pa.array([int(uid[i]) for i, _ in links], pa.int64()),
                                               pa.array([int(uid[j]) for _, j in links], pa.int64())], names=["a", "b"])
@@ -375,9 +413,10 @@ def jaccard_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int =
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     total = bytes_of(docs, "text")
     buckets, bits = blocks_of(docs, "text", BUCKET_BYTES, total), _slot_bits(total)
+    parts = max(2 * spark.sparkContext.defaultParallelism, total // COUNTED_BYTES)
     id_field = docs.schema["doc_id"].dataType
     rows = stored(docs.mapInArrow(
-        _rows(words, scheme, buckets, to_arrow_type(id_field), spark.sparkContext.broadcast(_frequent_slots(docs, words, bits)), bits),
+        _rows(words, scheme, buckets, to_arrow_type(id_field), spark.sparkContext.broadcast(_frequent_slots(docs, words, bits, parts)), bits),
         f"kind int, uid long, doc_id {id_field.simpleString()}, text_hash long, size long, print binary, bucket int, signatures binary, owners binary"), "matrix")
     matrix = rows.where("kind = 0").select("uid", "doc_id", "text_hash", "size", "print")
     first = matrix.groupBy("print").agg(F.min("uid").alias("row"), F.count(F.lit(1)).alias("copies"))
