@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hubcat.llm.memo import Memo, memo, tokenizer, whole_texts
+from hubcat.llm.memo import Memo, let_go, memo, tokenizer
 from hubcat.llm.token_counts import units
 from hubcat.session import stored
 
@@ -313,6 +313,7 @@ def scan_ids(spark: SparkSession, path: str, key_type: str = "long") -> DataFram
     key's documents follow each other.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for number, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 file = IdFile(content.as_buffer())

@@ -10,7 +10,7 @@ from typing import Any
 import pyarrow as pa
 
 #: Bytes that the memo of a process may hold, about; parts that come later are worked out each time.
-BUDGET = 160 << 20
+BUDGET = 96 << 20
 #: A dictionary's own share of an entry, about.
 ENTRY = 104
 #: Characters of a part that is kept. Longer ones rarely repeat: prose without blanks, encoded data.
@@ -43,6 +43,11 @@ def memo(name: str, maker: Callable[[], Callable[[str], Any]]) -> Memo:
     return _held["memo"]
 
 
+def let_go() -> None:
+    """Empty this process's memo: a step without one needs the memory, and workers outlive their tasks."""
+    _held.clear()
+
+
 def whole_texts(column: pa.Array) -> list[str]:
     """The texts of a batch, null as empty."""
     return ["" if t is None else t for t in column.to_pylist()]
