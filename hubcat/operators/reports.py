@@ -147,7 +147,8 @@ def distribution_summary(df: DataFrame) -> DataFrame:
         .withColumn("place", F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("rows"), "label")))
     )
     most = {"": 1, **{c: k for c, (_, k) in tops.items()}}
-    kept = counts.where(F.coalesce(*(F.when(F.col("kind") == c, F.col("place") <= k) for c, k in most.items())))
+    # The plain bound lets a task drop labels before the window; the finer one follows.
+    kept = counts.where(F.col("place") <= max(most.values())).where(F.coalesce(*(F.when(F.col("kind") == c, F.col("place") <= k) for c, k in most.items())))
 
     def total(name: str) -> Column:
         return F.max(F.when(whole, F.col(name)))

@@ -29,6 +29,13 @@ def utc_day(when: Column, dtype: T.DataType) -> Column:
     return F.date_add(F.lit("1970-01-01").cast("date"), days.cast("int"))
 
 
+def midnight(day: Column, dtype: T.DataType) -> Column:
+    """The start of a UTC day in the type that a log's times have."""
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_micros(F.unix_date(day).cast("long") * 86_400_000_000)
+    return (F.unix_date(day).cast("long") * 86_400 if isinstance(dtype, T.NumericType) else day).cast(dtype)
+
+
 def daily_revisions(revisions: DataFrame) -> DataFrame:
     """Last revision per item and UTC day of ``(item, revision, committed_at)``.
 

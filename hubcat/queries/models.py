@@ -19,6 +19,7 @@ from hubcat.queries.mapping import (BUCKET_SQL, MODEL_ROWS, MODEL_TRUTH, PART_FL
                                     mapped, mapped_sql, strip_sql, table, dealt)
 from hubcat.session import scratch_path
 from hubcat.sources.scans import scan, scan_catalog
+from hubcat.sources.sinks import write_keyed
 
 STAMP = dt.datetime(2025, 1, 8, 12, 0, 0)
 DAY = "2025-01-08 12:00:00"
@@ -94,6 +95,16 @@ def p11_lookup(spark, sf):
         *spec.MODEL_FLAGS, "has_science", "is_biomed")
 
 
+def p11_stored_lookup(spark, sf):
+    """The same row of the written table, found by its row group's range and bloom filter."""
+    path = scratch_path(spark, "keyed")
+    words = table(spark, sf, "documents").select("doc_id", F.split("text", " ", -1).alias("tags"))
+    write_keyed(with_flags(with_normal_tags(words)), path, "doc_id", group_bytes=1 << 20)
+    return inspect_row(spark.read.parquet(path), 7, key="doc_id").select(
+        "doc_id", F.size("tags").alias("n_tags"), F.md5("tag_text").alias("text_md5"),
+        *spec.MODEL_FLAGS, "has_science", "is_biomed")
+
+
 def f1_organization(spark, sf):
     df = raw_models(spark, sf)
     return df.select("id", organization_of_id(F.col("id")).alias("organization"))
@@ -233,7 +244,7 @@ def a14_known_sizes(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    s1_pruned_scan, s4_limit, p1_conform, p2_conform_datasets, p3_conform_papers, p7_key_values, p11_lookup,
+    s1_pruned_scan, s4_limit, p1_conform, p2_conform_datasets, p3_conform_papers, p7_key_values, p11_lookup, p11_stored_lookup,
     f1_organization, f1_page_hosts, f2_size_parse, f2_event_props, f3_size_bucket, f5_org_name,
     f6_tags, f7_joined_tags, f8_flags, f8_text_flags, m1_models_table, m2_datasets_table,
     s2_dataset_scan, s3_paper_scan, p10_column_status,
@@ -332,3 +343,4 @@ ORACLE = {
         where size_category <> 'Unknown' group by 1 order by rows desc, label limit 10""",
     "a14_known_sizes": f"with {_MODELS} select count(*) filter (params > 0) as known_sizes from models",
 }
+ORACLE["p11_stored_lookup"] = ORACLE["p11_lookup"]

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hubcat.operators.weekly import latest_snapshots
-from hubcat.plans.weekly import weekly_snapshots
+from hubcat.plans.weekly import resume_weeks, weekly_snapshots
 from hubcat.queries.mapping import table
+from hubcat.session import scratch_path
+from hubcat.sources.publish import read_published
+from hubcat.sources.snapshots import write_log
 
 TODAY, START, END = "2024-02-20", "2023-12-18", "2024-02-12"
 
@@ -46,6 +49,15 @@ def t2_incremental(spark, sf):
     return _text(weekly_snapshots(_revisions(spark, sf), TODAY, _saved(spark, sf)))
 
 
+def t2_resumed_log(spark, sf):
+    """Weeks published up to a day, then the missing ones from the later part of the log alone."""
+    log, path = scratch_path(spark, "log"), scratch_path(spark, "weeks")
+    write_log(_revisions(spark, sf), log)
+    for today in ("2024-01-10", TODAY, TODAY):
+        resume_weeks(spark, log, "item string, revision string, committed_at timestamp_ntz", path, today)
+    return _text(read_published(spark, path))
+
+
 def t3_backfill(spark, sf):
     return _text(weekly_snapshots(_revisions(spark, sf), None, backfill_start=START,
                                   backfill_end=END))
@@ -57,7 +69,7 @@ def a18_latest_snapshot(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    j5_weekly_asof, j5_zoned_weeks, t2_incremental, t3_backfill, a18_latest_snapshot)}
+    j5_weekly_asof, j5_zoned_weeks, t2_incremental, t2_resumed_log, t3_backfill, a18_latest_snapshot)}
 
 _LATEST = """latest as (select event_type as item, max(cast(ts as date)) as latest_saved
   from events where value > 100 group by 1)"""
@@ -86,4 +98,4 @@ ORACLE = {
         cast(latest_saved as varchar) as latest_saved from latest""",
 }
 
-ORACLE["j5_zoned_weeks"] = ORACLE["j5_weekly_asof"]
+ORACLE["j5_zoned_weeks"] = ORACLE["t2_resumed_log"] = ORACLE["j5_weekly_asof"]

@@ -16,6 +16,17 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_keyed(df: DataFrame, path: str, key: str, group_bytes: int = 32 << 20, keys_per_file: int = 1_000_000) -> None:
+    """Parquet laid out for look-ups by ``key``: sorted over all files, with a bloom filter on it in every row group.
+
+    The order gives each row group a narrow range, which rules most of them out; the filter rules out the others that
+    do not hold the value. ``keys_per_file`` sizes the filter, about a byte and a half for each key of a row group.
+    """
+    column = quoted(key)
+    options = {f"parquet.bloom.filter.enabled#{key}": "true", f"parquet.bloom.filter.expected.ndv#{key}": str(keys_per_file), "parquet.block.size": str(group_bytes)}
+    df.repartitionByRange(column).sortWithinPartitions(column).write.mode("overwrite").options(**options).parquet(path)
+
+
 def flat_columns(df: DataFrame) -> DataFrame:
     """Nested columns as JSON text, for formats that hold plain values only."""
     return df.select(*(
