@@ -24,6 +24,9 @@ BROADCAST_VALUES = 8_000_000
 TASK_VALUES = 2_000_000
 BLOCK_NODES = 4096
 BLOCK_TERMS = 20_000
+# From so many nodes on they are searched by clusters; terms are taken by so many at a time then.
+CLUSTERED_NODES = 2048
+CLUSTER_TERMS = 4096
 # Decimals kept of a similarity, so that ties do not depend on summation order.
 SIMILARITY_DECIMALS = 12
 
@@ -151,13 +154,69 @@ def _node_matrix(ordinals: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray,
     return ordinals[first][usable], unit[usable]
 
 
-def _best(matrix: np.ndarray, ordinals: np.ndarray, unit: np.ndarray,
-          threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class NodeClusters:
+    """Unit vectors in clusters around some of them, each with the widest angle from its centre.
+
+    No vector of a cluster is nearer to a term than the term's angle to the centre less that
+    width, so a cluster that cannot reach the best so far, or the threshold, is passed over. Centres
+    are taken one by one, each the vector farthest from those before.
+    """
+
+    def __init__(self, unit: np.ndarray):
+        self.unit, self.products = unit, 0
+        wanted = int(math.ceil(math.sqrt(len(unit))))
+        near, owner, centres, at = np.full(len(unit), -np.inf), np.zeros(len(unit), np.int64), [], 0
+        while len(centres) < wanted:
+            sims = unit @ unit[at]
+            closer = sims > near
+            near[closer], owner[closer] = sims[closer], len(centres)
+            centres.append(at)
+            at = int(near.argmin())
+            if near[at] >= 1 - 1e-12:
+                break
+        self.centres = unit[centres]
+        order = np.argsort(owner, kind="stable")
+        self.members = np.split(order, np.searchsorted(owner[order], np.arange(1, len(centres))))
+        self.width = np.asarray([np.arccos(np.clip(near[m].min(), -1, 1)) for m in self.members])
+
+    def best(self, rows: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Index and similarity of each unit row's nearest vector, the first of equals; -inf where none is above the threshold."""
+        index, score = np.zeros(len(rows), np.int64), np.full(len(rows), -np.inf)
+        for lo in range(0, len(rows), CLUSTER_TERMS):
+            some = rows[lo:lo + CLUSTER_TERMS]
+            sims = np.clip(some @ self.centres.T, -1, 1)
+            self.products += sims.size
+            # A hair more than the angle allows, so that rounding hides no equal one.
+            reach = np.cos(np.maximum(np.arccos(sims) - self.width, 0)) + 1e-9
+            at, top = np.zeros(len(some), np.int64), np.full(len(some), -np.inf)
+            first = reach.argmax(axis=1)
+            for turn in (True, False):
+                for j, members in enumerate(self.members):
+                    # The most promising cluster of each term goes first, and sets what the others must reach.
+                    asked = (first == j) if turn else (first != j) & (reach[:, j] >= top)
+                    asked = np.flatnonzero(asked & (reach[:, j] > threshold))
+                    if not len(asked):
+                        continue
+                    self.products += len(asked) * len(members)
+                    for part in np.array_split(asked, max(1, len(asked) * len(members) // TASK_VALUES)):
+                        found = np.round(some[part] @ self.unit[members].T, SIMILARITY_DECIMALS)
+                        place = found.argmax(axis=1)
+                        value, node = found[np.arange(len(part)), place], members[place]
+                        better = (value > top[part]) | (value == top[part]) & (node < at[part])
+                        top[part[better]], at[part[better]] = value[better], node[better]
+            index[lo:lo + len(some)], score[lo:lo + len(some)] = at, top
+        return index, score
+
+
+def _best(matrix: np.ndarray, ordinals: np.ndarray, unit: np.ndarray, threshold: float,
+          clusters: NodeClusters | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, ordinal, score) of rows whose best similarity is above the threshold."""
     rows, usable = _unit_rows(matrix)
     best = np.zeros(len(rows), dtype=np.int64)
     score = np.full(len(rows), -np.inf)
-    if len(unit):
+    if clusters is not None:
+        best, score = clusters.best(np.where(usable[:, None], rows, 0.0), threshold)
+    elif len(unit):
         step = max(1, TASK_VALUES // len(unit))
         for lo in range(0, len(rows), step):
             sims = np.round(rows[lo:lo + step] @ unit.T, SIMILARITY_DECIMALS)
@@ -177,14 +236,15 @@ def _rows_to_matrix(column: pa.Array, width: int) -> np.ndarray:
 
 def _match_broadcast(terms: DataFrame, ordinals: np.ndarray, unit: np.ndarray,
                      threshold: float) -> DataFrame:
-    shared = terms.sparkSession.sparkContext.broadcast((ordinals, unit))
+    clusters = NodeClusters(unit) if len(unit) >= CLUSTERED_NODES else None
+    shared = terms.sparkSession.sparkContext.broadcast((ordinals, unit, clusters))
     width = unit.shape[1]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, unit = shared.value
+        ids, unit, clusters = shared.value
         for batch in batches:
             matrix = _rows_to_matrix(batch.column("vector"), width)
-            hit, ordinal, value = _best(matrix, ids, unit, threshold)
+            hit, ordinal, value = _best(matrix, ids, unit, threshold, clusters)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("term").take(pa.array(hit)), pa.array(ordinal, pa.int64()),
                  pa.array(value, pa.float64())], names=["term", "ordinal", "score"])
@@ -216,7 +276,8 @@ def _match_blocked(terms: DataFrame, nodes: DataFrame, threshold: float,
             return empty
         ids, unit = _node_matrix(block["ordinal"].to_numpy(), np.stack(block["vector"].to_numpy()))
         hit, ordinal, value = _best(
-            np.stack(part["vector"].to_numpy()).astype(np.float64), ids, unit, threshold)
+            np.stack(part["vector"].to_numpy()).astype(np.float64), ids, unit, threshold,
+            NodeClusters(unit) if len(unit) >= CLUSTERED_NODES else None)
         return pd.DataFrame({"term": part["term"].to_numpy()[hit], "ordinal": ordinal,
                              "score": value})
 
@@ -234,7 +295,8 @@ def best_matches(terms: DataFrame, nodes: DataFrame, threshold: float = spec.SIM
     ``nodes`` are taxonomy nodes with a ``vector``. Every distinct term is scored once; no
     term x node pair leaves a task. The nodes are written once; a count of their rows and
     values decides, before any row moves, whether their matrix is broadcast or they are
-    matched block by block. Both ways give the same rows. The write and the count run at once.
+    matched block by block. Both ways give the same rows. Many nodes are searched by
+    clusters that a bound on the angle lets a term pass over. The write and the count run at once.
     """
     terms = terms.where(F.col("vector").isNotNull()).select(
         "term", F.col("vector").cast("array<double>").alias("vector"))

@@ -15,7 +15,7 @@ from hubcat.functions.times import utc_text
 from hubcat.session import scratch_path
 from hubcat.sources.publish import publish, read_published
 from hubcat.sources.scans import previous_citations, read_batches
-from hubcat.sources.sinks import read_csv, verify, write_csv, write_parquet
+from hubcat.sources.sinks import read_csv, verify, write_counted, write_csv, write_parquet
 from hubcat.sources.snapshots import read_snapshot, weekly_paths, write_snapshot, write_weekly
 
 
@@ -103,6 +103,15 @@ def s13_verify(spark, sf):
     return verify(spark, path)
 
 
+def m1_counted_write(spark, sf):
+    """The models table written in one pass, with its flag counts, known sizes and empty columns."""
+    flags = [c for c in spec.MODELS.final if c.startswith(("has_", "is_"))]
+    numbers = {**{c: F.count_if(F.col(c)) for c in flags}, "known_sizes": F.count_if(F.col("params") > 0), "created": F.count("createdAt"),
+               "without_tags": F.count_if(F.size("tags") == 0), "likes": F.sum("likes")}
+    found = write_counted(models(spark, sf), scratch_path(spark, "models"), numbers)
+    return spark.createDataFrame([tuple(found[c] for c in ("rows", *numbers))], ", ".join(f"{c} {'double' if c == 'likes' else 'long'}" for c in ("rows", *numbers)))
+
+
 def s14_weekly_layout(spark, sf):
     """Weekly selection stored by item and week, its last weeks replaced by a backfill."""
     path = scratch_path(spark, "weekly")
@@ -144,7 +153,7 @@ def s10_published_models(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     s5_snapshot_meta, s6_snapshot_read, s7_previous_cache, s8_batch_files, a11_batch_totals, s9_taxonomy_file,
-    s10_parquet, s10_published_models, s11_csv, s13_verify, s14_weekly_layout, s14_published_weeks)}
+    s10_parquet, s10_published_models, s11_csv, s13_verify, m1_counted_write, s14_weekly_layout, s14_published_weeks)}
 
 
 def _oracle():
@@ -179,6 +188,9 @@ def _oracle():
             len(tags)::integer as n_tags from models""",
         "s10_published_models": f"""with {_MODELS} select id, organization, 'now' as state from models
             union all select id, organization, 'before' from models where likes > 10""",
+        "m1_counted_write": f"""with {_MODELS} select count(*) as rows, {", ".join(
+            f"count(*) filter ({c}) as {c}" for c in spec.MODELS.final if c.startswith(("has_", "is_")))},
+            count(*) filter (params > 0) as known_sizes, 0::bigint as created, count(*) filter (len(tags) = 0) as without_tags, sum(likes) as likes from models""",
         "s14_published_weeks": f"""select item, week, revision,
             case when week >= '2024-01-20' then 'third' else 'second' end as by from ({weekly['t3_backfill']})""",
         "s11_csv": f"""with {_TEXT_TAGS} select doc_id, t.lang, len(tags)::integer as n_tags,

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hubcat.operators.sketches import merged_organizations, merged_tags, weekly_sketches
 from hubcat.operators.weekly import latest_snapshots
 from hubcat.plans.weekly import resume_weeks, weekly_snapshots
 from hubcat.queries.mapping import table
 from hubcat.session import scratch_path
-from hubcat.sources.publish import read_published
+from hubcat.sources.publish import publish, read_published
 from hubcat.sources.snapshots import write_log
 
 TODAY, START, END = "2024-02-20", "2023-12-18", "2024-02-12"
@@ -63,13 +64,29 @@ def t3_backfill(spark, sf):
                                   backfill_end=END))
 
 
+def _week_sketches(spark, sf):
+    """Weeks of events, published week by week as a run would, with users as organisations."""
+    path = scratch_path(spark, "sketches")
+    rows = table(spark, sf, "events").selectExpr("cast(date_trunc('week', ts) as date) as week", "user_id", "array(event_type, props, ' ' || upper(event_type)) as tags")
+    publish(weekly_sketches(rows, F.col("week"), "user_id"), path, ("week",))
+    return read_published(spark, path)
+
+
+def a4_merged_weeks(spark, sf):
+    return merged_organizations(_week_sketches(spark, sf))
+
+
+def a6_merged_weeks(spark, sf):
+    return merged_tags(_week_sketches(spark, sf))
+
+
 def a18_latest_snapshot(spark, sf):
     return latest_snapshots(_saved(spark, sf)).select(
         "item", F.col("latest_saved").cast("string").alias("latest_saved"))
 
 
 QUERIES = {f.__name__: f for f in (
-    j5_weekly_asof, j5_zoned_weeks, t2_incremental, t2_resumed_log, t3_backfill, a18_latest_snapshot)}
+    j5_weekly_asof, j5_zoned_weeks, t2_incremental, t2_resumed_log, a4_merged_weeks, a6_merged_weeks, t3_backfill, a18_latest_snapshot)}
 
 _LATEST = """latest as (select event_type as item, max(cast(ts as date)) as latest_saved
   from events where value > 100 group by 1)"""
@@ -99,3 +116,6 @@ ORACLE = {
 }
 
 ORACLE["j5_zoned_weeks"] = ORACLE["t2_resumed_log"] = ORACLE["j5_weekly_asof"]
+ORACLE["a4_merged_weeks"] = "select count(*) as rows, count(distinct user_id) as organizations from events"
+ORACLE["a6_merged_weeks"] = """select tag, count(*) as at_least, count(*) as at_most from (
+    select lower(event_type) as tag from events union all select lower(event_type) from events union all select lower(trim(props)) from events) group by tag"""

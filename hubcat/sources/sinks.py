@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from hubcat.functions.text import quoted
@@ -16,6 +16,21 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_counted(df: DataFrame, path: str, numbers: dict[str, Column]) -> dict[str, object]:
+    """Write a table and give numbers about it, taken while it is written: one pass, where each report would be one.
+
+    ``numbers`` are aggregates by name, none of them distinct. ``rows`` comes with them, and must agree with
+    the files' own counts, which are read from their footers.
+    """
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(name) for name, c in numbers.items())).write.mode("overwrite").parquet(path)
+    found = seen.get
+    held = df.sparkSession.read.schema(df.schema).parquet(path).count()
+    if held != found["rows"]:
+        raise ValueError(f"{path}: {held} rows read back of {found['rows']}")
+    return found
+
+
 def write_keyed(df: DataFrame, path: str, key: str, group_bytes: int = 32 << 20, keys_per_file: int = 1_000_000) -> None:
     """Parquet laid out for look-ups by ``key``: sorted over all files, with a bloom filter on it in every row group.
 

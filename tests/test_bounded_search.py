@@ -1,0 +1,87 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from hubcat.operators import matching as m
+from hubcat.operators.sketches import merged_organizations, merged_tags, weekly_sketches
+from hubcat.sources.sinks import write_counted
+
+
+def tree(n, width=32, seed=1):
+    """Unit vectors around topics around subcategories around categories."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, 1, 1, width)) + 0.25 * rng.normal(size=(12, 8, 1, width)) + 0.06 * rng.normal(size=(12, 8, 1 + n // 96, width))
+    flat = centres.reshape(-1, width)[:n]
+    return flat / np.linalg.norm(flat, axis=1)[:, None]
+
+
+def near(unit, n, seed=2):
+    rng = np.random.default_rng(seed)
+    rows = unit[rng.integers(len(unit), size=n)] + 0.05 * rng.normal(size=(n, unit.shape[1]))
+    rows[:5] = rng.normal(size=(5, unit.shape[1]))
+    return rows / np.linalg.norm(rows, axis=1)[:, None]
+
+
+def test_a_clustered_tree_needs_a_tenth_of_the_products():
+    unit = tree(100_000)
+    rows = near(unit, 2000)
+    clusters = m.NodeClusters(unit)
+    index, score = clusters.best(rows, 0.55)
+    assert clusters.products < len(rows) * len(unit) / 10, clusters.products / (len(rows) * len(unit))
+    sims = np.round(rows @ unit.T, m.SIMILARITY_DECIMALS)
+    above = sims.max(axis=1) > 0.55
+    assert above.any() and (np.where(above, score, 0) == np.where(above, sims.max(axis=1), 0)).all()
+    assert (sims[np.arange(len(rows)), index][above] == score[above]).all()
+    assert (score[~above] <= 0.55).all()
+
+
+@pytest.mark.parametrize("n, width", [(1, 3), (2, 3), (40, 2), (300, 5), (300, 64)])
+def test_same_nodes_as_all_products_with_ties(n, width):
+    rng = np.random.default_rng(n + width)
+    unit = np.round(rng.normal(size=(n, width)), 1)
+    unit = unit[np.linalg.norm(unit, axis=1) > 0]
+    unit = np.concatenate([unit, -unit])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    rows = np.concatenate([unit, rng.normal(size=(50, width)), np.zeros((2, width))])
+    ids = np.arange(len(unit)) * 3
+    for threshold in (-2.0, 0.3, 0.9999):
+        plain, bounded = (m._best(rows, ids, unit, threshold, c) for c in (None, m.NodeClusters(unit)))
+        assert all((a == b).all() for a, b in zip(plain, bounded))
+
+
+def test_matches_by_clusters_on_both_ways(spark, monkeypatch):
+    unit = tree(3000)
+    nodes = spark.createDataFrame([(i, "c", None, None, f"n{i}", "category", ["c"], v.tolist()) for i, v in enumerate(unit)],
+                                  "ordinal long, category string, subcategory string, topic string, label string, level string, path array<string>, vector array<double>")
+    terms = spark.createDataFrame([(f"t{i}", v.tolist()) for i, v in enumerate(near(unit, 400))], "term string, vector array<double>")
+    got = []
+    for least, limits in ((10 ** 9, {}), (100, {}), (100, {"broadcast_nodes": 0})):
+        monkeypatch.setattr(m, "CLUSTERED_NODES", least)
+        found = m.best_matches(terms, nodes.select(*m.NODE_FIELDS, "vector"), 0.55, **limits)
+        got.append(sorted((r["term"], r["ordinal"], round(r["score"], 9)) for r in found.collect()))
+    assert got[0] == got[1] == got[2] and len(got[0]) > 300
+
+
+def test_weekly_sketches_merge_within_their_bounds(spark):
+    rows = spark.range(60_000).select((F.col("id") % 4).alias("w"), (F.col("id") * 7919 % 20_011).alias("organization"),
+                                      F.array(F.concat(F.lit("t"), F.floor(F.sqrt(F.col("id") % 2500))), F.lit(" Common "), F.lit(None)).alias("tags"))
+    exact = {r["tag"]: r["n"] for r in rows.select(F.explode("tags").alias("t")).where("t is not null").groupBy(F.lower(F.trim("t")).alias("tag")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    for kept in (5, 1000):
+        weeks = weekly_sketches(rows, F.col("w"), kept=kept)
+        assert weeks.count() == 4
+        found = merged_organizations(weeks).first()
+        assert found["rows"] == 60_000 and abs(found["organizations"] - 20_011) < 0.03 * 20_011
+        tags = {r["tag"]: (r["at_least"], r["at_most"]) for r in merged_tags(weeks).collect()}
+        assert all(low <= exact[tag] <= high for tag, (low, high) in tags.items()) and tags["common"][0] == 60_000
+        if kept == 1000:
+            assert {tag: low for tag, (low, _) in tags.items()} == exact and all(low == high for low, high in tags.values())
+    none = weekly_sketches(rows.limit(0), F.col("w"))
+    assert tuple(merged_organizations(none).first()) == (0, 0) and merged_tags(none).collect() == []
+    bare = spark.createDataFrame([(None, None, None), (1, "o", [])], "w int, organization string, tags array<string>")
+    assert {r["w"]: (r["rows"], len(r["tags"])) for r in weekly_sketches(bare, F.col("w")).withColumnRenamed("week", "w").collect()} == {None: (1, 0), 1: (1, 0)}
+
+
+def test_numbers_come_with_the_write(spark, tmp_path):
+    found = write_counted(spark.range(100), str(tmp_path / "t"), {"even": F.count_if(F.col("id") % 2 == 0), "total": F.sum("id")})
+    assert found == {"rows": 100, "even": 50, "total": 4950}
+    assert write_counted(spark.range(0), str(tmp_path / "e"), {"total": F.sum("id")}) == {"rows": 0, "total": None}
