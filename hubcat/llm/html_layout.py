@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -72,6 +74,16 @@ _VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(\w+)")
 _BLANKS = re.compile(r"[ \t\n\f\r]+")
 
 
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_BRACE = re.compile(r"[{}]")
+_COMPOUND = re.compile(r"(?:\*|[a-z][\w-]*)?(?:[.#][\w-]+)*")
+_PART = re.compile(r"[.#]?[\w-]+")
+_DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?\s*(?=;|$)")
+_SCREEN = re.compile(r"@media\s+(?:only\s+)?(?:screen|all)\s*")
+#: Which open elements end when an element of this name begins, and what their ends do not reach out of.
+_ENDS = {name: [(open_, SCOPES.get(open_, {"table"})) for open_, by in ENDED_BY.items() if name in by] for name in set().union(*ENDED_BY.values())}
+
+
 class Node:
     """An element: its attributes, and texts and elements in order."""
 
@@ -110,31 +122,36 @@ def tokens(source: str) -> Iterator[tuple[str, str, dict[str, str]]]:
             return
 
 
-def build(source: str) -> Node:
-    """The tree of a page. Missing end tags are implied, stray ones passed over.
+def build(source: str, styles: list[str] | None = None) -> Node:
+    """The tree of a page. Missing end tags are implied, stray ones passed over; style sheets for a screen go to ``styles``.
 
-    ``reach`` counts, for each open element, the <p> that a </p> inside it could end.
+    ``open_at`` has the depths of the open elements by name, so that an end costs what it closes, however deep the page is. ``reach``
+    counts, for each open element, the <p> that a </p> inside it could end.
     """
     root = Node("html", {})
-    stack, reach = [root], [0]
+    stack, reach, open_at = [root], [0], {"html": [0]}
 
     def push(node: Node) -> None:
+        open_at.setdefault(node.tag, []).append(len(stack))
         stack.append(node)
         reach.append(0 if node.tag in P_ENDS else reach[-1] + (node.tag == "p"))
 
-    def end(tag: str, within: set[str]) -> bool:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag == tag:
-                del stack[depth:], reach[depth:]
-                return True
-            if stack[depth].tag in within:
-                return False
-        return False
+    def cut(depth: int) -> None:
+        for node in stack[depth:]:
+            open_at[node.tag].pop()
+        del stack[depth:], reach[depth:]
+
+    def end(tag: str, within: set[str]) -> None:
+        depth = (open_at.get(tag) or [0])[-1]
+        if depth and not any(open_at.get(other) and open_at[other][-1] > depth for other in within):
+            cut(depth)
 
     for kind, name, attributes in tokens(source):
         if kind == "text":
             if stack[-1].tag == "head" and name.strip():
-                del stack[-1], reach[-1]
+                cut(len(stack) - 1)
+            elif stack[-1].tag == "style" and styles is not None and stack[-1].attributes.get("media", "all").strip().lower() in ("", "all", "screen"):
+                styles.append(name)
             stack[-1].children.append(name)
         elif kind == "close":
             if name == "p" and not reach[-1]:
@@ -147,10 +164,9 @@ def build(source: str) -> Node:
             if name in ("html", "body") and any(n.tag == name for n in stack[:3]):
                 continue
             if stack[-1].tag == "head" and name not in HEAD_ONLY:
-                del stack[-1], reach[-1]
-            for open_, ended_by in ENDED_BY.items():
-                if name in ended_by:
-                    end(open_, SCOPES.get(open_, {"table"}))
+                cut(len(stack) - 1)
+            for open_, within in _ENDS.get(name, ()):
+                end(open_, within)
             if name in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
                 row = Node("tr", {})
                 stack[-1].children.append(row)
@@ -162,14 +178,83 @@ def build(source: str) -> Node:
     return root
 
 
-def _shown(node: Node) -> bool:
+class Sheet:
+    """What a page's own style sheets say about ``display`` and ``visibility``.
+
+    Read are rules whose selectors are an element's name, classes and ids in one (``p``, ``.a``, ``div.a#b``), also inside @media for
+    screens; later, more specific and important ones win. Selectors with relations, attributes or states, and other at-rules, are
+    passed over: what they would hide is shown.
+    """
+
+    def __init__(self, sheets: list[str]):
+        found: dict[tuple[str, tuple[str, ...]], tuple] = {}
+        order = count()
+        work = [_COMMENT.sub("", sheet).lower() for sheet in reversed(sheets)]
+        while work:
+            text = work.pop()
+            at = 0
+            while (brace := text.find("{", at)) >= 0:
+                start = text[at:brace].rsplit(";", 1)[-1].strip()
+                depth, stop = 0, len(text)
+                for mark in _BRACE.finditer(text, brace):
+                    depth += 1 if mark.group() == "{" else -1
+                    if not depth:
+                        stop = mark.start()
+                        break
+                body, at = text[brace + 1:stop], stop + 1
+                if _SCREEN.fullmatch(start + " "):
+                    work += [text[at:], body]
+                    break
+                if not start.startswith("@"):
+                    self._add(found, order, start.split(","), body)
+        counts = Counter(part for _, parts in found for part in parts)
+        self.rules: dict[str, list[tuple]] = {}
+        for (name, parts), said in found.items():
+            self.rules.setdefault(min(parts, key=counts.__getitem__), []).append((name, frozenset(parts), said))
+
+    @staticmethod
+    def _add(found: dict, order: Iterator[int], selectors: list[str], body: str) -> None:
+        stated = _DECLARED.findall(body)
+        for selector in selectors if stated else ():
+            selector = selector.strip()
+            if not selector or not _COMPOUND.fullmatch(selector):
+                continue
+            parts = tuple(sorted(set(_PART.findall(selector)))) or ("*",)
+            weight = (sum(p[0] == "#" for p in parts), sum(p[0] == "." for p in parts), len(parts))
+            for name, value, important in stated:
+                rank = (bool(important), weight, next(order))
+                # A later rule of the same selector takes the place of an earlier one, but not of an important one.
+                old = found.pop((name, parts), None)
+                found[name, parts] = old if old and old[0][0] > rank[0] else (rank, value)
+
+    def says(self, node: Node, name: str) -> tuple[str | None, bool]:
+        """The value of a property for an element, and whether it beats the element's own style."""
+        if not self.rules:
+            return None, False
+        own = {node.tag, "*"}
+        own.update("." + c for c in node.attributes.get("class", "").lower().split())
+        if "id" in node.attributes:
+            own.add("#" + node.attributes["id"].strip().lower())
+        best = None
+        for key in own:
+            for of, parts, said in self.rules.get(key, ()):
+                if of == name and parts <= own and (best is None or said[0] > best[0]):
+                    best = said
+        return (None, False) if best is None else (best[1], best[0][0])
+
+
+def _shown(node: Node, sheet: Sheet) -> bool:
     """Whether an element takes part in the layout at all."""
     given = node.attributes
     if node.tag in NEVER_SHOWN or "hidden" in given and given["hidden"].lower() != "until-found":
         return False
     if node.tag == "dialog" and "open" not in given or node.tag == "input" and given.get("type", "").lower() == "hidden":
         return False
-    return not ("style" in given and _HIDDEN.search(given["style"].lower()))
+    own = given.get("style", "").lower()
+    value, important = sheet.says(node, "display")
+    if value is not None and (important or "display" not in own):
+        return value != "none"
+    return not _HIDDEN.search(own)
 
 
 class Page:
@@ -271,9 +356,9 @@ def _table(groups: list[list[list[tuple[str, int, int]]]]) -> list[str]:
     return lines
 
 
-def render(root: Node) -> str:
+def render(root: Node, sheet: Sheet | None = None) -> str:
     """The visible text of a tree, without recursion: pages nest as deep as they like."""
-    pages = [Page()]
+    pages, sheet = [Page()], sheet or Sheet([])
     tables: list[list[list[list[tuple[str, int, int]]]]] = []
     counters: list[int | None] = []
     work: list[tuple] = [("enter", root, True, False)]
@@ -287,10 +372,12 @@ def render(root: Node) -> str:
             if visible:
                 page.write(node, kept)
             continue
-        if not _shown(node):
+        if not _shown(node, sheet):
             continue
         stated = _VISIBILITY.search(node.attributes.get("style", "").lower())
-        visible = stated.group(1) in ("visible", "inherit", "initial") if stated else visible
+        value, important = sheet.says(node, "visibility")
+        value = stated.group(1) if stated and not (value and important) else value
+        visible = value in ("visible", "inherit", "initial") if value else visible
         tag, children = node.tag, node.children
         if tag == "br":
             page.end_line(True)
@@ -374,7 +461,9 @@ def _leave(node: Node, pages: list[Page], tables: list, counters: list) -> None:
 
 def visible_text(source: str) -> str:
     """What a reader of the page sees, as text."""
-    return render(build(source))
+    styles: list[str] = []
+    root = build(source, styles)
+    return render(root, Sheet(styles))
 
 
 def extract(pages: DataFrame, html_column: str = "html", page_id: str = "page_id") -> DataFrame:
@@ -382,7 +471,8 @@ def extract(pages: DataFrame, html_column: str = "html", page_id: str = "page_id
 
     Blocks stand on lines of their own, paragraphs, headings, lists and tables between blank
     lines; list items have their marks and indents, table cells their columns. Null and empty
-    pages give empty text; rows that repeat an id come back each.
+    pages give empty text; rows that repeat an id come back each. Of a page's own style sheets the simple rules
+    that hide are read (see ``Sheet``), of others none.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
