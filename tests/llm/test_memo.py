@@ -1,0 +1,56 @@
+import random
+import sys
+
+import public_tokenizers
+import pytest
+
+from hubcat.llm import id_store, memo, pattern_packing, token_counts, toxicity
+
+JSON, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+
+
+def held_bytes(known):
+    return sys.getsizeof(known) + sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in known.items())
+
+
+def texts_without_blanks(n, length):
+    rng = random.Random(n)
+    return ["".join(rng.choice("日本語文章abcXYZ0123") for _ in range(length)) for _ in range(n)]
+
+
+USES = {
+    "op1": (lambda: pattern_packing._word_ids(WORDS), lambda texts: [pattern_packing._word_ids(WORDS)[w] for t in texts for w in t.split(" ")]),
+    "op2": (lambda: token_counts._unit_counts(JSON), lambda texts: [token_counts._unit_counts(JSON)[u] for t in texts for u in token_counts.units(t)]),
+    "op4": (lambda: memo.memo("toxicity words", lambda: toxicity._word_hashes), lambda texts: list(toxicity.features_of(texts))),
+    "op12": (lambda: id_store._part_ids(JSON), lambda texts: list(id_store.encode_texts(texts, JSON))),
+}
+
+
+@pytest.mark.parametrize("name", sorted(USES))
+def test_long_texts_without_blanks_are_not_kept(name):
+    known, use = USES[name]
+    memo.let_go()
+    use(texts_without_blanks(60, 3000))
+    assert len(known()) == 0
+    use([" ".join(texts_without_blanks(200, 20))])
+    assert 0 < len(known()) <= 201
+
+
+@pytest.mark.parametrize("name", sorted(USES))
+def test_a_memo_stays_within_its_bytes(name, monkeypatch):
+    monkeypatch.setattr(memo, "BUDGET", 400_000)
+    known, use = USES[name]
+    memo.let_go()
+    use([" ".join(texts_without_blanks(9000, 12))])
+    assert 300 < len(known()) < 8000 and held_bytes(known()) < 700_000
+    memo.let_go()
+
+
+def test_a_process_holds_one_memo():
+    memo.let_go()
+    first = memo.memo("a", lambda: len)
+    assert first["abc"] == 3 and memo.memo("a", lambda: len) is first
+    memo.memo("b", lambda: str.upper)
+    assert memo.memo("a", lambda: len) is not first
+    memo.let_go()
+    assert not memo._held
