@@ -155,9 +155,9 @@ def _counted(words: int, bits: int):
                 np.add.at(counts, _slots(np.concatenate(shingle_sets(texts[at:at + TEXTS_AT_ONCE], words)), bits), 1)
         task = TaskContext.get().partitionId()
         for at, part in enumerate(counts.reshape(_SLICES, -1)):
-            # A task's own counts rarely need more than two bytes.
+            # A byte tells enough: the usual count of a task is 5 at most, and a slot that is full stands out all the same.
             yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([task], pa.int32()),
-                                              pa.array([np.minimum(part, 65_535).astype("<u2").tobytes()], pa.binary())], names=["slice", "part", "counts"])
+                                              pa.array([np.minimum(part, 255).astype("u1").tobytes()], pa.binary())], names=["slice", "part", "counts"])
     return run
 
 
@@ -184,7 +184,7 @@ def _frequent_slots(docs: DataFrame, words: int, bits: int, parts: int) -> np.nd
         usual = float(np.median(counts))
         return pd.DataFrame({"slice": parts["slice"][:1], "bits": [np.packbits(counts > usual + 5 * usual ** 0.5 + 8).tobytes()]})
 
-    schema, kind = "slice int, part int, counts binary", "<u2"
+    schema, kind = "slice int, part int, counts binary", "u1"
     texts = docs.select("text").coalesce(parts)
     counted, parts = texts.mapInArrow(_counted(words, bits), schema), min(parts, texts.rdd.getNumPartitions())
     while parts > _ADDED:
