@@ -155,7 +155,7 @@ def _counted(words: int, bits: int):
                 np.add.at(counts, _slots(np.concatenate(shingle_sets(texts[at:at + TEXTS_AT_ONCE], words)), bits), 1)
         task = TaskContext.get().partitionId()
         for at, part in enumerate(counts.reshape(_SLICES, -1)):
-            # A byte tells enough: the usual count of a task is 5 at most, and a slot that is full stands out all the same.
+            # A byte tells enough: the usual count of a task is below 20, and a slot that is full stands out all the same.
             yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([task], pa.int32()),
                                               pa.array([np.minimum(part, 255).astype("u1").tobytes()], pa.binary())], names=["slice", "part", "counts"])
     return run
