@@ -35,11 +35,11 @@ class Memo(dict):
 _held: dict[str, Any] = {}
 
 
-def memo(name: str, maker: Callable[[], Callable[[str], Any]]) -> Memo:
+def memo(name: str, maker: Callable[[], Callable[[str], Any]], budget: int | None = None) -> Memo:
     """This process's memo of that name. A process holds one: the first batch of another stage lets it go."""
     if _held.get("name") != name:
         _held.clear()
-        _held.update(name=name, memo=Memo(maker()))
+        _held.update(name=name, memo=Memo(maker(), budget))
     return _held["memo"]
 
 

@@ -39,6 +39,7 @@ def test_long_texts_without_blanks_are_not_kept(name):
 @pytest.mark.parametrize("name", sorted(USES))
 def test_a_memo_stays_within_its_bytes(name, monkeypatch):
     monkeypatch.setattr(memo, "BUDGET", 400_000)
+    monkeypatch.setattr(pattern_packing, "WORD_BYTES", 400_000)
     known, use = USES[name]
     memo.let_go()
     use([" ".join(texts_without_blanks(9000, 12))])
@@ -54,3 +55,16 @@ def test_a_process_holds_one_memo():
     assert memo.memo("a", lambda: len) is not first
     memo.let_go()
     assert not memo._held
+
+
+def test_words_and_their_signs_are_the_librarys():
+    from tokenizers import Tokenizer
+
+    encode = Tokenizer.from_file(WORDS).encode
+    rng = random.Random(3)
+    words = ["it's", "dogs'", "a.", "B!?", "''s", "x_", "é,", "Straße.", "a1.", ".", "<|endoftext|>", "a<|endoftext|>", "end|>", "don't!", "'s", "we're..", ""]
+    words += ["".join(rng.choice("abS'.,!?_-t|<>1é") for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+    memo.let_go()
+    known = pattern_packing._word_ids(WORDS)
+    wrong = [w for w in words if known[w] != b"".join(i.to_bytes(4, "little") for i in encode(w, add_special_tokens=False).ids)]
+    assert wrong == []
