@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
@@ -20,6 +21,8 @@ from hubcat.session import stored
 # The node matrix goes to every executor only up to these sizes (64 MB of doubles).
 BROADCAST_NODES = 20_000
 BROADCAST_VALUES = 8_000_000
+# Words whose vectors may go to every executor, up to the values above, and their longest name.
+FREQUENT_WORDS, WORD_BYTES = 200_000, 100
 # Similarities computed at a time in a task, and the block sizes beyond the broadcast.
 TASK_VALUES = 2_000_000
 BLOCK_NODES = 4096
@@ -48,22 +51,104 @@ def term_vectors(terms: DataFrame, word_vectors: DataFrame, lowercase: bool = Fa
     """Mean word vector of each distinct term; terms without a known word drop out.
 
     ``word_vectors(token, vector)`` has one row per token, all of one length. Unknown words only rescale the
-    mean, which leaves every cosine as it is. Words carry a 128-bit key of their term, not its text, and are counted
-    with a partial step. Weighted vectors are then added up as Arrow matrices, whatever their width: each
-    batch first for itself, then by key behind one exchange, in which the term's text meets its sums.
+    mean, which leaves every cosine as it is. The most frequent words, as many as may be broadcast, are added up where a
+    term lies, and move nothing. Rare words carry a 128-bit key of their term, not its text. Their weighted vectors are
+    added up as Arrow matrices, whatever their width: each batch first for itself, then by key behind one exchange, in
+    which the term's text meets its sums. Where frequent words are few of all, as in a list of words, all go that way.
     """
     named = terms.where(F.col("term").isNotNull()).select(F.unhex(F.md5("term")).alias(_KEY), "term").distinct()
     text = F.lower("term") if lowercase else F.col("term")
-    words = named.select(_KEY, F.explode_outer(F.split(text, _BREAK)).alias("token")).where(F.col("token") != "")
-    counted = words.groupBy(_KEY, "token").agg(F.count(F.lit(1)).alias("n"))
     vectors = word_vectors.select("token", F.col("vector").cast("array<double>").alias("v")).where(F.col("v").isNotNull())
-    found = join_unique(counted, vectors, "token", "inner").select(_KEY, F.col("n").cast("double").alias("n"), "v")
+    head, every = _frequent(terms, vectors, lowercase)
+    shared = terms.sparkSession.sparkContext.broadcast(head)
+    sums = f"{_KEY} binary, term string, n double, v array<double>"
+    if head is not None:
+        rows = named.select(_KEY, "term", F.split(text, _BREAK).alias("words")).mapInArrow(_frequent_sums(shared), sums)
+        if every:
+            return rows.mapInArrow(_means, "term string, vector array<double>")
+    else:
+        rows = named.select(_KEY, "term", F.lit(None).cast("double").alias("n"), F.lit(None).cast("array<double>").alias("v"))
+    counted = named.select(_KEY, F.split(text, _BREAK).alias("words")).mapInArrow(_rare_words(shared), f"{_KEY} binary, token string, n double")
+    found = join_unique(counted, vectors, "token", "inner").select(_KEY, "n", "v")
     partial = found.mapInArrow(_partial_sums, f"{_KEY} binary, n double, v array<double>")
-    rows = named.select(_KEY, "term", F.lit(None).cast("double").alias("n"), F.lit(None).cast("array<double>").alias("v")).unionByName(
-        partial.withColumn("term", F.lit(None).cast("string")))
+    rows = rows.unionByName(partial.withColumn("term", F.lit(None).cast("string")))
     return rows.repartition(_KEY).sortWithinPartitions(_KEY, F.col("term").isNull()).mapInArrow(_means, "term string, vector array<double>")
 
 
+def _frequent(terms: DataFrame, vectors: DataFrame, lowercase: bool) -> tuple[tuple[pa.Array, np.ndarray, np.ndarray] | None, bool]:
+    """The most frequent words with their vectors and numbers of rows, none if they are under half of all; and whether no other word occurs."""
+    words = stored(tokens(terms, lowercase).groupBy("token").agg(F.count(F.lit(1)).alias("n")), "words")
+    usable = F.octet_length("token") <= WORD_BYTES
+    counts = words.groupBy(F.when(usable, F.col("n")).otherwise(F.lit(0)).alias("least")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("uses")).collect()
+    counts = sorted(counts, reverse=True)
+
+    def bound(most: int) -> tuple[int, float, bool]:
+        """The least number of uses of at most so many words, their share of all uses, whether they are all words."""
+        least, held, uses = sys.maxsize, 0, 0
+        for row in counts:
+            if not row["least"] or held + row["words"] > most:
+                break
+            least, held, uses = row["least"], held + row["words"], uses + row["uses"]
+        return least, uses / max(1, sum(r["uses"] for r in counts)), held == sum(r["words"] for r in counts)
+
+    least, share, every = bound(FREQUENT_WORDS)
+    if share < 0.5:
+        return None, False
+    chosen = words.where(usable & (F.col("n") >= least)).select("token", "n")
+    found = stored(vectors.join(F.broadcast(chosen), "token"), "frequent")
+    size = found.agg(F.coalesce(F.max(F.size("v")), F.lit(0)).alias("width"), F.coalesce(F.sum(F.size("v")), F.lit(0)).alias("values")).first()
+    if size["values"] > BROADCAST_VALUES:
+        least, share, every = bound(BROADCAST_VALUES // size["width"])
+        if share < 0.25:
+            return None, False
+    held = found.where(F.col("n") >= least).select("token", "v").toArrow()
+    if not held.num_rows:
+        return (pa.array([], pa.string()), np.zeros((0, 1)), np.zeros(0)), every
+    names = held.column("token").combine_chunks().cast(pa.string()).dictionary_encode()
+    at, width = names.indices.to_numpy(), len(held.column("v")[0])
+    matrix, weight = np.zeros((len(names.dictionary), width)), np.bincount(at).astype(np.float64)
+    np.add.at(matrix, at, _rows_to_matrix(held.column("v").combine_chunks(), width))
+    return (names.dictionary, matrix, weight), every
+
+
+def _frequent_sums(shared):
+    """Weights and vectors of a term's frequent words, added up; null where it has none."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, matrix, weight = shared.value
+        step = max(1, TASK_VALUES // matrix.shape[1])
+        for batch in batches:
+            words = batch.column(2)
+            row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy())
+            at = pc.fill_null(pc.index_in(words.flatten(), value_set=names), -1).to_numpy()
+            row, at = row[at >= 0], at[at >= 0]
+            sums, n = np.zeros((len(words), matrix.shape[1])), np.bincount(row, weight[at], len(words))
+            for lo in range(0, len(at), step):
+                some = row[lo:lo + step]
+                first = np.flatnonzero(np.r_[True, some[1:] != some[:-1]])
+                sums[some[first]] += np.add.reduceat(matrix[at[lo:lo + step]], first, axis=0)
+            none = n == 0
+            offsets = np.r_[0, np.cumsum(np.where(none, 0, sums.shape[1]))].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(sums[~none].ravel()), mask=pa.array(none))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, mask=none), lists], names=[_KEY, "term", "n", "v"])
+    return run
+
+
+def _rare_words(shared):
+    """(key, token, n): the words of each term that are not frequent ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array([""] if shared.value is None else ["", *shared.value[0].to_pylist()], pa.string())
+        for batch in batches:
+            words = batch.column(1)
+            row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy())
+            rare = pc.is_null(pc.index_in(words.flatten(), value_set=names)).to_numpy(zero_copy_only=False)
+            coded = words.flatten().filter(pa.array(rare)).dictionary_encode()
+            pair, n = np.unique(row[rare] * max(1, len(coded.dictionary)) + coded.indices.to_numpy(), return_counts=True)
+            row, code = np.divmod(pair, max(1, len(coded.dictionary)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), coded.dictionary.take(pa.array(code)), pa.array(n.astype(np.float64))],
+                                             names=[_KEY, "token", "n"])
+    return run
+
+
 def _groups(keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """128-bit keys as two numbers each, and where a key differs from the one before it."""
     pair = np.frombuffer(b"".join(keys.to_pylist()), "<u8").reshape(-1, 2)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hubcat.operators import matching
 from hubcat.operators.matching import term_vectors
 
 WIDTH = 300
@@ -57,3 +58,16 @@ def test_plan_does_not_widen_with_the_vectors(spark, tmp_path):
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
     assert len(plan) < 20_000 and plan.count("MapInArrow") == 2 and "Cartesian" not in plan and "BroadcastNestedLoop" not in plan
     assert made.count() == 7
+
+
+@pytest.mark.parametrize("most", [0, 3, 20, 1000])
+def test_frequent_words_do_not_move(spark, monkeypatch, most):
+    """Any number of words may be taken as frequent: the means stay, and only rare words go to their vectors."""
+    rng = random.Random(4)
+    vectors = {f"w{i}": [rng.random() for _ in range(5)] for i in range(60)}
+    terms = [" ".join(f"w{min(int(rng.expovariate(0.3)), 70)}" for _ in range(rng.randrange(1, 30))) for _ in range(200)] + ["w59", "none", ""]
+    monkeypatch.setattr(matching, "FREQUENT_WORDS", most)
+    made = term_vectors(spark.createDataFrame([(t,) for t in terms], "term string"), spark.createDataFrame(list(vectors.items()), "token string, vector array<double>"))
+    check(made, plain(terms, vectors))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert ("_rare_words" in plan or "Join" in plan) == (most < 1000)
