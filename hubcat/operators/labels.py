@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from hubcat import spec
@@ -9,6 +14,13 @@ from hubcat.functions.ranking import label_names, label_scores, ranked_labels
 from hubcat.functions.text import first_or_null, quoted, strip
 from hubcat.operators.matching import best_matches, term_vectors
 from hubcat.operators.skew import join_unique
+from hubcat.session import stored
+
+#: Bits of the map that keeps most keywords without a match out of the exchange.
+FILTER_BITS = 1 << 25
+
+# Workers get the small kernel below with the task; they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _LIST = "__list"
 LEVELS = ("category", "subcategory", "topic")
@@ -32,9 +44,12 @@ def keyword_lists(papers: DataFrame, column: str = "paper_ai_keywords") -> DataF
     ids may repeat, and generated row ids would not survive a recomputed partition.
     """
     lists = papers.select(quoted(column).alias("keywords"))
+    # Lists travel as JSON, which takes half the bytes of an array.
+    texts = lists.select(F.to_json("keywords").alias("json")).distinct()
     # Never null, or a null check of the key would be pushed into the scan.
-    key = F.coalesce(_list_key("keywords"), F.unhex(F.lit("")))
-    return lists.distinct().select(key.alias(_LIST), "keywords")
+    key = F.coalesce(F.when(F.col("json") != "[]", F.unhex(F.md5("json"))), F.unhex(F.lit("")))
+    kind = lists.schema["keywords"].dataType
+    return texts.select(key.alias(_LIST), F.from_json("json", kind, {"mode": "FAILFAST", "maxStringLen": str(2**31 - 1)}).alias("keywords"))
 
 
 def keyword_rows(lists: DataFrame) -> DataFrame:
@@ -47,6 +62,38 @@ def keyword_rows(lists: DataFrame) -> DataFrame:
         F.col("term").isNotNull())
 
 
+def matchable_rows(lists: DataFrame, matches: DataFrame) -> DataFrame:
+    """``keyword_rows`` without most of those whose term has no match: these need not be shuffled.
+
+    A bitmap of the matched terms' hashes is broadcast, whatever their number; it is asked per list, before its keywords become rows.
+    """
+    slot = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS)) + 1
+    maps = matches.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("at")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    bitmap = bytearray(FILTER_BITS // 8)
+    for row in maps:
+        bitmap[(row["at"] - 1) * len(row["bits"]):row["at"] * len(row["bits"])] = row["bits"]
+    shared = lists.sparkSession.sparkContext.broadcast(bytes(bitmap))
+
+    @F.arrow_udf("array<int>")
+    def held(slots: pa.Array) -> pa.Array:
+        """Positions of the terms that may have a match."""
+        at = slots.flatten().fill_null(-1).to_numpy()
+        bits = np.frombuffer(shared.value, "u1")
+        kept = (bits[np.maximum(at, 0) >> 3] >> (np.maximum(at, 0) & 7) & 1 == 1) & (at >= 0)
+        length = slots.value_lengths().fill_null(0).to_numpy()
+        start = np.cumsum(length) - length
+        place = (np.arange(len(at)) - np.repeat(start, length))[kept]
+        each = np.bincount(np.repeat(np.arange(len(length)), length)[kept], minlength=len(length))
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(each)].astype(np.int32)), pa.array(place.astype(np.int32)))
+
+    slots = F.transform("keywords", lambda k: F.pmod(F.xxhash64(k), F.when(k.isNotNull(), F.lit(FILTER_BITS))))
+    found = lists.select(_LIST, "keywords", held(slots).alias("held"))
+    # The outer explode keeps Spark from asking the bitmap a second time, below the distinct lists.
+    return found.select(_LIST, "keywords", F.explode_outer("held").alias("pos")).select(_LIST, "pos", F.get("keywords", F.col("pos")).alias("term")).where(
+        F.col("term").isNotNull())
+
+
 def matched_rows(rows: DataFrame, matches: DataFrame) -> DataFrame:
     """Give every keyword occurrence the match of its term; unmatched ones drop out."""
     return join_unique(rows, matches, "term", "inner")
@@ -80,9 +127,11 @@ def labels_of_lists(lists: DataFrame, matches: DataFrame, share: float = spec.LA
     """Ranked labels per keyword list, one column per level, and the match details.
 
     Details come in keyword order with repeats kept. The matched rows are placed by list
-    once; both groupings then reuse that placement, so there is one shuffle, not two.
+    once; both groupings then reuse that placement, so there is one shuffle, not two. The matches are written first:
+    only keywords that they may hold are looked up.
     """
-    matched = matched_rows(keyword_rows(lists), matches).repartition(_LIST)
+    matches = stored(matches, "matches")
+    matched = matched_rows(matchable_rows(lists, matches), matches).repartition(_LIST)
     entry = F.struct("label", "score", "pos")
     details = F.array_sort(F.flatten(F.collect_list("details")))
     return label_scores_by_level(matched).groupBy(_LIST).agg(
@@ -113,7 +162,7 @@ def with_taxonomy(papers: DataFrame, matches: DataFrame, column: str = "paper_ai
 
 def keyword_terms(papers: DataFrame, column: str = "paper_ai_keywords") -> DataFrame:
     """Distinct keywords, each to be scored once however many papers repeat it."""
-    return keyword_rows(keyword_lists(papers, column)).select("term").distinct()
+    return papers.select(F.explode_outer(quoted(column)).alias("term")).where(F.col("term").isNotNull()).distinct()
 
 
 def keyword_matches(papers: DataFrame, nodes: DataFrame, word_vectors: DataFrame,

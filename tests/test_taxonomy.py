@@ -161,6 +161,20 @@ def test_labels_on_papers(spark):
     assert every["taxonomy_categories"] == ["A", "B", "D", "C"]
 
 
+def test_only_keywords_that_may_match_are_looked_up(spark):
+    """Lists keep their values and places on the way, and most keywords without a match stay where they are."""
+    odd = 'q"\\\u0001\n日'
+    lists = [["a", "b", None, "a"], None, [], [odd, "", "x"], ["a", "b", None, "a"], [None], [" a"]]
+    papers = spark.createDataFrame([(x,) for x in lists], "paper_ai_keywords array<string>")
+    matches = spark.createDataFrame([("a",), (odd,), ("",)], "term string")
+    kept = lab.keyword_lists(papers)
+    assert sorted((r["keywords"] for r in kept.collect() if r["keywords"]), key=str) == sorted([lists[0], lists[3], [None], [" a"]], key=str)
+    assert {r["term"] for r in lab.keyword_terms(papers).collect()} == {"a", "b", odd, "", "x", " a"}
+    rows = sorted((r["pos"], r["term"]) for r in lab.matchable_rows(kept, matches).collect())
+    assert rows == [(0, "a"), (0, odd), (1, ""), (3, "a")]
+    assert lab.matchable_rows(kept, matches.limit(0)).count() == 0
+
+
 def test_reports(spark):
     papers = spark.createDataFrame(
         [("p1", ["k1", "k2", "k3"], 4.0), ("p2", ["k3"], None), ("p3", None, 6.0)],
