@@ -252,7 +252,12 @@ def _dealt(task: int, signatures: list, owners: list, buckets: int, id_type: pa.
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A bucket's candidate links: every set with a signature hangs on the first one that has it."""
+    """A task's candidate links: sets that share signatures, directly or by others, hang on the first of them.
+
+    Each bucket's links are joined to those of the task's buckets before, so that a set comes out once in a task,
+    however many signatures it shares and with however many others.
+    """
+    node, root = np.zeros(0, "i8"), np.zeros(0, "i8")
     for bucket in _runs(batches, 1):
         kept = np.frombuffer(b"".join(bucket.column(1).to_pylist()), "u1").reshape(-1, _KEPT)
         signature = np.pad(kept, ((0, 0), (0, 8 - _KEPT))).view("u8").ravel()
@@ -263,7 +268,24 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = uid[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
         links = np.unique(np.stack([uid[~new], head[~new]], axis=1), axis=0)
         links = links[links[:, 0] != links[:, 1]]
-        yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
+        node, root = _joined(np.r_[node, links[:, 0]], np.r_[root, links[:, 1]])
+    apart = node != root
+    yield pa.RecordBatch.from_arrays([pa.array(node[apart]), pa.array(root[apart])], names=["a", "b"])
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every node of the links a to b, and the smallest node that links reach from it."""
+    node, ends = np.unique(np.r_[a, b], return_inverse=True)
+    a, b = ends[:len(a)], ends[len(a):]
+    label = np.arange(len(node))
+    while True:
+        # Of two labels that meet, the larger one hangs on the smaller; then every node takes its root.
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        if (low == high).all():
+            return node, node[label]
+        np.minimum.at(label, high, low)
+        while (label[label] != label).any():
+            label = label[label]
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -414,6 +436,8 @@ def jaccard_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int =
     total = bytes_of(docs, "text")
     buckets, bits = blocks_of(docs, "text", BUCKET_BYTES, total), _slot_bits(total)
     parts = max(2 * spark.sparkContext.defaultParallelism, total // COUNTED_BYTES)
+    # Buckets bound what a task holds at a time; their tasks do not grow in number, so that a set's links don't either.
+    tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     id_field = docs.schema["doc_id"].dataType
     rows = stored(docs.mapInArrow(
         _rows(words, scheme, buckets, to_arrow_type(id_field), spark.sparkContext.broadcast(_frequent_slots(docs, words, bits, parts)), bits),
@@ -422,7 +446,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int =
     first = matrix.groupBy("print").agg(F.min("uid").alias("row"), F.count(F.lit(1)).alias("copies"))
     named = stored(join_unique(matrix, first, "print", "inner").select(
         "uid", "doc_id", "text_hash", "size", F.when(F.col("size") > 0, F.col("row")).otherwise(F.col("uid")).alias("row")), "rows")
-    stars = rows.where("kind = 1").select("uid", "signatures", "owners", "bucket").repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
+    stars = rows.where("kind = 1").select("uid", "signatures", "owners", "bucket").repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(
         _stars, "a long, b long").distinct()
     one = named.select(F.col("uid").alias("a"), F.col("row").alias("row_a"))
     two = named.select(F.col("uid").alias("b"), F.col("row").alias("row_b"))

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,6 +153,24 @@ def test_signature_buckets_grow_with_the_texts(spark, monkeypatch):
     assert seen == [-(-sum(len((t or "").encode()) for _, t in docs) // 500)] and seen[0] > 8
 
 
+def test_candidate_links_do_not_grow_with_the_square_of_a_group():
+    """Sets that share many signatures in many buckets come out once in a task, and hang together as before."""
+    rng = np.random.default_rng(2)
+
+    def batch(bucket, uids):
+        signature = np.concatenate([np.full(2, k) for k in range(len(uids) - 1)]).astype("u8")
+        owners = np.stack([uids[:-1], uids[1:]], axis=1).ravel().astype("u4")
+        order = np.argsort(owners, kind="stable")
+        signature, owners = signature[order], owners[order]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([0], pa.int64()), pa.array([signature.view("u1").reshape(-1, 8)[:, :6].tobytes()]), pa.array([np.diff(owners, prepend=np.uint32(0)).tobytes()]),
+             pa.array([bucket], pa.int32())], names=["uid", "signatures", "owners", "bucket"])
+
+    out = list(jaccard_join._stars(batch(k, rng.permutation(50) + 100 * (k % 2)) for k in range(30)))
+    links = sorted((a, b) for x in out for a, b in zip(x.column(0).to_pylist(), x.column(1).to_pylist()))
+    assert links == [(a + base, base) for base in (0, 100) for a in range(1, 50)]
+
+
 def test_cuts_inside_characters_leave_valid_text(spark):
     passage = "é" * 80
     got = suffix_dedup.remove_repeats(frame(spark, [(1, "x" + passage), (2, "yy" + passage + "z")]), as_text=True).collect()
