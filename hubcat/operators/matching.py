@@ -56,7 +56,7 @@ def term_vectors(terms: DataFrame, word_vectors: DataFrame, lowercase: bool = Fa
     added up as Arrow matrices, whatever their width: each batch first for itself, then by key behind one exchange, in
     which the term's text meets its sums. Where frequent words are few of all, as in a list of words, all go that way.
     """
-    named = terms.where(F.col("term").isNotNull()).select(F.unhex(F.md5("term")).alias(_KEY), "term").distinct()
+    named = terms.where(F.col("term").isNotNull()).select("term").distinct().select(F.unhex(F.md5("term")).alias(_KEY), "term")
     text = F.lower("term") if lowercase else F.col("term")
     vectors = word_vectors.select("token", F.col("vector").cast("array<double>").alias("v")).where(F.col("v").isNotNull())
     head, every = _frequent(terms, vectors, lowercase)
