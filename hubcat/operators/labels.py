@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import sys
-
-import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from hubcat import spec
@@ -19,9 +14,6 @@ from hubcat.session import stored
 #: Bits of the map that keeps most keywords without a match out of the exchange.
 FILTER_BITS = 1 << 25
 
-# Workers get the small kernel below with the task; they need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 _LIST = "__list"
 LEVELS = ("category", "subcategory", "topic")
 _PLURAL = {"category": "categories", "subcategory": "subcategories", "topic": "topics"}
@@ -65,33 +57,13 @@ def keyword_rows(lists: DataFrame) -> DataFrame:
 def matchable_rows(lists: DataFrame, matches: DataFrame) -> DataFrame:
     """``keyword_rows`` without most of those whose term has no match: these need not be shuffled.
 
-    A bitmap of the matched terms' hashes is broadcast, whatever their number; it is asked per list, before its keywords become rows.
+    A bitmap of the matched terms' hashes, 64 bits a row, is broadcast; its size is bounded, whatever the number of terms.
     """
-    slot = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS)) + 1
-    maps = matches.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("at")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
-    bitmap = bytearray(FILTER_BITS // 8)
-    for row in maps:
-        bitmap[(row["at"] - 1) * len(row["bits"]):row["at"] * len(row["bits"])] = row["bits"]
-    shared = lists.sparkSession.sparkContext.broadcast(bytes(bitmap))
-
-    @F.arrow_udf("array<int>")
-    def held(slots: pa.Array) -> pa.Array:
-        """Positions of the terms that may have a match."""
-        at = slots.flatten().fill_null(-1).to_numpy()
-        bits = np.frombuffer(shared.value, "u1")
-        kept = (bits[np.maximum(at, 0) >> 3] >> (np.maximum(at, 0) & 7) & 1 == 1) & (at >= 0)
-        length = slots.value_lengths().fill_null(0).to_numpy()
-        start = np.cumsum(length) - length
-        place = (np.arange(len(at)) - np.repeat(start, length))[kept]
-        each = np.bincount(np.repeat(np.arange(len(length)), length)[kept], minlength=len(length))
-        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(each)].astype(np.int32)), pa.array(place.astype(np.int32)))
-
-    slots = F.transform("keywords", lambda k: F.pmod(F.xxhash64(k), F.when(k.isNotNull(), F.lit(FILTER_BITS))))
-    found = lists.select(_LIST, "keywords", held(slots).alias("held"))
-    # The outer explode keeps Spark from asking the bitmap a second time, below the distinct lists.
-    return found.select(_LIST, "keywords", F.explode_outer("held").alias("pos")).select(_LIST, "pos", F.get("keywords", F.col("pos")).alias("term")).where(
-        F.col("term").isNotNull())
+    slot = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS)).alias("slot")
+    bitmap = matches.select(slot).groupBy(F.shiftright("slot", 6).alias("place")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
+    rows = keyword_rows(lists).select("*", slot).withColumn("place", F.shiftright("slot", 6))
+    return rows.join(F.broadcast(bitmap), "place").where(F.getbit("bits", F.col("slot") % 64) == 1).select(_LIST, "pos", "term")
 
 
 def matched_rows(rows: DataFrame, matches: DataFrame) -> DataFrame:
