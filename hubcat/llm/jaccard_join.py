@@ -26,6 +26,8 @@ GATHERED = 1_000_000
 TEXTS_AT_ONCE = 128
 #: Bytes of text whose signatures one bucket takes at most, about.
 BUCKET_BYTES = 32_000_000
+#: Buckets of signatures in all, at least, about: schemes share them by their weight.
+LEAST_BUCKETS = 64
 #: Bits of the map that keeps most texts without candidates out of the exchange.
 FILTER_BITS = 1 << 25
 #: Bytes of a signature that travel; its bucket stands for the others. Equal ones are candidates only.
@@ -106,7 +108,11 @@ class Scheme:
         self._starts = np.asarray(self.starts)
 
     def signatures(self, held: np.ndarray, frequent: np.ndarray | None = None) -> np.ndarray:
-        """One hash per scheme and block of a set of ascending hashes, for blocks that are not empty.
+        """One hash per scheme and block of a set of ascending hashes, for blocks that are not empty."""
+        return self.signatures_by_scheme(held, frequent)[0]
+
+    def signatures_by_scheme(self, held: np.ndarray, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The same, and the scheme that each belongs to.
 
         Frequent columns take no part, so that a shared passage alone makes no candidates. A set that is left
         with too few blocks gives all blocks of all its columns too, the empty ones with them. If its
@@ -114,7 +120,7 @@ class Scheme:
         """
         size_class = int(np.searchsorted(self._starts, len(held), side="right")) - 1
         rare = held if frequent is None else held[~frequent]
-        found = []
+        found, schemes = [], []
         for c in {size_class, max(0, size_class - 1)}:
             block, total = self._blocks_of(rare, c)
             found.append(_scrambled(total + block * _ODD[0] + np.full(1, 2 * c, "u8") * _ODD[1]))
@@ -123,7 +129,17 @@ class Scheme:
                 every = np.zeros(self.blocks[c], "u8")
                 every[block.astype("i8")] = total
                 found.append(_scrambled(every + np.arange(len(every), dtype="u8") * _ODD[0] + np.full(1, 2 * c + 1, "u8") * _ODD[1]))
-        return np.concatenate(found)
+            schemes.append(np.full(sum(map(len, found)) - sum(map(len, schemes)), c, "u2"))
+        return np.concatenate(found), np.concatenate(schemes)
+
+    def parts(self, sizes: dict[float, int], buckets: int) -> np.ndarray:
+        """Into how many buckets each scheme's signatures go, ``buckets`` in all and up to one more for each, from the number of sets by their size, about."""
+        weight = np.zeros(len(self.blocks))
+        for size, sets in sizes.items():
+            size_class = int(np.searchsorted(self._starts, max(1.0, size), side="right")) - 1
+            for c in {size_class, max(0, size_class - 1)}:
+                weight[c] += sets * self.blocks[c] * -np.expm1(-size / self.blocks[c])
+        return np.maximum(1, np.ceil(weight / max(1.0, weight.sum()) * buckets)).astype("i8")
 
     def _blocks_of(self, held: np.ndarray, c: int) -> tuple[np.ndarray, np.ndarray]:
         """The blocks that are not empty, and a hash of what each holds."""
@@ -201,12 +217,25 @@ def _marked(packed: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (packed[slots >> 3] << (slots & 7).astype("u1") & 128).astype(bool)
 
 
-def _rows(words: int, scheme: Scheme, buckets: int, id_type: pa.DataType, frequent, bits: int):
-    """Kind 0: a document and its set's size and fingerprint. Kind 1: a task's signatures in a bucket."""
+def _sizes(docs: DataFrame, words: int) -> dict[float, int]:
+    """Documents by their number of shingles, about, repeats counted: steps of 2.5 %, so that the driver sees some hundred rows."""
+    starts = F.greatest(F.lit(1), F.size(F.split("text", r"[\x20\x09-\x0D]+")) - (words - 1))
+    counts = docs.groupBy(F.floor(F.log(starts) * 40).alias("step")).agg(F.count(F.lit(1)).alias("docs")).collect()
+    return {float(np.exp((r["step"] + 0.5) / 40)): r["docs"] for r in counts}
+
+
+def _rows(words: int, scheme: Scheme, buckets: int, id_type: pa.DataType, frequent, bits: int, sizes: dict[float, int]):
+    """Kind 0: a document and its set's size and fingerprint. Kind 1: a task's signatures in a bucket.
+
+    A scheme has buckets of its own. So sets of one size meet in few buckets, and near copies, which share many
+    signatures, in as few: a bucket's task makes one link of all that two sets share there.
+    """
+    parts = scheme.parts(sizes, buckets)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         task, count, known = TaskContext.get().partitionId(), 0, {}
-        signatures, owners, held = [], [], 0
+        signatures, schemes, owners, held = [], [], [], 0
         for batch in batches:
             uid, size, prints = [], [], []
             for found in _sets_of(batch.column(1).to_pylist(), words):
@@ -216,7 +245,8 @@ def _rows(words: int, scheme: Scheme, buckets: int, id_type: pa.DataType, freque
                 prints.append(own)
                 if len(found) and own not in known:
                     known[own] = count
-                    signatures.append(scheme.signatures(found, _marked(frequent.value, _slots(found, bits))))
+                    for kind, values in zip((signatures, schemes), scheme.signatures_by_scheme(found, _marked(frequent.value, _slots(found, bits)))):
+                        kind.append(values)
                     owners.append(np.full(len(signatures[-1]), count, "u4"))
                     held += len(owners[-1])
                 count += 1
@@ -225,20 +255,21 @@ def _rows(words: int, scheme: Scheme, buckets: int, id_type: pa.DataType, freque
                 [pa.array([0] * n, pa.int32()), pa.array(uid, pa.int64()), batch.column(0), batch.column(2), pa.array(size, pa.int64()),
                  pa.array(prints, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names=_NAMES)
             if held >= GATHERED:
-                yield _dealt(task, signatures, owners, buckets, id_type)
-                signatures, owners, held = [], [], 0
+                yield _dealt(task, signatures, schemes, owners, parts, id_type)
+                signatures, schemes, owners, held = [], [], [], 0
         if held:
-            yield _dealt(task, signatures, owners, buckets, id_type)
+            yield _dealt(task, signatures, schemes, owners, parts, id_type)
     return run
 
 
 _NAMES = ["kind", "uid", "doc_id", "text_hash", "size", "print", "bucket", "signatures", "owners"]
 
 
-def _dealt(task: int, signatures: list, owners: list, buckets: int, id_type: pa.DataType) -> pa.RecordBatch:
+def _dealt(task: int, signatures: list, schemes: list, owners: list, parts: np.ndarray, id_type: pa.DataType) -> pa.RecordBatch:
     """Signatures by bucket, and their owners as steps from one to the next, which compress well."""
-    signature, owner = np.concatenate(signatures), np.concatenate(owners)
-    bucket = ((signature >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype("i4")
+    signature, scheme, owner = np.concatenate(signatures), np.concatenate(schemes), np.concatenate(owners)
+    inside = (signature >> np.uint64(32)) * parts.astype("u8")[scheme] >> np.uint64(32)
+    bucket = ((np.cumsum(parts) - parts)[scheme] + inside.astype("i8")).astype("i4")
     order = np.argsort(bucket, kind="stable")
     signature, owner, bucket = signature[order], owner[order], bucket[order]
     first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
@@ -402,10 +433,9 @@ def bytes_of(docs: DataFrame, text: str) -> int:
     return docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("binary")).cast("long"))).first()[0] or 0
 
 
-def blocks_of(docs: DataFrame, text: str, block_bytes: int, total: int | None = None) -> int:
+def blocks_of(docs: DataFrame, text: str, block_bytes: int) -> int:
     """Blocks that hold about ``block_bytes`` of the texts each, or fewer: two for each shuffle partition at least."""
-    total = bytes_of(docs, text) if total is None else total
-    return max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // block_bytes))
+    return max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-bytes_of(docs, text) // block_bytes))
 
 
 def _product(docs: DataFrame, work: DataFrame, words: int, part: int, whole: int) -> DataFrame:
@@ -434,19 +464,19 @@ def jaccard_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int =
     docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     total = bytes_of(docs, "text")
-    buckets, bits = blocks_of(docs, "text", BUCKET_BYTES, total), _slot_bits(total)
+    buckets, bits = max(LEAST_BUCKETS, -(-total // BUCKET_BYTES)), _slot_bits(total)
     parts = max(2 * spark.sparkContext.defaultParallelism, total // COUNTED_BYTES)
-    # Buckets bound what a task holds at a time; their tasks do not grow in number, so that a set's links don't either.
+    # Buckets bound what a task holds at a time; their number and place do not depend on the tasks, nor does the number of links.
     tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     id_field = docs.schema["doc_id"].dataType
     rows = stored(docs.mapInArrow(
-        _rows(words, scheme, buckets, to_arrow_type(id_field), spark.sparkContext.broadcast(_frequent_slots(docs, words, bits, parts)), bits),
+        _rows(words, scheme, buckets, to_arrow_type(id_field), spark.sparkContext.broadcast(_frequent_slots(docs, words, bits, parts)), bits, _sizes(docs, words)),
         f"kind int, uid long, doc_id {id_field.simpleString()}, text_hash long, size long, print binary, bucket int, signatures binary, owners binary"), "matrix")
     matrix = rows.where("kind = 0").select("uid", "doc_id", "text_hash", "size", "print")
     first = matrix.groupBy("print").agg(F.min("uid").alias("row"), F.count(F.lit(1)).alias("copies"))
     named = stored(join_unique(matrix, first, "print", "inner").select(
         "uid", "doc_id", "text_hash", "size", F.when(F.col("size") > 0, F.col("row")).otherwise(F.col("uid")).alias("row")), "rows")
-    stars = rows.where("kind = 1").select("uid", "signatures", "owners", "bucket").repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(
+    stars = rows.where("kind = 1").select("uid", "signatures", "owners", "bucket").repartitionById(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(
         _stars, "a long, b long").distinct()
     one = named.select(F.col("uid").alias("a"), F.col("row").alias("row_a"))
     two = named.select(F.col("uid").alias("b"), F.col("row").alias("row_b"))

@@ -171,6 +171,30 @@ def test_candidate_links_do_not_grow_with_the_square_of_a_group():
     assert links == [(a + base, base) for base in (0, 100) for a in range(1, 50)]
 
 
+def test_near_copies_meet_in_few_buckets():
+    """A set's links do not grow with the signatures that it shares: a scheme's signatures lie in as few buckets as its weight asks for."""
+    rng, scheme = np.random.default_rng(5), jaccard_join.Scheme(80, 100)
+
+    def some(n):
+        return rng.integers(0, 1 << 62, n, dtype="u8") * np.uint64(4)
+
+    base = np.unique(some(400))
+    copies = [np.unique(np.r_[np.delete(base, rng.integers(0, 400, 4)), some(4)]) for _ in range(60)]
+    sets = copies + [np.unique(some(int(n))) for n in np.exp(rng.uniform(2, 7, 600))]
+    found = [scheme.signatures_by_scheme(x) for x in sets]
+    assert all((schemes[np.isin(signatures, scheme.signatures(x))] >= 0).all() and len(signatures) == len(schemes) for x, (signatures, schemes) in zip(sets, found))
+    sizes = {float(n): k for n, k in zip(*np.unique([len(x) for x in sets], return_counts=True))}
+    parts = scheme.parts(sizes, 64)
+    assert 64 <= parts[np.unique(np.concatenate([c for _, c in found]))].sum() <= 64 + 40
+    rows = jaccard_join._dealt(0, [x for x, _ in found], [c for _, c in found], [np.full(len(x), k, "u4") for k, (x, _) in enumerate(found)], parts, pa.int64())
+    rows = rows.select(["uid", "signatures", "owners", "bucket"])
+    links = [x for k in range(rows.num_rows) for x in jaccard_join._stars(iter([rows.slice(k, 1)]))]
+    a, b = (np.concatenate([x.column(k).to_numpy() for x in links]) for k in (0, 1))
+    assert len(np.intersect1d(found[0][0], found[1][0])) > 60 and (a < 60).sum() <= 20 * 60
+    node, root = jaccard_join._joined(a, b)
+    assert set(node[root == 0]) >= set(range(60))
+
+
 def test_cuts_inside_characters_leave_valid_text(spark):
     passage = "é" * 80
     got = suffix_dedup.remove_repeats(frame(spark, [(1, "x" + passage), (2, "yy" + passage + "z")]), as_text=True).collect()
