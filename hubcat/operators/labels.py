@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hubcat import spec
-from hubcat.functions.ranking import label_names, label_scores, ranked_labels
+from hubcat.functions.ranking import label_names, label_scores
 from hubcat.functions.text import first_or_null, quoted, strip
 from hubcat.operators.matching import best_matches, term_vectors
 from hubcat.operators.skew import join_unique
@@ -13,14 +19,25 @@ from hubcat.session import stored
 
 #: Bits of the map that keeps most keywords without a match out of the exchange.
 FILTER_BITS = 1 << 25
+#: Matched terms that may go to every task, and the bytes of their names.
+SHARED_TERMS, SHARED_BYTES = 200_000, 32_000_000
+
+# Workers get the kernel below with the task; they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_LIST = "__list"
+_LIST, _OWN, _HITS, _FOUND = "__list", "__own", "__hits", "__found"
+_NAMED = ("label", "category", "subcategory", "topic", "level")
+_ENTRY = ("keyword", "label", "score", *_NAMED[1:])
 LEVELS = ("category", "subcategory", "topic")
 _PLURAL = {"category": "categories", "subcategory": "subcategories", "topic": "topics"}
 _DETAIL = (
     "array<struct<keyword:string,matched_to:string,score:double,category:string,"
     "subcategory:string,topic:string,match_level:string>>"
 )
+_OTHERS = (
+    "array<struct<pos:int,keyword:string,label:string,score:double,category:string,"
+    "subcategory:string,topic:string,level:string>>"
+)
 
 
 def _list_key(column: str):
@@ -66,51 +83,120 @@ def matchable_rows(lists: DataFrame, matches: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(bitmap), "place").where(F.getbit("bits", F.col("slot") % 64) == 1).select(_LIST, "pos", "term")
 
 
+def _keyed(papers: DataFrame, column: str) -> DataFrame:
+    return papers.select(_list_key(column).alias(_LIST), quoted(column).alias("keywords"))
+
+
 def matched_rows(rows: DataFrame, matches: DataFrame) -> DataFrame:
     """Give every keyword occurrence the match of its term; unmatched ones drop out."""
     return join_unique(rows, matches, "term", "inner")
 
 
-def label_scores_by_level(matched: DataFrame) -> DataFrame:
-    """Best score of each label per list and level, with its first position.
+def shared_matches(papers: DataFrame, matches: DataFrame, column: str = "paper_ai_keywords") -> tuple[pa.Table, DataFrame | None]:
+    """The matches that may go to every task, and the others; None if there are none.
 
-    Labels count by their bare name: equal names in two branches are one label. The match
-    details ride along on the category rows, of which every match has exactly one.
+    All of them, where they are few enough. Else the most used ones, up to SHARED_TERMS and SHARED_BYTES; terms that repeat are others.
     """
-    detail = F.struct(
-        "pos", strip(F.col("term")).alias("keyword"), F.col("label").alias("matched_to"),
-        "score", "category", "subcategory", "topic", F.col("level").alias("match_level"),
-    )
-    by_level = F.explode(F.array(*(
-        F.struct(F.lit(level).alias("level"), F.col(level).alias("label")) for level in LEVELS
-    )))
-    rows = matched.select(_LIST, "pos", "score", detail.alias("detail"), by_level.alias("l"))
-    return (
-        rows.where(F.col("l.label").isNotNull())
-        .groupBy(_LIST, F.col("l.level").alias("level"), F.col("l.label").alias("label"))
-        .agg(F.max("score").alias("score"), F.min("pos").alias("pos"),
-             F.collect_list(F.when(F.col("l.level") == "category", F.col("detail")))
-             .alias("details"))
-    )
-
-
-def labels_of_lists(lists: DataFrame, matches: DataFrame, share: float = spec.LABEL_SCORE_SHARE,
-                    most: int = spec.MAX_LABELS, multi: bool = True) -> DataFrame:
-    """Ranked labels per keyword list, one column per level, and the match details.
-
-    Details come in keyword order with repeats kept. The matched rows are placed by list
-    once; both groupings then reuse that placement, so there is one shuffle, not two. The matches are written first:
-    only keywords that they may hold are looked up.
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in ("term", *_NAMED)), F.lit(16))
+    named = matches.groupBy("term").agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes"))
+    every = named.agg(F.count_if(F.col("rows") > 1).alias("repeated"), F.count(F.lit(1)).alias("terms"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    if not every["repeated"] and every["terms"] <= SHARED_TERMS and every["bytes"] <= SHARED_BYTES:
+        return matches.toArrow(), None
+    uses = matchable_rows(_keyed(papers, column), named).groupBy("term").agg(F.count(F.lit(1)).alias("uses"))
+    used = stored(join_unique(named.where("rows = 1"), uses, "term", "inner").select("term", "uses", "bytes"), "uses")
+    least, terms, held = None, 0, 0
+    for row in sorted(used.groupBy("uses").agg(F.count(F.lit(1)).alias("terms"), F.sum("bytes").alias("bytes")).collect(), reverse=True):
+        terms, held = terms + row["terms"], held + row["bytes"]
+        if terms > SHARED_TERMS or held > SHARED_BYTES:
+            break
+        least = row["uses"]
+    chosen = F.broadcast(used.where(F.lit(False) if least is None else F.col("uses") >= least).select("term"))
+    return matches.join(chosen, "term", "left_semi").toArrow(), matches.join(chosen, "term", "left_anti")
+
+
+def other_hits(papers: DataFrame, matches: DataFrame, column: str = "paper_ai_keywords") -> DataFrame:
+    """The matches of each distinct keyword list by a shuffle, in keyword order. Only keywords that may match move, not the lists."""
+    matched = matched_rows(matchable_rows(_keyed(papers, column), matches).distinct(), matches)
+    return matched.groupBy(_LIST).agg(F.array_sort(F.collect_list(F.struct("pos", *_ENTRY))).alias(_HITS))
+
+
+def _sizes(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+
+
+def _lists(row: np.ndarray, rows: int, values: list, names: list[str]) -> pa.ListArray:
+    """Lists of structs, one per row; the values come in row order."""
+    offsets = np.r_[0, np.cumsum(np.bincount(row, minlength=rows))].astype("i4")
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(values, names=names))
+
+
+def shared_hits(keywords: Column, shared: Broadcast) -> Column:
+    """Places of the keywords that have a shared match, with its number."""
+    @F.arrow_udf("array<struct<pos: int, match: int>>")
+    def found(words: pa.Array) -> pa.Array:
+        size = _sizes(words)
+        start = np.cumsum(size) - size
+        at = pc.fill_null(pc.index_in(words.flatten(), value_set=shared.value[0].cast(words.type.value_type)), -1).to_numpy()
+        held, row = np.flatnonzero(at >= 0), np.repeat(np.arange(len(words)), size)
+        row = row[held]
+        return _lists(row, len(words), [pa.array((held - start[row]).astype("i4")), pa.array(at[held].astype("i4"))], ["pos", "match"])
+
+    # Not to be worked out twice, by a filter on a label and for the label itself.
+    return found.asNondeterministic()(keywords)
+
+
+def _in_order(own: pa.Array, others: pa.Array, entries: pa.StructArray) -> tuple[np.ndarray, np.ndarray, pa.StructArray]:
+    """(row, pos, match) of every keyword that has a match, in that order."""
+    row = np.repeat(np.arange(len(own)), _sizes(own))
+    pos, found = own.flatten().field("pos").to_numpy(), entries.take(own.flatten().field("match"))
+    more = others.flatten()
+    if not len(more):
+        return row, pos, found
+    row, pos = np.r_[row, np.repeat(np.arange(len(others)), _sizes(others))], np.r_[pos, more.field("pos").to_numpy()]
+    order = np.lexsort((pos, row))
+    found = pa.concat_arrays([found, pa.StructArray.from_arrays([more.field(f.name).cast(f.type) for f in found.type], names=list(_ENTRY))])
+    return row[order], pos[order], found.take(pa.array(order))
+
+
+def _ranked(row: np.ndarray, pos: np.ndarray, label: pa.Array, score: np.ndarray, rows: int, share: float, most: int, multi: bool) -> pa.ListArray:
+    """Each row's labels as ``functions.ranking.ranked_labels`` orders and keeps them: a label has its best score and its first position."""
+    held = np.flatnonzero(label.is_valid().to_numpy(zero_copy_only=False))
+    coded = label.take(pa.array(held)).dictionary_encode()
+    names, code = coded.dictionary, coded.indices.to_numpy()
+    row, pos, score = row[held], pos[held], score[held]
+    order = np.lexsort((code, row))
+    row, code, pos, score = row[order], code[order], pos[order], score[order]
+    first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (code[1:] != code[:-1])][:len(row)])
+    if len(first):
+        row, code, pos, score = row[first], code[first], np.minimum.reduceat(pos, first), np.maximum.reduceat(score, first)
+    by_name = np.empty(len(names), "i8")
+    by_name[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
+    order = np.lexsort((by_name[code], pos, -score, row))
+    if multi:
+        top = np.full(rows, -np.inf)
+        np.maximum.at(top, row, score)
+        order = order[score[order] >= top[row[order]] * share]
+        start = np.searchsorted(row[order], row[order])
+        order = order[np.arange(len(order)) - start < most]
+    return _lists(row[order], rows, [names.take(pa.array(code[order])), pa.array(score[order])], ["label", "score"])
+
+
+def labels_of(own: Column, others: Column, shared: Broadcast, share: float = spec.LABEL_SCORE_SHARE, most: int = spec.MAX_LABELS, multi: bool = True) -> Column:
+    """Ranked labels of a keyword list, one field per level, and the match details, from its shared hits and its others.
+
+    Labels count by their bare name: equal names in two branches are one label. Details come in keyword order with repeats kept.
     """
-    matches = stored(matches, "matches")
-    matched = matched_rows(matchable_rows(lists, matches), matches).repartition(_LIST)
-    entry = F.struct("label", "score", "pos")
-    details = F.array_sort(F.flatten(F.collect_list("details")))
-    return label_scores_by_level(matched).groupBy(_LIST).agg(
-        *(ranked_labels(F.collect_list(F.when(F.col("level") == level, entry)),
-                        share, most, multi).alias(level) for level in LEVELS),
-        F.transform(details, lambda x: x.dropFields("pos")).alias("details"),
-    )
+    @F.arrow_udf(f"struct<{', '.join(f'{x}: array<struct<label: string, score: double>>' for x in LEVELS)}, details: {_DETAIL}>")
+    def found(own: pa.Array, others: pa.Array) -> pa.Array:
+        row, pos, match = _in_order(own, others, shared.value[1])
+        score = match.field("score").to_numpy(zero_copy_only=False)
+        levels = [_ranked(row, pos, match.field(x), score, len(own), share, most, multi) for x in LEVELS]
+        held = np.flatnonzero(match.field("category").is_valid().to_numpy(zero_copy_only=False))
+        kept = match.take(pa.array(held))
+        details = _lists(row[held], len(own), [kept.field(x) for x in _ENTRY], ["keyword", "matched_to", "score", "category", "subcategory", "topic", "match_level"])
+        return pa.StructArray.from_arrays([*levels, details], names=[*LEVELS, "details"])
+
+    return found.asNondeterministic()(own, others)
 
 
 def with_taxonomy(papers: DataFrame, matches: DataFrame, column: str = "paper_ai_keywords",
@@ -118,17 +204,25 @@ def with_taxonomy(papers: DataFrame, matches: DataFrame, column: str = "paper_ai
                   multi: bool = True) -> DataFrame:
     """The ten taxonomy columns on every paper; unmatched papers get empty ones.
 
-    ``matches`` has one row per matched term, written as the keyword stands in the lists.
+    ``matches`` has one row per matched term, written as the keyword stands in the lists. They are written first. Those that may
+    go to every task are looked up where a paper lies. If there are others, these are shuffled to the lists, and papers are
+    joined with them: keywords themselves move only where the output is asked for them.
     """
-    labels = labels_of_lists(keyword_lists(papers, column), matches, share, most, multi)
-    joined = join_unique(papers.withColumn(_LIST, _list_key(column)), labels, _LIST)
-    names = {level: label_names(F.col(level)) for level in LEVELS}
-    return joined.select(
+    matches = stored(matches.where(F.col("term").isNotNull()).select("term", strip(F.col("term")).alias("keyword"), *_NAMED, "score"), "matches")
+    few, others = shared_matches(papers, matches, column)
+    entries = pa.StructArray.from_arrays([few.column(c).combine_chunks().cast(pa.float64() if c == "score" else pa.string()) for c in _ENTRY], names=list(_ENTRY))
+    shared = papers.sparkSession.sparkContext.broadcast((few.column("term").combine_chunks().cast(pa.string()), entries))
+    rows, hits = papers.withColumn(_OWN, shared_hits(quoted(column), shared)), F.lit(None).cast(_OTHERS)
+    if others is not None:
+        rows, hits = join_unique(rows.withColumn(_LIST, _list_key(column)), other_hits(papers, others, column), _LIST), F.col(_HITS)
+    labelled = rows.withColumn(_FOUND, labels_of(F.col(_OWN), hits, shared, share, most, multi))
+    names = {level: label_names(F.col(f"{_FOUND}.{level}")) for level in LEVELS}
+    return labelled.select(
         *(quoted(c) for c in papers.columns),
         *(names[level].alias(f"taxonomy_{_PLURAL[level]}") for level in LEVELS),
         *(first_or_null(names[level]).alias(f"primary_{level}") for level in LEVELS),
-        F.coalesce("details", F.array().cast(_DETAIL)).alias("matched_keywords_details"),
-        *(label_scores(F.col(level)).alias(f"{level}_scores") for level in LEVELS),
+        F.col(f"{_FOUND}.details").alias("matched_keywords_details"),
+        *(label_scores(F.col(f"{_FOUND}.{level}")).alias(f"{level}_scores") for level in LEVELS),
     )
 
 

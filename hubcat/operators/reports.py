@@ -135,7 +135,9 @@ def distribution_summary(df: DataFrame) -> DataFrame:
     # The field names below are those of the published report.
     tops = {"primary_category": ("category_distribution", 20), "primary_subcategory": ("subcategory_distribution", 30),
             "primary_topic": ("topic_distribution", 50)}
-    df = stored(df.select(*tops, "taxonomy_categories", "matched_keywords_details", "citation_count"), "papers")
+    # Of the matches, what is counted: names and keywords need not be written.
+    details = F.transform("matched_keywords_details", lambda d: F.struct(d["match_level"].alias("match_level"), d["score"].alias("score")))
+    df = stored(df.select(*tops, "taxonomy_categories", details.alias("matched_keywords_details"), "citation_count"), "papers")
     n, whole = list_length(F.col("taxonomy_categories")), F.col("kind") == ""
     labels = F.explode(F.array(F.struct(F.lit("").alias("kind"), F.lit(None).cast("string").alias("label")),
                                *(F.struct(F.lit(c).alias("kind"), F.col(c).alias("label")) for c in tops)))

@@ -175,6 +175,26 @@ def test_only_keywords_that_may_match_are_looked_up(spark):
     assert lab.matchable_rows(kept, matches.limit(0)).count() == 0
 
 
+def test_labels_without_room_for_all_matches(spark, monkeypatch):
+    """Labels and details are the same wherever the matches are looked up; with room for all, papers are not shuffled."""
+    papers = spark.createDataFrame(
+        [(i, ["k5", "k4", " k1 ", "k2", "k3", "k1", "zzz", None][i % 5:] + ["k4"] * i) for i in range(9)] + [(9, []), (10, None), (10, ["k2", "k2"]), (11, ["k2", "k2"])],
+        "paper_id int, paper_ai_keywords array<string>")
+    found = matches(spark).union(matches(spark).where("term = 'k5'").withColumn("label", F.lit("E")))
+    for given in (matches(spark), found, matches(spark).limit(0)):
+        seen = []
+        for most in (200_000, 3, 0):
+            monkeypatch.setattr(lab, "SHARED_TERMS", most)
+            out = lab.with_taxonomy(papers, given)
+            seen.append(sorted(map(str, out.collect())))
+            plan = out._jdf.queryExecution().optimizedPlan().toString()
+            if given is not found and (most or given.isEmpty()):
+                assert ("Join" in plan) == (most < given.count())
+        assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 13
+    details = lab.with_taxonomy(papers, found).where("paper_id = 0").first()["matched_keywords_details"]
+    assert [(d["keyword"], d["matched_to"]) for d in details][:3] == [("k5", "D"), ("k5", "E"), ("k4", "t1")]
+
+
 def test_reports(spark):
     papers = spark.createDataFrame(
         [("p1", ["k1", "k2", "k3"], 4.0), ("p2", ["k3"], None), ("p3", None, 6.0)],
