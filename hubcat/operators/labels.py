@@ -17,8 +17,8 @@ from hubcat.operators.matching import best_matches, term_vectors
 from hubcat.operators.skew import join_unique
 from hubcat.session import stored
 
-#: Bits of the map that keeps most keywords without a match out of the exchange.
-FILTER_BITS = 1 << 25
+#: Rows of the map that keeps most keywords without a match out of the exchange, and the bits a term sets in one of them.
+FILTER_PLACES, FILTER_MARKS = 1 << 21, 4
 #: Matched terms that may go to every task, and the bytes of their names.
 SHARED_TERMS, SHARED_BYTES = 200_000, 32_000_000
 
@@ -74,13 +74,15 @@ def keyword_rows(lists: DataFrame) -> DataFrame:
 def matchable_rows(lists: DataFrame, matches: DataFrame) -> DataFrame:
     """``keyword_rows`` without most of those whose term has no match: these need not be shuffled.
 
-    A bitmap of the matched terms' hashes, 64 bits a row, is broadcast; its size is bounded, whatever the number of terms.
+    A bitmap of the matched terms' hashes, 64 bits a row, is broadcast; its size is bounded, whatever the number of terms. A
+    term sets several bits of its row, all of which a keyword must meet: with one bit, the keywords that pass without a
+    match would grow with the keywords times the terms.
     """
-    slot = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS)).alias("slot")
-    bitmap = matches.select(slot).groupBy(F.shiftright("slot", 6).alias("place")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
-    rows = keyword_rows(lists).select("*", slot).withColumn("place", F.shiftright("slot", 6))
-    return rows.join(F.broadcast(bitmap), "place").where(F.getbit("bits", F.col("slot") % 64) == 1).select(_LIST, "pos", "term")
+    hashed, place = F.xxhash64("term").alias("hash"), F.pmod(F.col("hash"), F.lit(FILTER_PLACES)).alias("place")
+    marks = F.expr(" | ".join(f"shiftleft(1L, cast(shiftrightunsigned(hash, {58 - 6 * i}) & 63 as int))" for i in range(FILTER_MARKS)))
+    bitmap = matches.select(hashed).groupBy(place).agg(F.bit_or(marks).alias("bits"))
+    rows = keyword_rows(lists).select("*", hashed).select("*", place)
+    return rows.join(F.broadcast(bitmap), "place").where(F.col("bits").bitwiseAND(marks) == marks).select(_LIST, "pos", "term")
 
 
 def _keyed(papers: DataFrame, column: str) -> DataFrame:
@@ -124,31 +126,36 @@ def _sizes(lists: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
 
 
+def _offsets(row: np.ndarray, rows: int) -> np.ndarray:
+    return np.r_[0, np.cumsum(np.bincount(row, minlength=rows))].astype("i4")
+
+
 def _lists(row: np.ndarray, rows: int, values: list, names: list[str]) -> pa.ListArray:
     """Lists of structs, one per row; the values come in row order."""
-    offsets = np.r_[0, np.cumsum(np.bincount(row, minlength=rows))].astype("i4")
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(values, names=names))
+    return pa.ListArray.from_arrays(pa.array(_offsets(row, rows)), pa.StructArray.from_arrays(values, names=names))
 
 
 def shared_hits(keywords: Column, shared: Broadcast) -> Column:
-    """Places of the keywords that have a shared match, with its number."""
-    @F.arrow_udf("array<struct<pos: int, match: int>>")
+    """Places of the keywords that have a shared match, and its numbers: two plain lists, a quarter of a list of pairs."""
+    @F.arrow_udf("struct<pos: array<int>, match: array<int>>")
     def found(words: pa.Array) -> pa.Array:
         size = _sizes(words)
         start = np.cumsum(size) - size
         at = pc.fill_null(pc.index_in(words.flatten(), value_set=shared.value[0].cast(words.type.value_type)), -1).to_numpy()
         held, row = np.flatnonzero(at >= 0), np.repeat(np.arange(len(words)), size)
         row = row[held]
-        return _lists(row, len(words), [pa.array((held - start[row]).astype("i4")), pa.array(at[held].astype("i4"))], ["pos", "match"])
+        offsets = pa.array(_offsets(row, len(words)))
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(x.astype("i4"))) for x in (held - start[row], at[held])], names=["pos", "match"])
 
     # Not to be worked out twice, by a filter on a label and for the label itself.
     return found.asNondeterministic()(keywords)
 
 
-def _in_order(own: pa.Array, others: pa.Array, entries: pa.StructArray) -> tuple[np.ndarray, np.ndarray, pa.StructArray]:
+def _in_order(own: pa.StructArray, others: pa.Array, entries: pa.StructArray) -> tuple[np.ndarray, np.ndarray, pa.StructArray]:
     """(row, pos, match) of every keyword that has a match, in that order."""
-    row = np.repeat(np.arange(len(own)), _sizes(own))
-    pos, found = own.flatten().field("pos").to_numpy(), entries.take(own.flatten().field("match"))
+    at, match = own.field("pos"), own.field("match")
+    row = np.repeat(np.arange(len(own)), _sizes(at))
+    pos, found = at.flatten().to_numpy(), entries.take(match.flatten())
     more = others.flatten()
     if not len(more):
         return row, pos, found

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,6 +176,24 @@ def test_only_keywords_that_may_match_are_looked_up(spark):
     assert lab.matchable_rows(kept, matches.limit(0)).count() == 0
 
 
+def test_keywords_without_a_match_stay_with_many_terms(spark):
+    """What passes the map by chance must not grow with the keywords times the matched terms."""
+    terms = spark.range(1_500_000).select(F.concat(F.lit("m"), "id").alias("term"))
+    lists = spark.range(400).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("__list"), F.transform(
+        F.sequence(F.lit(0), F.lit(999)), lambda x: F.concat(F.when(x < 10, "m").otherwise("w"), F.col("id") * 1000 + x)).alias("keywords"))
+    kept = lab.matchable_rows(lists, terms).select(F.count_if(F.col("pos") < 10), F.count_if(F.col("pos") >= 10)).first()
+    assert kept[0] == 4000 and kept[1] < 2000, kept
+
+
+def test_shared_hits_travel_as_plain_lists(spark):
+    """A paper that is shuffled takes eight bytes a hit with it, not a row for each."""
+    words = spark.createDataFrame([(["b", None, "x", "a"],), (None,), ([],), (["x"],)], "keywords array<string>")
+    shared = spark.sparkContext.broadcast((pa.array(["a", "b"]), None))
+    found = words.select(lab.shared_hits(F.col("keywords"), shared).alias("h")).select("h.*")
+    assert found.dtypes == [("pos", "array<int>"), ("match", "array<int>")]
+    assert [tuple(r) for r in found.collect()] == [([0, 3], [1, 0]), ([], []), ([], []), ([], [])]
+
+
 def test_labels_without_room_for_all_matches(spark, monkeypatch):
     """Labels and details are the same wherever the matches are looked up; with room for all, papers are not shuffled."""
     papers = spark.createDataFrame(
