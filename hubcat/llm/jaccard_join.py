@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from hubcat.llm.components import components
+from hubcat.llm.components import components, joined as _joined
 from hubcat.llm.memo import let_go
 from hubcat.operators.skew import join_unique
 from hubcat.session import stored
@@ -304,21 +304,6 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(node[apart]), pa.array(root[apart])], names=["a", "b"])
 
 
-def _joined(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every node of the links a to b, and the smallest node that links reach from it."""
-    node, ends = np.unique(np.r_[a, b], return_inverse=True)
-    a, b = ends[:len(a)], ends[len(a):]
-    label = np.arange(len(node))
-    while True:
-        # Of two labels that meet, the larger one hangs on the smaller; then every node takes its root.
-        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
-        if (low == high).all():
-            return node, node[label]
-        np.minimum.at(label, high, low)
-        while (label[label] != label).any():
-            label = label[label]
-
-
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """Tables of the neighbouring rows that agree on the last ``keys`` columns; the rows come sorted by them."""
     held: list[pa.RecordBatch] = []

@@ -51,6 +51,28 @@ def test_components(spark):
     assert components.components(frame(spark, [], "a long, b long")).count() == 0
 
 
+def test_components_take_few_rounds(spark, monkeypatch):
+    """What lies in one task is joined there: a long chain in a few tasks is written once or twice, not once for each doubling."""
+    written = []
+    monkeypatch.setattr(components, "stored_at", lambda df, name, old=components.stored_at: written.append(name) or old(df, name))
+    links = [(i, i + 1) for i in range(3000)] + [(9000 + i, 5000) for i in range(500)]
+    got = {r["node"]: r["label"] for r in components.components(frame(spark, links, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(3001)} | {9000 + i: 5000 for i in range(500)} | {5000: 5000}
+    assert len(written) <= 3
+
+
+def test_contracted_edges_join_the_same(monkeypatch):
+    monkeypatch.setattr(components, "GATHERED", 6)
+    monkeypatch.setattr(components, "MOST_NODES", 20)
+    rng = random.Random(4)
+    links = [(rng.randrange(120), rng.randrange(120)) for _ in range(90)]
+    batches = [pa.RecordBatch.from_pydict({"a": [a for a, _ in links[i:i + 5]], "b": [b for _, b in links[i:i + 5]]}) for i in range(0, 90, 5)]
+    made = [row for batch in components._contracted(iter(batches)) for row in zip(*batch.to_pydict().values())]
+    whole = lambda pairs: {n: r for n, r in zip(*(x.tolist() for x in components.joined(*np.array(pairs).T))) if n != r}
+    assert whole(made) == whole(links) and all(a > b for a, b in made)
+    assert list(components._contracted(iter([])))[0].num_rows == 0
+
+
 def test_linked_sets_agree_on_a_column_block():
     rng = np.random.default_rng(4)
     for part in (90, 80, 50):
